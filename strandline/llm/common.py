@@ -53,13 +53,20 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete every scratch table this application wrote; call it once the results are stored."""
-    jvm, done = spark.sparkContext._jvm, 0
-    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+def written(spark: SparkSession) -> list[str]:
+    """Scratch paths of this application that release() has not deleted."""
+    return list(_WRITTEN.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete scratch tables that this application wrote, all or those given; results that read them must be stored first."""
+    app, jvm, done = spark.sparkContext.applicationId, spark.sparkContext._jvm, 0
+    for path in written(spark) if paths is None else paths:
         target = jvm.org.apache.hadoop.fs.Path(path)
         fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         done += bool(fs.delete(target, True))
+        if path in _WRITTEN.get(app, []):
+            _WRITTEN[app].remove(path)
     return done
 
 

@@ -48,7 +48,7 @@ _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122
 class ScanParams:
     """threshold: share of a template's tokens that a block must hold.  Longer paragraphs are read in windows of block_words, half overlapping."""
 
-    threshold: float = 0.8
+    threshold: float = 0.9
     block_words: int = 200
     phrases: dict = field(default_factory=lambda: dict(PHRASES))
     templates: dict = field(default_factory=lambda: {k: list(v) for k, v in TEMPLATES.items()})
