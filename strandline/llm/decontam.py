@@ -22,26 +22,27 @@ from .common import alnum_words, materialize
 MAX_BROADCAST_TERMS = 500_000
 
 
+#: Documents that may match are found again through so many hash buckets, the fixed bound of what is broadcast for it.
+MATCH_BUCKETS = 1 << 20
+
+
 @dataclass(frozen=True)
 class IndexParams:
     """window words make one test window; rare of its terms must meet before words are compared; slop is for proximity matches."""
 
     window: int = 13
-    rare: int = 3
+    rare: int = 2
     slop: int = 5
 
 
-def test_windows(items: DataFrame, p: IndexParams, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(window, words, items): each distinct window once, with the items it comes from; shorter items are one window."""
-    rows = items.select(F.col(id_col).cast("string").alias("_item"), alnum_words(F.col(text_col)).alias("_w")).where(F.size("_w") > 0)
-    at = F.explode(F.sequence(F.lit(1), F.greatest(F.size("_w") - p.window + 1, F.lit(1))))
-    rows = rows.select("_item", "_w", at.alias("_at")).select("_item", F.slice("_w", F.col("_at"), p.window).alias("words"))
-    return rows.groupBy("words").agg(F.sort_array(F.collect_set("_item")).alias("items")).withColumn("window", F.sha2(F.array_join("words", " "), 256))
+def test_items(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """(item, text_words): items with words; repeated rows once."""
+    return items.select(F.col(id_col).cast("string").alias("item"), alnum_words(F.col(text_col)).alias("text_words")).where(F.size("text_words") > 0).distinct()
 
 
-def term_frequencies(docs: DataFrame, windows: DataFrame) -> DataFrame:
+def term_frequencies(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(term, n): how often each test term stands in all documents; docs has _words."""
-    terms = materialize(windows.select(F.explode("words").alias("term")).distinct(), "test-terms")
+    terms = materialize(items.select(F.explode("text_words").alias("term")).distinct(), "test-terms")
     each = docs.select(F.explode("_words").alias("term"))
     if terms.count() <= MAX_BROADCAST_TERMS:
         seen = each.join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
@@ -50,11 +51,16 @@ def term_frequencies(docs: DataFrame, windows: DataFrame) -> DataFrame:
     return terms.join(seen, "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def anchors(windows: DataFrame, frequencies: DataFrame, p: IndexParams) -> DataFrame:
-    """(window, term, offset, n): the rarest positions of each window, rarest first by corpus frequency."""
-    each = windows.select("window", F.posexplode("words").alias("offset", "term")).join(frequencies, "term")
-    order = W.partitionBy("window").orderBy("n", "term", "offset")  # a window's words at most
-    return each.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= p.rare).select("window", "term", "offset", "n")
+def anchors(items: DataFrame, frequencies: DataFrame, p: IndexParams) -> DataFrame:
+    """(item, text_words, start, offset, term): the rarest positions of each window, by corpus frequency.
+
+    Windows start at every word that has enough behind it; shorter items are one
+    window.  offset counts from the item's first word.
+    """
+    each = items.select("item", "text_words", F.posexplode("text_words").alias("offset", "term")).join(frequencies, "term")
+    start = F.explode(F.sequence(F.greatest(F.lit(0), F.col("offset") - p.window + 1), F.greatest(F.lit(0), F.least(F.col("offset"), F.size("text_words") - p.window))))
+    order = W.partitionBy("item", "text_words", "start").orderBy("n", "term", "offset")  # a window's words at most
+    return each.withColumn("start", start).withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= p.rare).select("item", "text_words", "start", "offset", "term")
 
 
 def build_postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -63,25 +69,25 @@ def build_postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return materialize(docs.select("_key", F.posexplode("_words").alias("pos", "term")).join(terms, "term", "left_semi"), "postings")
 
 
-def phrase_candidates(postings: DataFrame, anchor: DataFrame) -> DataFrame:
-    """(_key, window, at): where all of a window's anchors meet after subtracting their offsets."""
-    need = anchor.groupBy("window").agg(F.count("*").alias("_need"))
-    met = postings.join(anchor.select("window", "term", "offset"), "term").groupBy("_key", "window", (F.col("pos") - F.col("offset")).alias("at")).agg(F.count("*").alias("_met"))
-    return met.where("at >= 0").join(need, "window").where("_met = _need").select("_key", "window", "at")
+def phrase_candidates(postings: DataFrame, anchor: DataFrame, p: IndexParams) -> DataFrame:
+    """(_key, item, diag): documents and items of which enough anchors meet after subtracting their offsets; diag is where the item would start."""
+    places = anchor.groupBy("item", "offset", "term").agg(F.min(F.least(F.size("text_words"), F.lit(p.rare))).alias("need"))
+    met = postings.join(places, "term").groupBy("_key", "item", (F.col("pos") - F.col("offset")).alias("diag")).agg(F.count("*").alias("_met"), F.min("need").alias("need"))
+    return met.where("_met >= need").select("_key", "item", "diag")
 
 
 def proximity_matches(postings: DataFrame, anchor: DataFrame, p: IndexParams) -> DataFrame:
-    """(_key, window, at): all distinct anchor terms of a window within its length plus slop words, in any order; at is the first."""
-    need = anchor.groupBy("window").agg(F.countDistinct("term").alias("_need"))
-    hits = postings.join(anchor.select("window", "term").distinct(), "term").select("_key", "window", "pos", "term")
-    span = W.partitionBy("_key", "window").orderBy("pos").rangeBetween(0, p.window + p.slop - 1)
+    """(_key, item, start, at): all distinct anchor terms of a window within its length plus slop words, in any order; at is the first."""
+    need = anchor.groupBy("item", "start").agg(F.countDistinct("term").alias("_need"))
+    hits = postings.join(anchor.select("item", "start", "term").distinct(), "term").select("_key", "item", "start", "pos", "term")
+    span = W.partitionBy("_key", "item", "start").orderBy("pos").rangeBetween(0, p.window + p.slop - 1)
     near = hits.withColumn("_terms", F.size(F.collect_set("term").over(span)))
-    return near.join(need, "window").where("_terms = _need").groupBy("_key", "window").agg(F.min("pos").alias("at"))
+    return near.join(need, ["item", "start"]).where("_terms = _need").groupBy("_key", "item", "start").agg(F.min("pos").alias("at"))
 
 
 @dataclass
 class Index:
-    windows: DataFrame
+    items: DataFrame
     anchors: DataFrame
     postings: DataFrame
     words: DataFrame  # the forward index: _key, n_words, _words
@@ -95,21 +101,33 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def build_index(docs: DataFrame, items: DataFrame, p: IndexParams = IndexParams(), id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> Index:
-    windows = materialize(test_windows(items, p, item_col, item_text_col), "test-windows")
+    tests = materialize(test_items(items, item_col, item_text_col), "test-items")
     rows = materialize(keyed(docs, id_col, text_col), "words")
-    anchor = materialize(anchors(windows, materialize(term_frequencies(rows, windows), "term-frequencies"), p), "anchors")
+    anchor = materialize(anchors(tests, materialize(term_frequencies(rows, tests), "term-frequencies"), p), "anchors")
     postings = build_postings(rows, materialize(anchor.select("term").distinct(), "anchor-terms"))
-    return Index(windows, anchor, postings, rows)
+    return Index(tests, anchor, postings, rows)
+
+
+def _matching(words, test, diag, p: IndexParams):
+    """Word numbers of the document that lie in a window of the item, where both are laid over each other at diag."""
+    n = F.size(test)
+    w = F.least(n, F.lit(p.window))
+    same = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(F.get(words, diag + i) == F.get(test, i), "1").otherwise("0")), "")
+    starts = F.filter(F.sequence(F.lit(0), n - w), lambda i: F.substr(same, i + 1, w) == F.repeat(F.lit("1"), w))
+    return F.flatten(F.transform(starts, lambda i: F.sequence(diag + i, diag + i + w - 1)))
 
 
-def exact_matches(index: Index) -> DataFrame:
+def exact_matches(index: Index, p: IndexParams = IndexParams()) -> DataFrame:
     """(_key, n_hit, items): words of each matching document inside any window, and the items whose windows stand in it."""
-    found = phrase_candidates(index.postings, index.anchors)
-    found = materialize(found.join(index.windows.select("window", "words", "items"), "window").groupBy("_key").agg(F.collect_list(F.struct("at", "words", "items")).alias("_c")), "candidates")
-    # Candidates are a few documents; their table has a known size, so Spark broadcasts it below its threshold and else sorts and merges.
-    rows = index.words.select("_key", "_words").join(found, "_key").withColumn("_c", F.filter("_c", lambda c: F.slice(F.col("_words"), c["at"] + 1, F.size(c["words"])) == c["words"])).where(F.size("_c") > 0)
-    hit = F.size(F.array_distinct(F.flatten(F.transform("_c", lambda c: F.sequence(c["at"], c["at"] + F.size(c["words"]) - 1)))))
-    return rows.select("_key", hit.cast("long").alias("n_hit"), F.sort_array(F.array_distinct(F.flatten(F.transform("_c", lambda c: c["items"])))).alias("items"))
+    found = phrase_candidates(index.postings, index.anchors, p).join(index.items, "item")
+    found = materialize(found.groupBy("_key").agg(F.collect_list(F.struct("item", "text_words", "diag")).alias("_c")), "matches")
+    bucket = F.pmod(F.xxhash64("_key"), F.lit(MATCH_BUCKETS)).alias("_bucket")
+    some = F.broadcast(found.select(bucket).distinct())  # MATCH_BUCKETS rows at most
+    rows = index.words.select("_key", "_words", bucket).join(some, "_bucket", "left_semi").join(found, "_key")
+    hits = F.filter(F.transform("_c", lambda c: F.struct(c["item"].alias("item"), _matching(F.col("_words"), c["text_words"], c["diag"], p).alias("at"))), lambda c: F.size(c["at"]) > 0)
+    rows = rows.select("_key", hits.alias("_c")).where(F.size("_c") > 0)
+    n_hit = F.size(F.array_distinct(F.flatten(F.transform("_c", lambda c: c["at"])))).cast("long")
+    return rows.select("_key", n_hit.alias("n_hit"), F.sort_array(F.array_distinct(F.transform("_c", lambda c: c["item"]))).alias("items"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, p: IndexParams = IndexParams(), id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -120,7 +138,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, p: IndexParams = IndexParam
     gives no rows, one of items no hits.
     """
     index = build_index(docs, items, p, id_col, text_col, item_col, item_text_col)
-    hits = materialize(exact_matches(index).dropDuplicates(["_key"]), "hits")
+    hits = materialize(exact_matches(index, p).dropDuplicates(["_key"]), "hits")
     out = index.words.select("_key", "n_words").join(hits, "_key", "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return out.select(F.col("_key.id").alias(id_col), F.col("_key.h").alias("_h"), "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
