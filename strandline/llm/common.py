@@ -1,74 +1,17 @@
-"""Shared plumbing: the scratch area, table reading and text definitions."""
+"""Shared plumbing: table reading and text definitions."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.scratch import materialize, release, scratch_dir, scratch_path, written
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: Separators of the alphanumeric word definition, after A-Z became a-z.
 NON_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-_LOCAL_SCRATCH: dict[str, str] = {}
-_WRITTEN: dict[str, list[str]] = {}
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir.
-
-    Where the session has none, a temporary folder serves a local master; on a
-    cluster that would be a folder other machines can't see, so it is an error.
-    """
-    conf = spark.sparkContext.getConf()
-    base = conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    master = conf.get("spark.master", "")
-    if not master.startswith("local[") and master != "local":
-        raise ValueError("spark.checkpoint.dir must name a folder shared by driver and executors")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_SCRATCH:
-        _LOCAL_SCRATCH[app] = "file://" + tempfile.mkdtemp(prefix="strandline-")
-    return _LOCAL_SCRATCH[app]
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the scratch area, remembered for release()."""
-    app = spark.sparkContext.applicationId
-    path = f"{scratch_dir(spark)}/{app}/{name}-{uuid.uuid4().hex[:12]}"
-    _WRITTEN.setdefault(app, []).append(path)
-    return path
-
-
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write df as a table in the scratch area and read it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def written(spark: SparkSession) -> list[str]:
-    """Scratch paths of this application that release() has not deleted."""
-    return list(_WRITTEN.get(spark.sparkContext.applicationId, []))
-
-
-def release(spark: SparkSession, paths: list[str] | None = None) -> int:
-    """Delete scratch tables that this application wrote, all or those given; results that read them must be stored first."""
-    app, jvm, done = spark.sparkContext.applicationId, spark.sparkContext._jvm, 0
-    for path in written(spark) if paths is None else paths:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        done += bool(fs.delete(target, True))
-        if path in _WRITTEN.get(app, []):
-            _WRITTEN[app].remove(path)
-    return done
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -83,3 +26,6 @@ def alnum_words(text: Column) -> Column:
     """Words of the alphanumeric definition, in order; null text has none."""
     parts = F.split(ascii_lower(F.coalesce(text, F.lit(""))), NON_WORD)
     return F.filter(parts, lambda w: w != "")
+
+
+__all__ = ["LOWER", "NON_WORD", "UPPER", "alnum_words", "ascii_lower", "materialize", "read_table", "release", "scratch_dir", "scratch_path", "written"]
