@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import chat, decontam, licenses, njoin, packing, quality, secrets, sharding, urls, warc
 from .common import read_table
+from .oracles import oracle_sql
 
 URL_RULES = (
     urls.Rule("net", "/", "block"),
@@ -49,7 +50,7 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return njoin.join_components(read_table(spark, sf_dir, "documents"))
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(read_table(spark, sf_dir, "documents"))
+    return quality.judge(read_table(spark, sf_dir, "documents")).drop("host_rate", "host_kept")
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -78,33 +79,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_packing, op2_sharding, op3_warc, op4_url_filter, op5_ngram_join, op6_quality, op7_chat, op8_licenses, op9_decontamination, op10_secrets)}
 
 
-#: Equal payloads of 100 bytes or more: the smallest page is the response.
-_WARC_SQL = """
-WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
-q AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS lo FROM p)
-SELECT page_id, n AS payload_bytes, d AS payload_digest,
-       CASE WHEN n >= 100 AND page_id > lo THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN n >= 100 AND page_id > lo THEN lo END AS refers_to
-FROM q
-"""
-
-_ESCAPED = "replace(coalesce({0}, ''), '\\', '\\\\')"
-for _c in chat.Template().controls:
-    _ESCAPED = f"replace({_ESCAPED}, '{_c}', '{_c[0]}\\{_c[1:]}')"
-
-_CHAT_SQL = f"""
-WITH t AS (
-  SELECT conv_id, turn, role, coalesce(text, '') AS text, {_ESCAPED.format("text")} AS te, {_ESCAPED.format("role")} AS re FROM conversations
-  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]', {_ESCAPED.format("'</s>[INST] ok [/INST]'")}, 'user'
-  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]', {_ESCAPED.format("'</s>[INST] ok [/INST]'")}, 'assistant')
-SELECT conv_id, count(*) AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
-       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-       CAST(sum(length(te) + length(re) + {sum(map(len, (chat.Template().open, chat.Template().close_role, chat.Template().end)))}) AS BIGINT) AS formatted_chars
-FROM t GROUP BY conv_id
-"""
-
-
-def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": _WARC_SQL, "op7_chat": _CHAT_SQL}
+__all__ = ["oracle_sql", "packed", "queries"]
