@@ -10,6 +10,7 @@ the displaced pieces.  Between epochs each island's elite migrates to the next.
 from __future__ import annotations
 
 import base64
+import json
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -54,11 +55,10 @@ class ChunkEncoder:
     special token's string, are encoded whole.
     """
 
-    def __init__(self, path: str, ranks_path: str | None = None, max_cached: int = 400_000):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+    def __init__(self, path: str, ranks_path: str | None = None, max_cached: int = 800_000, slice_chars: int = 4_000_000):
+        self.path, self.loaded = path, None
+        with open(path, encoding="utf-8") as f:
+            self.special = [t["content"] for t in json.load(f)["added_tokens"]]
         self.plain = None
         if ranks_path:
             import tiktoken
@@ -70,9 +70,18 @@ class ChunkEncoder:
             self.plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
-        self.max_cached = max_cached
+        self.max_cached, self.slice_chars = max_cached, slice_chars
         self.feed = self.whole("\n")
 
+    @property
+    def tokenizer(self):
+        """Loaded when the first text needs it."""
+        if self.loaded is None:
+            from tokenizers import Tokenizer
+
+            self.loaded = Tokenizer.from_file(self.path)
+        return self.loaded
+
     def whole(self, text: str) -> bytes:
         if self.plain is not None and not any(s in text for s in self.special):
             ids = self.plain(text)
@@ -90,10 +99,10 @@ class ChunkEncoder:
         head, *lines = chunk.split("\n")
         if not head or any(not x or x[0].isspace() for x in lines):
             return self.whole(lead + chunk)
-        out = [(self.later if lead else self.first).get(head) or self._chunk(head, lead)]
+        ids = (self.later if lead else self.first).get(head) or self._chunk(head, lead)
         for x in lines:
-            out += [self.feed, self.first.get(x) or self._chunk(x, "")]
-        return b"".join(out)
+            ids += self.feed + (self.first.get(x) or self._chunk(x, ""))
+        return ids
 
     def _learn(self, cache: dict[str, bytes], chunks: list[str], lead: str) -> None:
         """Encode chunks without line feeds in one call; token byte lengths tell where each ends."""
@@ -111,36 +120,55 @@ class ChunkEncoder:
                 cache[c] = data[4 * (a + skip) : 4 * b]
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text; texts are split in slices, so few chunks are held at a time."""
+        out, part, size = [], [], 0
+        for text in texts:
+            part.append(text)
+            size += len(text or "")
+            if size >= self.slice_chars:
+                out += self._encode_slice(part)
+                part, size = [], 0
+        return out + self._encode_slice(part)
+
+    def _encode_slice(self, texts: list[str | None]) -> list[bytes]:
         if len(self.first) + len(self.later) > self.max_cached:
             self.first.clear()
             self.later.clear()
-        split = [t.split(" ") if t else None for t in texts]
-        known, heads, new, new_heads = self.later, self.first, set(), set()
-        for chunks in split:
-            for c in [c for c in chunks or () if c not in known]:
-                head, *lines = c.split("\n")
-                if head and not head[0].isspace() and head not in known:
+        get, heads, new, new_heads, rows = self.later.get, self.first, set(), set(), []
+        for text in texts:
+            if not text or any([s in text for s in self.special]):
+                rows.append(None)
+                continue
+            chunks = text.split(" ")
+            out = list(map(get, chunks))
+            out[0] = None
+            gaps = [i for i, x in enumerate(out) if x is None]
+            rows.append((chunks, out, gaps))
+            for i in gaps:
+                head, *lines = chunks[i].split("\n")
+                if i and head and not head[0].isspace():
                     new.add(head)
-                new_heads.update(x for x in lines if x and not x[0].isspace() and x not in heads)
-        self._learn(known, sorted(new), " ")
-        self._learn(heads, sorted(new_heads), "\n")
-        return [self.encode(t, chunks) for t, chunks in zip(texts, split)]
-
-    def encode(self, text: str | None, chunks: list[str] | None = None) -> bytes:
-        if not text:
-            return b""
-        for s in self.special:
-            if s in text:
-                return self.whole(text)
-        chunks = chunks or text.split(" ")
-        out = list(map(self.later.get, chunks))
-        out[0] = self._chunk(chunks[0], "") if chunks[0] else b""
-        if None in out:
-            for i, ids in enumerate(out):
-                if ids is None:
-                    out[i] = self._chunk(chunks[i], " ")
-                    if out[i] is None:
-                        return self.whole(text)
+                elif not i and head:
+                    new_heads.add(head)
+                for x in lines:
+                    if x and not x[0].isspace():
+                        new_heads.add(x)
+        self._learn(self.later, [c for c in new if c not in self.later], " ")
+        self._learn(heads, [c for c in new_heads if c not in heads and not c[0].isspace()], "\n")
+        return [self._join(t, r) for t, r in zip(texts, rows)]
+
+    def _join(self, text: str | None, row: tuple | None) -> bytes:
+        if row is None:
+            return self.whole(text) if text else b""
+        chunks, out, gaps = row
+        for i in gaps:
+            if i == 0:
+                out[0] = self._chunk(chunks[0], "") if chunks[0] else b""
+            else:
+                c = chunks[i]
+                out[i] = self.later.get(c) or self._chunk(c, " ")
+                if out[i] is None:
+                    return self.whole(text)
         return b"".join(out)
 
 
