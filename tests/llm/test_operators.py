@@ -160,6 +160,29 @@ def test_network_on_held_out_lines(net):
     assert found[label == 1].mean() > 0.9 and found[label == 0].mean() < 0.1
 
 
+def test_a_secret_late_in_a_long_run_is_seen(net):
+    rng = np.random.default_rng(5)
+    path = "services/integrations/incoming/webhooks/production/"
+    values = [v for v, x in secrets._made_up(rng, 60) if x]
+    for head, tail in ((path, ""), (path * 3, ""), (path, "/archive/of/the/older/things/without/any/number")):
+        texts = [f"it stands in {head}{v}{tail} and goes on" for v in values]
+        found = [[s for s in secrets.scan_text(t, net) if s[0] == "net"] for t in texts]
+        whole = [[("net", 13, 13 + len(head + v + tail))] for v in values]
+        assert sum(f == w for f, w in zip(found, whole)) >= 0.9 * len(values)
+    plain = [f"it stands in {path * k}2024 and goes on" for k in (1, 2, 3)]
+    assert not any(secrets.scan_text(t, net) for t in plain)
+
+
+def test_pieces_cover_whole_spans():
+    p = secrets.NetParams()
+    spans = [(3, 20), (30, 78), (100, 149), (200, 1000)]
+    parts, first = secrets.pieces(spans, p)
+    for k, (a, b) in enumerate(spans):
+        own = parts[first[k] : first[k + 1] if k + 1 < len(first) else None]
+        assert own[0][0] == a and own[-1][1] == b and all(0 < e - s <= p.value_chars for s, e in own)
+        assert all(t - s <= p.value_chars // 2 for (s, _), (t, _) in zip(own, own[1:]))
+
+
 def test_redacted_texts_hold_no_base_secret(docs, net):
     out = secrets.redact(docs.select("doc_id", "text", F.length("text").cast("long").alias("n_chars")), net).collect()
     assert all(not brute.secrets(r.text) for r in out)
