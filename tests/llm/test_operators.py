@@ -183,6 +183,16 @@ def test_pieces_cover_whole_spans():
         assert all(t - s <= p.value_chars // 2 for (s, _), (t, _) in zip(own, own[1:]))
 
 
+def test_threshold_keeps_the_recall_where_scores_are_low():
+    rng = np.random.default_rng(4)
+    x, y = rng.integers(2, 97, (2000, 80)).astype(np.uint8), (rng.random(2000) < 0.1).astype(float)
+    blind = secrets.CharNet(secrets.NetParams())  # not fitted: no positive scores near 0.5
+    blind.calibrate(x, y)
+    found = blind.scores(x) >= blind.threshold
+    assert blind.threshold < 0.5 and found[y > 0.5].mean() >= 0.99
+    assert (blind.recall, blind.precision) == (found[y > 0.5].mean(), y[found].mean())
+
+
 def test_redacted_texts_hold_no_base_secret(docs, net):
     out = secrets.redact(docs.select("doc_id", "text", F.length("text").cast("long").alias("n_chars")), net).collect()
     assert all(not brute.secrets(r.text) for r in out)
