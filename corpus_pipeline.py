@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import decontam, njoin, quality, secrets
@@ -17,28 +17,47 @@ NEAR_COPIES = njoin.JoinParams(words=5, percent=80, sampled=0.33)
 _SCRATCH: dict[str, list[str]] = {}
 
 
+def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
+    """docs with _row: the id (null ones last), a hash of the text, and more; what it doesn't tell apart gets one verdict."""
+    key = [F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), *more]
+    return docs.withColumn("_row", F.struct(*key))
+
+
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs but the rows whose doc_id is in gone (null ids match too); a table of known size, broadcast only below Spark's threshold."""
-    gone = materialize(gone.select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    """docs but the rows whose _row is in gone; a table of known size, broadcast only below Spark's threshold."""
+    gone = materialize(gone.select(F.col("_row").alias("_gone")).distinct(), "gone")
+    return docs.join(gone, F.col("_row") == F.col("_gone"), "left_anti")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules, or their host's verdict, reject go."""
-    return _without(docs, quality.judge(docs).where(~F.col("kept")))
+    """Rows that the rules, or their host's verdict, reject go."""
+    rows = _keyed(docs, F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"))
+    return _without(rows, quality.judge(rows, id_col="_row").where(~F.col("kept"))).drop("_row")
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents the one with the smallest id stays; of rows with one id, one."""
-    found = materialize(njoin.join_components(docs, NEAR_COPIES), "linked")
-    out = _without(docs, found.where(F.col("doc_id") != F.col("component_id")))
-    repeated = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1")
-    return out if repeated.isEmpty() else out.dropDuplicates(["doc_id"])
+    """Of linked rows the one with the smallest id, then text hash, stays; of rows with one id and text, one.
+
+    Rows without words link with nothing and stay; so do different texts under one id that aren't linked.
+    """
+    rows = _keyed(docs)
+    found = materialize(njoin.join_components(rows, NEAR_COPIES, id_col="_row").where("n_shingles > 0"), "linked")
+    out = _without(rows, found.where(F.col("_row") != F.col("component_id")))
+    repeated = found.where(F.col("_row") == F.col("component_id")).groupBy("_row").agg(F.count("*").alias("k")).where("k > 1")
+    repeated = materialize(repeated.select(F.col("_row").alias("_again")), "repeated")
+    if not repeated.isEmpty():
+        again = F.col("_row") == F.col("_again")
+        once = out.join(repeated, again, "left_semi").dropDuplicates(["_row"])
+        out = out.join(repeated, again, "left_anti").unionByName(once)
+    return out.drop("_row")
 
 
 def keep_clean_of_tests(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go."""
-    return _without(docs, decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark")).where("contaminated"))
+    """Contaminated rows go."""
+    rows = _keyed(docs)
+    found = decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark")).where("contaminated")
+    gone = found.select(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_h").alias("h")).alias("_row"))
+    return _without(rows, gone).drop("_row")
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

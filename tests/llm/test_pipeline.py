@@ -51,3 +51,29 @@ def test_stages_keep_the_columns(spark, corpus):
         df = spark.read.parquet(path)
     texts = [r.text for r in df.collect()]
     assert not any(brute.secrets(t) for t in texts)
+
+
+def test_null_and_repeated_ids_are_judged_row_by_row(spark, tmp_path):
+    rng = random.Random(21)
+    text = lambda n: " ".join(rng.choice(["stone", "river", "light", "ember"]) + str(rng.randrange(300)) for _ in range(n))
+    passage, base = text(40), text(120)
+    clean = [text(90) for _ in range(7)]
+    docs = [(None, "too short"), (None, clean[0]), (None, clean[1]), (5, "too short"), (5, clean[2]), (5, clean[3]), (5, clean[3]), (6, clean[4]), (6, clean[4])]
+    docs += [(None, text(50) + " " + passage), (None, base), (None, base), (None, base + " more"), (7, base), (8, text(50) + " " + passage), (8, clean[5]), (None, clean[6]), (None, clean[6] + " more")]
+    spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    df = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in cp.STAGES[:3]:
+        stage(spark, df, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        df = spark.read.parquet(f"{tmp_path}/{name}")
+    got = sorted((r.doc_id or 0, r.text) for r in df.collect())
+    assert {t for _, t in got if t.startswith(clean[6])} < {clean[6], clean[6] + " more"}
+    want = [(0, clean[0]), (0, clean[1]), (5, clean[2]), (5, clean[3]), (6, clean[4]), (7, base), (8, clean[5])]
+    assert [g for g in got if not g[1].startswith(clean[6])] == sorted(want) and len(got) == len(want) + 1
+
+
+def test_rows_without_words_link_with_nothing(spark):
+    rows = [(None, None), (None, None), (1, ""), (1, ""), (2, "..."), (3, "some words"), (3, "some words")]
+    docs = spark.createDataFrame([(i, t, "src") for i, t in rows], "doc_id long, text string, source string")
+    got = [(r.doc_id, r.text) for r in cp.keep_one_of_each(spark, docs, "").collect()]
+    assert sorted(got, key=str) == sorted(rows[:-1], key=str)
