@@ -55,7 +55,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def keep_clean_of_tests(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated rows go."""
     rows = _keyed(docs)
-    found = decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark")).where("contaminated")
+    found = decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark"), near=False).where("contaminated")
     gone = found.select(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_h").alias("h")).alias("_row"))
     return _without(rows, gone).drop("_row")
 

@@ -85,6 +85,43 @@ def proximity_matches(postings: DataFrame, anchor: DataFrame, p: IndexParams) ->
     return near.join(need, ["item", "start"]).where("_terms = _need").groupBy("_key", "item", "start").agg(F.min("pos").alias("at"))
 
 
+def near_candidates(postings: DataFrame, anchor: DataFrame, p: IndexParams) -> DataFrame:
+    """(_key, item, _text, starts, pos): where the anchor terms of an item's windows, which begin at starts, meet from pos on.
+
+    Windows with equal anchor terms are one; every proximity match holds such a place.
+    """
+    sets = anchor.groupBy("item", F.xxhash64("text_words").alias("_text"), "start").agg(F.sort_array(F.collect_set("term")).alias("_set"))
+    sets = materialize(sets.groupBy("item", "_text", "_set").agg(F.sort_array(F.collect_list("start")).alias("starts")), "anchor-sets")
+    hits = postings.join(sets.select("item", "_text", "starts", F.size("_set").alias("_need"), F.explode("_set").alias("term")), "term")
+    span = W.partitionBy("_key", "item", "_text", "starts").orderBy("pos").rangeBetween(0, p.window + p.slop - 1)  # words of one document
+    near = hits.withColumn("_terms", F.size(F.collect_set("term").over(span)))
+    return near.where("_terms = _need").select("_key", "item", "_text", "starts", "pos")
+
+
+def _near(words, test, starts, pos, p: IndexParams):
+    """Whether all words of a window of the item that begins at one of starts stand, in any order, within its length plus slop around pos."""
+    w = F.least(F.size(test), F.lit(p.window))
+    reach = w + p.slop
+    low = F.greatest(F.lit(0), pos - reach + 1)
+    lacks = lambda i, at, n: F.size(F.array_except(F.slice(test, i + 1, w), F.slice(words, at + 1, n)))
+    return F.exists(starts, lambda i: F.when(lacks(i, low, 2 * reach) == 0, F.exists(F.sequence(low, pos), lambda at: lacks(i, at, reach) == 0)).otherwise(False))
+
+
+def near_matches(index: Index, p: IndexParams = IndexParams()) -> DataFrame:
+    """(_key, near_items): items of which all words of a window stand in any order within the window's length plus slop words of the document.
+
+    Exact matches are among them.  A word that a window has twice counts once.
+    """
+    found = near_candidates(index.postings, index.anchors, p).groupBy("_key", "item", "_text").agg(F.collect_list(F.struct("starts", "pos")).alias("_at"))
+    tests = index.items.select("item", F.xxhash64("text_words").alias("_text"), "text_words")
+    found = materialize(found.join(tests, ["item", "_text"]).drop("_text"), "near")
+    bucket = F.pmod(F.xxhash64("_key"), F.lit(MATCH_BUCKETS)).alias("_bucket")
+    some = F.broadcast(found.select(bucket).distinct())  # MATCH_BUCKETS rows at most
+    rows = index.words.select("_key", "_words", bucket).join(some, "_bucket", "left_semi").join(found, "_key")
+    rows = rows.where(F.exists("_at", lambda a: _near(F.col("_words"), F.col("text_words"), a["starts"], a["pos"], p)))
+    return rows.groupBy("_key").agg(F.sort_array(F.collect_set("item")).alias("near_items"))
+
+
 @dataclass
 class Index:
     items: DataFrame
@@ -130,8 +167,10 @@ def exact_matches(index: Index, p: IndexParams = IndexParams()) -> DataFrame:
     return rows.select("_key", n_hit.alias("n_hit"), F.sort_array(F.array_distinct(F.transform("_c", lambda c: c["item"]))).alias("items"))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, p: IndexParams = IndexParams(), id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """(id, _h, n_words, n_hit, items, contaminated) of every row of docs.
+def decontaminate(docs: DataFrame, items: DataFrame, p: IndexParams = IndexParams(), id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", near: bool = True) -> DataFrame:
+    """(id, _h, n_words, n_hit, items, contaminated, near_items) of every row of docs.
+
+    near_items, left out without near, are the proximity matches; they don't make a document contaminated.
 
     Null and empty texts have no words and are clean; items without words have
     no windows; repeated rows get equal results; an empty table of documents
@@ -141,4 +180,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, p: IndexParams = IndexParam
     hits = materialize(exact_matches(index, p).dropDuplicates(["_key"]), "hits")
     out = index.words.select("_key", "n_words").join(hits, "_key", "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return out.select(F.col("_key.id").alias(id_col), F.col("_key.h").alias("_h"), "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
+    none = F.array().cast("array<string>")
+    cols = [F.col("_key.id").alias(id_col), F.col("_key.h").alias("_h"), "n_words", n_hit.alias("n_hit"), F.coalesce("items", none).alias("items"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated")]
+    if near:
+        out = out.join(materialize(near_matches(index, p), "near-items"), "_key", "left")
+        cols.append(F.coalesce("near_items", none).alias("near_items"))
+    return out.select(*cols)

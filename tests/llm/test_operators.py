@@ -130,6 +130,31 @@ def test_proximity_matches(spark):
     assert [(r._key.id, r.at) for r in near] == [(1, 2)]
 
 
+def test_near_items_are_verified_on_the_whole_window(spark):
+    rng = random.Random(13)
+    p = decontam.IndexParams()
+    pool = [f"w{i}" for i in range(40)]
+    items = [(k, [rng.choice(pool) for _ in range(n)]) for k, n in enumerate((13, 20, 30, 5, 2, 1, 20, 20))] + [(6, [rng.choice(pool) for _ in range(15)])]
+    texts = [[rng.choice(pool) for _ in range(rng.choice((3, 40, 300)))] for _ in range(20)]
+    for _, words in items:
+        some = words[:13]
+        texts += [some, rng.sample(some, len(some)), [x for w in some[:5] for x in (w, "gap")] + some[5:], [x for w in some for x in (w, "gap")], some[:-1] + ["other"], ["a"] * 50 + rng.sample(some, len(some)) + ["b"] * 30]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)] + [(len(texts), None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+
+    def near(t, words):
+        w = min(len(words), p.window)
+        windows = [set(words[i : i + w]) for i in range(len(words) - w + 1)]
+        spans = [set(t[s : s + w + p.slop]) for s in range(len(t))]
+        return any(x <= y for x in windows for y in spans)
+
+    want = {i: sorted({str(k) for k, w in items if near(t, w)}) for i, t in enumerate(texts)} | {len(texts): []}
+    out = decontam.decontaminate(docs, bench).collect()
+    assert {r.doc_id: r.near_items for r in out} == want
+    assert all(set(r["items"]) <= set(r.near_items) for r in out) and any(set(r["items"]) < set(r.near_items) for r in out)
+    assert decontam.decontaminate(docs, bench.where("false")).where(F.size("near_items") > 0).count() == 0
+
+
 # --- secrets -----------------------------------------------------------------------------------------------------
 
 
