@@ -1,7 +1,7 @@
 """URL filters: host rules, and a path-template tree learnt per host.
 
-Variable path segments become wildcards, first by their form and then where a
-node has too many children; sibling branches whose labelled shares don't differ
+Variable path segments become wildcards, first by their form and then, where a
+node has too many children, by their labels; sibling branches whose labelled shares don't differ
 statistically are merged; a template is rejected by the smoothed share of bad
 labels in its branch.  Everything is DataFrame expressions over counts per
 distinct template, so a host with a third of all pages is a few rows.
@@ -21,7 +21,8 @@ from .common import LOWER, UPPER, materialize
 
 @dataclass(frozen=True)
 class TreeParams:
-    """max_children: a node with more becomes a wildcard.  depth: deeper segments are one wildcard together.
+    """max_children: a node with more gets so many wildcards at most: one for children with fewer than min_labels labels,
+    the others for equal bands of the smoothed bad share.  depth: deeper segments are one wildcard together.
 
     merge_z: neighbouring siblings whose bad shares differ by less are merged.
     prior_weight labels of the overall share are added to each branch; one with
@@ -89,9 +90,12 @@ def build_tree(pages: DataFrame, p: TreeParams) -> DataFrame:
         # A node with too many children is counted before any window, so a hot node is a few partial sums.
         many = kids.groupBy("_host", "_node").agg((F.count("*") > p.max_children).alias("_many"))
         kids = kids.join(many, ["_host", "_node"])
-        wide = kids.where("_many").select("_host", "_node", "_seg", F.lit("*").alias("_branch"))
-        # Siblings by smoothed bad share; a new branch starts where the step to the next is statistically clear.
         share = (F.col("bad") + prior * p.prior_weight) / (F.col("labels") + p.prior_weight)
+        # There, children with too few labels are one wildcard, and the others one for each band of shares.
+        bands = p.max_children - 1
+        band = F.concat(F.lit("*"), F.least(F.floor(share * bands), F.lit(bands - 1)).cast("string")) if bands > 0 else F.lit("*")
+        wide = kids.where("_many").select("_host", "_node", "_seg", F.when(F.col("labels") < p.min_labels, "*").otherwise(band).alias("_branch"))
+        # Siblings by smoothed bad share; a new branch starts where the step to the next is statistically clear.
         order = W.partitionBy("_host", "_node").orderBy("_share", "_seg")
         few = kids.where(~F.col("_many")).withColumn("_share", share)
         n0, b0 = F.lag("labels").over(order), F.lag("bad").over(order)

@@ -405,6 +405,17 @@ def test_template_tree_learns_bad_branches(spark):
     assert other == 0  # under one wildcard the bad share is not enough
 
 
+def test_bad_sections_of_a_wide_host_are_blocked(spark):
+    name = lambda k: chr(97 + k // 26) + chr(97 + k % 26)
+    data = [(k * 100 + i, f"http://h.io/{name(k)}/{name(i)}") for k in range(40) for i in range(60)]
+    data += [(10_000 + k, f"http://h.io/rare{name(k)}/x") for k in range(100)]
+    pages = spark.createDataFrame(data, "page_id long, url string")
+    bad = {3, 17, 29}
+    labels = pages.where("page_id < 10000 and page_id % 2 = 0").select("page_id", F.floor(F.col("page_id") / 100).isin(*bad).cast("int").alias("bad"))
+    got = {r.page_id: r.verdict for r in urls.judge(pages, labels, ()).collect()}
+    assert {i for i, v in got.items() if v == "block"} == {i for i, _ in data if i < 10_000 and i // 100 in bad}
+
+
 # --- chats -------------------------------------------------------------------------------------------------------
 
 
