@@ -36,8 +36,13 @@ class IndexParams:
 
 
 def test_items(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item, text_words): items with words; repeated rows once."""
-    return items.select(F.col(id_col).cast("string").alias("item"), alnum_words(F.col(text_col)).alias("text_words")).where(F.size("text_words") > 0).distinct()
+    """(item, text_words): items with words; repeated rows once.  item is "i" and the id, or "" for a null id, so that joins keep it."""
+    return items.select(F.coalesce(F.concat(F.lit("i"), F.col(id_col).cast("string")), F.lit("")).alias("item"), alnum_words(F.col(text_col)).alias("text_words")).where(F.size("text_words") > 0).distinct()
+
+
+def listed(items):
+    """Sorted ids of items; null ids aren't listed."""
+    return F.sort_array(F.array_distinct(F.transform(F.filter(items, lambda i: i != ""), lambda i: F.substr(i, F.lit(2)))))
 
 
 def term_frequencies(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -119,7 +124,7 @@ def near_matches(index: Index, p: IndexParams = IndexParams()) -> DataFrame:
     some = F.broadcast(found.select(bucket).distinct())  # MATCH_BUCKETS rows at most
     rows = index.words.select("_key", "_words", bucket).join(some, "_bucket", "left_semi").join(found, "_key")
     rows = rows.where(F.exists("_at", lambda a: _near(F.col("_words"), F.col("text_words"), a["starts"], a["pos"], p)))
-    return rows.groupBy("_key").agg(F.sort_array(F.collect_set("item")).alias("near_items"))
+    return rows.groupBy("_key").agg(listed(F.collect_set("item")).alias("near_items"))
 
 
 @dataclass
@@ -164,7 +169,7 @@ def exact_matches(index: Index, p: IndexParams = IndexParams()) -> DataFrame:
     hits = F.filter(F.transform("_c", lambda c: F.struct(c["item"].alias("item"), _matching(F.col("_words"), c["text_words"], c["diag"], p).alias("at"))), lambda c: F.size(c["at"]) > 0)
     rows = rows.select("_key", hits.alias("_c")).where(F.size("_c") > 0)
     n_hit = F.size(F.array_distinct(F.flatten(F.transform("_c", lambda c: c["at"])))).cast("long")
-    return rows.select("_key", n_hit.alias("n_hit"), F.sort_array(F.array_distinct(F.transform("_c", lambda c: c["item"]))).alias("items"))
+    return rows.select("_key", n_hit.alias("n_hit"), listed(F.transform("_c", lambda c: c["item"])).alias("items"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, p: IndexParams = IndexParams(), id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", near: bool = True) -> DataFrame:
@@ -173,7 +178,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, p: IndexParams = IndexParam
     near_items, left out without near, are the proximity matches; they don't make a document contaminated.
 
     Null and empty texts have no words and are clean; items without words have
-    no windows; repeated rows get equal results; an empty table of documents
+    no windows; items with a null id match but aren't listed; repeated rows get equal results; an empty table of documents
     gives no rows, one of items no hits.
     """
     index = build_index(docs, items, p, id_col, text_col, item_col, item_text_col)

@@ -130,6 +130,14 @@ def test_proximity_matches(spark):
     assert [(r._key.id, r.at) for r in near] == [(1, 2)]
 
 
+def test_items_with_a_null_id_match(spark):
+    text = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, text), (2, "v" + text)], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, text), (4, "other words stand here")], "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r["items"], r.near_items, r.contaminated) for r in decontam.decontaminate(docs, bench).collect()}
+    assert got == {1: (20, [], [], True), 2: (19, [], [], True)}
+
+
 def test_near_items_are_verified_on_the_whole_window(spark):
     rng = random.Random(13)
     p = decontam.IndexParams()
