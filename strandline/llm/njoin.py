@@ -26,11 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import give_back, materialize, sliced
 
-#: A-Z to a-z; other bytes stay.
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
+#: Random values of the 256 bytes, and odd bases, of two polynomial hashes of words.
+_BYTES = np.random.default_rng(20).integers(0, 2**64, (2, 256), np.uint64)
+_BASES = _MIX[:2] | np.uint64(1)
+#: Bytes of text whose words are in memory at once.
+SLICE_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -56,44 +59,59 @@ class JoinParams:
     rare: int = 16
 
 
-def _word_hash(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * _MIX[1]
+    h = (h ^ (h >> np.uint64(29))) * _MIX[2]
+    return h ^ (h >> np.uint64(32))
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of strings: two polynomials over random byte values, mixed together."""
+    words = words.cast(pa.large_string())
+    at = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data, n = np.frombuffer(words.buffers()[2] or b"", np.uint8)[at[0] : at[-1]], np.diff(at)
+    full = np.flatnonzero(n)
+    start = (at - at[0])[:-1][full]
+    place = np.arange(len(data)) - np.repeat(start, n[full])
+    out = n.astype(np.uint64) * _MIX[3]
+    for values, base in zip(_BYTES, _BASES):
+        powers = np.full(int(n.max(initial=0)) + 1, base)
+        powers[0] = 1
+        sums = np.zeros(len(n), np.uint64)
+        if len(full):
+            sums[full] = np.add.reduceat(values[data] * np.cumprod(powers)[place], start)
+        out = _mixed(out ^ sums)
+    return out
+
 
+def _shingled(w: np.ndarray, k: int) -> np.ndarray:
+    """Hash of every k successive ones of the word hashes w."""
+    n = len(w) - k + 1
+    h = np.full(n, k * int(_MIX[7]) & 0xFFFFFFFFFFFFFFFF, np.uint64)
+    for i in range(k):
+        h = (h ^ (h >> np.uint64(29))) * _MIX[(i + 3) % 8] + w[i : i + n] * _MIX[i % 8]
+    return _mixed(h)
 
-class Shingler:
-    """Sorted distinct shingle hashes of texts; word hashes are kept between documents, in bounded memory."""
 
-    def __init__(self, words: int, max_kept: int = 500_000):
-        self.k, self.max_kept, self.known = words, max_kept, {}
+def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text; words are split, and distinct ones hashed, for all texts at once."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, at = lists.flatten(), lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
+    real = pc.binary_length(words).to_numpy() > 0  # white space at an end leaves an empty word
+    names = words.dictionary_encode()
+    w = word_hashes(names.dictionary)[names.indices.to_numpy(zero_copy_only=False)][real] if len(words) else np.zeros(0, np.uint64)
+    at = np.concatenate([[0], np.cumsum(real)])[at]
+    h = _shingled(w, k) if len(w) >= k else np.zeros(0, np.uint64)
+    return [np.unique(h[a : b - k + 1] if b - a >= k else _shingled(w[a:b], b - a) if b > a else w[:0]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
-    def hashes(self, text: str | None) -> np.ndarray:
-        words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []
-        if not words:
-            return np.zeros(0, np.uint64)
-        known = self.known
-        if len(known) > self.max_kept:
-            known.clear()
-        got = list(map(known.get, words))
-        if None in got:
-            for i, h in enumerate(got):
-                if h is None:
-                    got[i] = known[words[i]] = _word_hash(words[i])
-        w = np.array(got, np.uint64)
-        k = min(self.k, len(w))
-        n = len(w) - k + 1
-        h = np.full(n, k * int(_MIX[7]) & 0xFFFFFFFFFFFFFFFF, np.uint64)
-        for i in range(k):
-            x = w[i : i + n] * _MIX[i % 8]
-            h = (h ^ (h >> np.uint64(29))) * _MIX[(i + 3) % 8] + x
-        h ^= h >> np.uint64(32)
-        h *= _MIX[1]
-        h ^= h >> np.uint64(29)
-        return np.unique(h)
 
+def set_digest(h: np.ndarray) -> bytes:
+    """128-bit name of a set of hashes."""
+    return hashlib.blake2b(h.tobytes(), digest_size=16).digest()
 
-def set_digest(h: np.ndarray) -> int:
-    """64-bit name of a set of hashes."""
-    return int.from_bytes(hashlib.blake2b(h.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+def _half(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "little", signed=True)
 
 
 def need_of(n: np.ndarray | int, percent: int):
@@ -115,66 +133,63 @@ def _emit(h: np.ndarray, p: JoinParams) -> list[tuple[np.ndarray, int]]:
 
 
 def shingle(docs: DataFrame, p: JoinParams, id_col: str, text_col: str) -> DataFrame:
-    """(_id, n, set): the size and a 64-bit digest of each row's set; null for the empty set."""
+    """(_id, n, set, half): the size and the 128-bit digest of each row's set, null for the empty set, and half of the digest."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = Shingler(p.words)
-        for batch in batches:
-            ns, sets = [], []
-            for t in batch.column(1).to_pylist():
-                h = s.hashes(t)
-                ns.append(len(h))
-                sets.append(set_digest(h) if len(h) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(sets, pa.int64())], ["_id", "n", "set"])
+        for batch in sliced(batches, 1, SLICE_BYTES):
+            sets = shingle_sets(batch.column(1), p.words)
+            names = [set_digest(h) if len(h) else None for h in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(h) for h in sets], pa.int64()), pa.array(names, pa.binary()), pa.array([x and _half(x) for x in names], pa.int64())], ["_id", "n", "set", "half"])
 
-    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(run, f"_id {kind}, n long, set long")
+    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(run, f"_id {kind}, n long, set binary, half long")
 
 
 def index_rows(docs: DataFrame, p: JoinParams, text_col: str) -> DataFrame:
-    """(set, size, tokens): what each class puts into the index; a task leaves out sets that it has just given.
+    """(half, size, tokens): what each class puts into the index; a task leaves out sets that it has just given.
 
     size packs the set's size and the number of its tokens in the index.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s, given = Shingler(p.words), set()
-        for batch in batches:
-            sets, sizes, tokens = [], [], []
-            for t in batch.column(0).to_pylist():
-                h = s.hashes(t)
+        given: set[bytes] = set()
+        for batch in sliced(batches, 0, SLICE_BYTES):
+            halves, sizes, tokens = [], [], []
+            for h in shingle_sets(batch.column(0), p.words):
                 if not len(h):
                     continue
                 d = set_digest(h)
                 if d in given:
                     continue
-                if len(given) > 500_000:
+                if len(given) > 100_000:
                     given.clear()
                 given.add(d)
                 for x, e in _emit(h, p):
-                    sets.append(d)
+                    halves.append(_half(d))
                     sizes.append(len(h) << 32 | e)
                     tokens.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(sets, pa.int64()), pa.array(sizes, pa.int64()), _arrays(tokens)], ["set", "size", "tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(halves, pa.int64()), pa.array(sizes, pa.int64()), _arrays(tokens)], ["half", "size", "tokens"])
 
-    return docs.select(F.col(text_col).alias("_text")).mapInArrow(run, "set long, size long, tokens array<long>")
+    return docs.select(F.col(text_col).alias("_text")).mapInArrow(run, "half long, size long, tokens array<long>")
 
 
 def candidates(rows: DataFrame, p: JoinParams) -> DataFrame:
-    """(set): classes that share a prefix token, of the tokens in the index, with another class.
+    """(half): classes that share a prefix token, of the tokens in the index, with another class.
 
-    Every token row is shuffled once.  Only tokens of two classes or more go on
-    from there; those of one class are just counted, being first in the order.
+    Every token row is shuffled once, with half of its class's digest and the
+    set's size; the whole digest tells classes apart from the next step on.
+    Only tokens of two classes or more go on from there; those of one class are
+    just counted, being first in the order.
     """
-    each = rows.select("set", "size", F.explode("tokens").alias("token")).repartition("token").dropDuplicates(["token", "set"])
+    each = rows.select("half", "size", F.explode("tokens").alias("token")).repartition("token").dropDuplicates(["token", "half", "size"])
     shared = each.withColumn("df", F.count("*").over(W.partitionBy("token"))).where("df > 1")
-    lists = shared.groupBy("set", F.col("token").bitwiseAND(F.lit(1)).alias("side")).agg(F.first("size").alias("size"), F.collect_list(F.struct("df", "token")).alias("t"))
+    lists = shared.groupBy("half", "size", F.col("token").bitwiseAND(F.lit(1)).alias("side")).agg(F.collect_list(F.struct("df", "token")).alias("t"))
     n, given = F.shiftright("size", 32), F.col("size").bitwiseAND(F.lit(0xFFFFFFFF))
     lists = lists.withColumn("r", (n - F.ceil(n * p.percent / 100) + 1 - given + F.size("t")).cast("int")).where("r > 0")
     first = F.slice(F.sort_array("t"), F.lit(1), F.col("r"))
-    posts = materialize(lists.select("set", F.explode(F.transform(first, lambda x: x["token"])).alias("token")), "sampled-prefixes")
+    posts = materialize(lists.select("half", F.explode(F.transform(first, lambda x: x["token"])).alias("token")), "sampled-prefixes")
     many = posts.groupBy("token").agg(F.count("*").alias("_c")).where("_c > 1").select("token")
-    return posts.join(many, "token", "left_semi").select("set").distinct()
+    return posts.join(many, "token", "left_semi").select("half").distinct()
 
 
 def prefixes(sets: DataFrame, p: JoinParams) -> DataFrame:
@@ -192,7 +207,9 @@ def prefixes(sets: DataFrame, p: JoinParams) -> DataFrame:
     hi = lambda left: F.least(F.floor(F.col("n") * 100 / p.percent), F.floor(left * (100 + p.percent) / p.percent) - F.col("n")).cast("int")
     lists = lists.withColumn("lo", lo).withColumn("r", F.size("t") - F.col("lo") + 1).where("r > 0")
     lists = lists.withColumn("_hi", hi(F.size("t"))).withColumn("_hi_common", hi(F.col("common")))
-    rank = lambda k: F.slice(F.sort_array(F.transform("t", lambda x: F.struct(x["df"], F.xxhash64(x["token"], F.lit(k)), x["token"].alias("token")))), F.lit(1), F.col("r"))
+    # The first order is by frequency; the others are by hash within ever wider bands of frequency, so they agree in little but that rare tokens come first.
+    band = lambda k, df: df if k == 0 else F.floor(F.log2(df) / (k + 1))
+    rank = lambda k: F.slice(F.sort_array(F.transform("t", lambda x: F.struct(band(k, x["df"]), F.xxhash64(x["token"], F.lit(k)), x["token"].alias("token")))), F.lit(1), F.col("r"))
     p0 = F.filter(F.transform(rank(0), lambda x: F.struct(x["token"].alias("token"), F.when(x["df"] > p.rare, F.col("_hi_common")).otherwise(F.col("_hi")).alias("hi"))), lambda x: x["hi"] >= F.col("lo"))
     alone = F.round(1 - F.col("common") / F.col("n"), 2)  # share of tokens that few other candidates have
     return lists.select("set", "n", "lo", alone.alias("alone"), p0.alias("p0"), *[F.transform(rank(k), lambda x: x["token"]).alias(f"p{k}") for k in range(1, p.orders)]).where(F.size("p0") > 0)
@@ -243,17 +260,19 @@ def full_sets(docs: DataFrame, wanted: DataFrame, p: JoinParams, id_col: str, te
     """(set, n, hashes) of the classes in wanted (set, _id), from their documents; the bitmap only spares work."""
     bits = _bitmap(wanted)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s, mine = Shingler(p.words), np.frombuffer(bits, np.uint8)
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = np.frombuffer(bits, np.uint8)
         for batch in batches:
             at = batch.column(1).to_numpy(zero_copy_only=False)
-            yes = np.flatnonzero(mine[at // 8] >> (at % 8).astype(np.uint8) & 1)
-            texts = batch.column(0).take(pa.array(yes)).to_pylist()
-            found = [h for h in map(s.hashes, texts) if len(h)]
-            yield pa.RecordBatch.from_arrays([pa.array([set_digest(h) for h in found], pa.int64()), pa.array([len(h) for h in found], pa.int32()), _arrays(found)], ["set", "n", "hashes"])
+            yield batch.take(pa.array(np.flatnonzero(mine[at // 8] >> (at % 8).astype(np.uint8) & 1)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(chosen(batches), 0, SLICE_BYTES):
+            found = [h for h in shingle_sets(batch.column(0), p.words) if len(h)]
+            yield pa.RecordBatch.from_arrays([pa.array([set_digest(h) for h in found], pa.binary()), pa.array([len(h) for h in found], pa.int32()), _arrays(found)], ["set", "n", "hashes"])
 
     rows = docs.select(F.col(text_col).alias("_text"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << _BITS)).alias("_b"))
-    found = rows.mapInArrow(run, "set long, n int, hashes array<long>").join(wanted.select("set"), "set", "left_semi")
+    found = rows.mapInArrow(run, "set binary, n int, hashes array<long>").join(wanted.select("set"), "set", "left_semi")
     return found.groupBy("set").agg(F.first("n").alias("n"), F.first("hashes").alias("hashes"))
 
 
@@ -270,8 +289,9 @@ def _verify(pairs: DataFrame, sets: DataFrame, p: JoinParams) -> DataFrame:
                 keep.append(100 * both >= p.percent * (len(x) + len(y) - both))
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+        give_back()
 
-    return pairs.select("a", "b").join(sets.select(F.col("set").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("set").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b").join(sets.select(F.col("set").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("set").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
 def _pass_orders(pairs: DataFrame, table: DataFrame, p: JoinParams) -> DataFrame:
@@ -297,7 +317,7 @@ def _relabel(labels: DataFrame, links: DataFrame, name: str) -> DataFrame:
 def link_classes(docs: DataFrame, classes: DataFrame, p: JoinParams, id_col: str, text_col: str) -> DataFrame | None:
     """(set, label) of the classes that may link with others; None where there are none."""
     near = materialize(candidates(index_rows(docs, p, text_col), p), "candidates")
-    wanted = materialize(classes.join(near, "set", "left_semi").select("set", F.col("rep").alias("_id")), "wanted")
+    wanted = materialize(classes.join(near, "half", "left_semi").select("set", F.col("rep").alias("_id")), "wanted")
     if wanted.isEmpty():
         return None
     sets = materialize(full_sets(docs, wanted, p, id_col, text_col), "sets")
@@ -343,10 +363,11 @@ def join_components(docs: DataFrame, p: JoinParams = JoinParams(), id_col: str =
     one; null texts, and those without words, have none and link with nothing,
     so their component is their own id.  Repeated rows and equal sets are one
     class and never compared.  An empty table gives no rows; other columns
-    aren't read.  Sets are compared by 64-bit hashes.
+    aren't read.  Long texts are read whole, alone.  Sets are compared by 64-bit
+    hashes of their shingles; classes are 128-bit digests.
     """
     rows = materialize(shingle(docs, p, id_col, text_col), "classes")
-    classes = rows.where(F.col("set").isNotNull()).groupBy("set").agg(F.min("_id").alias("rep"), F.count("*").alias("k"))
+    classes = rows.where(F.col("set").isNotNull()).groupBy("set").agg(F.first("half").alias("half"), F.min("_id").alias("rep"), F.count("*").alias("k"))
     classes = materialize(classes, "reps")
     labels = link_classes(docs, classes, p, id_col, text_col)
     if labels is None:

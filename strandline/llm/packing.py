@@ -11,29 +11,39 @@ from __future__ import annotations
 
 import base64
 import json
-import struct
+import random
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import give_back, held, materialize, sliced
 
 
 @dataclass(frozen=True)
 class PackParams:
-    """block_items bounds what one task holds; the rest is the search's size."""
+    """block_items bounds what one task holds; the rest is the search's size.
+
+    generations: crossovers of an island in each epoch.  inject, mutate: bins
+    that one takes over, and others that it dissolves, at most.  tries: items
+    that are tried as the first of three that fill a room.
+    """
 
     capacity: int = 2048
     block_items: int = 8192
     islands: int = 2
     epochs: int = 2
-    population: int = 4
-    generations: int = 6
+    population: int = 6
+    generations: int = 1500
+    inject: int = 3
+    mutate: int = 4
+    tries: int = 16
     well_filled: float = 0.995
     dissolve_below: float = 0.98
     seed: int = 5
@@ -41,21 +51,33 @@ class PackParams:
 
 # --- token ids ---------------------------------------------------------------------------------------------------
 
+#: A text with two blanks in a row, or one before another white space or at an end, has chunks that don't stand alone.
+_ODD = r" (?:[\s\p{Z}\x0b\x1c-\x1f\x{85}]|$)|^ "
+#: Where a long text may be cut: before a single blank between visible characters.
+_CUT = re.compile(r"\S (?=\S)")
+#: Bytes of text whose chunks are in memory at once.
+SLICE_BYTES = 6 << 20
+SECTION_CHARS = 2_000_000
+
+
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+
 
 class ChunkEncoder:
-    """Ids as little-endian unsigned 32-bit bytes, by the tokenizer, through a cache of blank-delimited chunks.
+    """Ids of many texts at once: each distinct blank-delimited chunk of a slice is encoded once.
 
-    ranks_path names the same vocabulary as ranks; with it, chunks that aren't
-    cached yet are encoded by the faster library, to the same ids.
+    ranks_path names the same vocabulary as ranks; with it, chunks are encoded
+    by the faster library, to the same ids.
 
     A byte-level BPE of this family never joins what stands before a single
-    blank with what follows it, and takes a line feed before a visible
-    character alone, so chunks between them have the ids that they have in the
-    whole text.  Texts for which that can't be told, and those that hold a
-    special token's string, are encoded whole.
+    blank with what follows it, so chunks between blanks have the ids that they
+    have in the whole text.  Texts for which that can't be told, and those that
+    hold a special token's string, are encoded whole.  Nothing is kept between
+    calls, so memory follows the slice.
     """
 
-    def __init__(self, path: str, ranks_path: str | None = None, max_cached: int = 800_000, slice_chars: int = 4_000_000):
+    def __init__(self, path: str, ranks_path: str | None = None):
         self.path, self.loaded = path, None
         with open(path, encoding="utf-8") as f:
             self.special = [t["content"] for t in json.load(f)["added_tokens"]]
@@ -68,10 +90,6 @@ class ChunkEncoder:
             self.bytes_of = np.zeros(max(ranks.values()) + 1, np.int64)
             self.bytes_of[list(ranks.values())] = [len(x) for x in ranks]
             self.plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-        self.max_cached, self.slice_chars = max_cached, slice_chars
-        self.feed = self.whole("\n")
 
     @property
     def tokenizer(self):
@@ -82,104 +100,69 @@ class ChunkEncoder:
             self.loaded = Tokenizer.from_file(self.path)
         return self.loaded
 
-    def whole(self, text: str) -> bytes:
+    def whole(self, text: str) -> np.ndarray:
         if self.plain is not None and not any(s in text for s in self.special):
-            ids = self.plain(text)
-            return struct.pack(f"<{len(ids)}I", *ids)
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _chunk(self, chunk: str, lead: str) -> bytes | None:
-        """Ids of one chunk with its leading blank; None if it has none of its own."""
-        if lead and (not chunk or chunk[0].isspace()):
-            return None
-        if "\n" not in chunk:
-            cache = self.later if lead else self.first
-            cache[chunk] = ids = self.whole(lead + chunk)
-            return ids
-        head, *lines = chunk.split("\n")
-        if not head or any(not x or x[0].isspace() for x in lines):
-            return self.whole(lead + chunk)
-        ids = (self.later if lead else self.first).get(head) or self._chunk(head, lead)
-        for x in lines:
-            ids += self.feed + (self.first.get(x) or self._chunk(x, ""))
-        return ids
-
-    def _learn(self, cache: dict[str, bytes], chunks: list[str], lead: str) -> None:
-        """Encode chunks without line feeds in one call; token byte lengths tell where each ends."""
-        if self.plain is None or any(s in c for s in self.special for c in chunks):
-            for c in chunks:
-                cache[c] = self.whole(("" if lead == "\n" else lead) + c)
-            return
-        for i in range(0, len(chunks), 50_000):
-            part = chunks[i : i + 50_000]
-            ids = np.array(self.plain("".join([lead + c for c in part])), np.int64)
-            ends = np.cumsum([len(c.encode("utf-8")) + 1 for c in part])
-            at = np.concatenate([[0], np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1]).tolist()
-            data, skip = ids.astype("<u4").tobytes(), lead == "\n"  # a line feed before a visible character is a token of its own
-            for c, a, b in zip(part, at, at[1:]):
-                cache[c] = data[4 * (a + skip) : 4 * b]
-
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text; texts are split in slices, so few chunks are held at a time."""
-        out, part, size = [], [], 0
-        for text in texts:
-            part.append(text)
-            size += len(text or "")
-            if size >= self.slice_chars:
-                out += self._encode_slice(part)
-                part, size = [], 0
-        return out + self._encode_slice(part)
-
-    def _encode_slice(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.first) + len(self.later) > self.max_cached:
-            self.first.clear()
-            self.later.clear()
-        get, heads, new, new_heads, rows = self.later.get, self.first, set(), set(), []
-        for text in texts:
-            if not text or any([s in text for s in self.special]):
-                rows.append(None)
-                continue
-            chunks = text.split(" ")
-            out = list(map(get, chunks))
-            out[0] = None
-            gaps = [i for i, x in enumerate(out) if x is None]
-            rows.append((chunks, out, gaps))
-            for i in gaps:
-                head, *lines = chunks[i].split("\n")
-                if i and head and not head[0].isspace():
-                    new.add(head)
-                elif not i and head:
-                    new_heads.add(head)
-                for x in lines:
-                    if x and not x[0].isspace():
-                        new_heads.add(x)
-        self._learn(self.later, [c for c in new if c not in self.later], " ")
-        self._learn(heads, [c for c in new_heads if c not in heads and not c[0].isspace()], "\n")
-        return [self._join(t, r) for t, r in zip(texts, rows)]
-
-    def _join(self, text: str | None, row: tuple | None) -> bytes:
-        if row is None:
-            return self.whole(text) if text else b""
-        chunks, out, gaps = row
-        for i in gaps:
-            if i == 0:
-                out[0] = self._chunk(chunks[0], "") if chunks[0] else b""
-            else:
-                c = chunks[i]
-                out[i] = self.later.get(c) or self._chunk(c, " ")
-                if out[i] is None:
-                    return self.whole(text)
-        return b"".join(out)
-
-
-_ENCODERS: dict[str, ChunkEncoder] = {}
-
-
-def encoder(path: str, ranks_path: str | None) -> ChunkEncoder:
-    """One encoder per worker process and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path, ranks_path)
-    return _ENCODERS[path]
+            return np.array(self.plain(text), np.uint32)
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def long(self, text: str, end_id: int) -> np.ndarray:
+        """Ids of a text of any length, by sections that begin at blanks between visible characters."""
+        cuts, at = [0], SECTION_CHARS
+        while at < len(text) and (m := _CUT.search(text, at)):
+            cuts.append(m.start() + 1)
+            at = cuts[-1] + SECTION_CHARS
+        cuts.append(len(text))
+        parts = [self.encode(pa.array([text[a + (a > 0) : b]]), None, a > 0)[0] for a, b in zip(cuts, cuts[1:])]
+        return np.append(_joined(parts), np.uint32(end_id))
+
+    def encode(self, texts: pa.Array, end_id: int | None, after_blank: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets): the ids of each text and end_id, one text after another; null texts are empty."""
+        n, lead = len(texts), " " if after_blank else ""
+        end = [] if end_id is None else [end_id]
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, _ODD)
+        for s in self.special:
+            odd = pc.or_(odd, pc.match_substring(texts, s))
+        if self.plain is None:
+            odd = pa.array([True] * n)
+        lists = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+        flat, at = lists.flatten(), lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
+        body = np.ones(len(flat), bool)
+        body[at[:-1]] = False
+        chunks = flat.filter(pa.array(body)).dictionary_encode()
+        ids, lengths = self._of_chunks(chunks.dictionary)
+        if lengths is None:
+            odd, at, chunks_at = pa.array([True] * n), np.arange(n + 1), np.zeros(0, np.int64)
+            ids, lengths, body = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(n, bool)
+        else:
+            chunks_at = chunks.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        firsts = flat.take(pa.array(at[:-1])).to_pylist() if lengths is not None and n else []
+        heads = [self.whole(lead + t.as_py()) if o and len(t.as_py()) + after_blank else np.array(self.plain(lead + h) if h or after_blank else [], np.uint32) if not o else np.zeros(0, np.uint32) for t, o, h in zip(texts, odd.to_pylist(), firsts or [""] * n)]
+        # One table of ids: chunks, then heads, then the end; each text is a head, its chunks and the end.
+        table = _joined([ids, *heads, np.array(end, np.uint32)])
+        size = np.concatenate([lengths, [len(h) for h in heads], [len(end)]]).astype(np.int64)
+        start, k = np.cumsum(size) - size, len(lengths)
+        entry = np.zeros(int(at[-1]) + n, np.int64)
+        first, last = at[:-1] + np.arange(n), at[1:] + np.arange(n)
+        inner = np.ones(len(entry), bool)
+        inner[first] = inner[last] = False
+        entry[first], entry[last], entry[inner] = k + np.arange(n), k + n, chunks_at
+        counts = size[entry]
+        ends = np.cumsum(counts)
+        out = table[np.repeat(start[entry] - (ends - counts), counts) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        return out, np.concatenate([[0], ends[last]]) if n else np.zeros(1, np.int64)
+
+    def _of_chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray | None]:
+        """(ids, how many of each) of distinct chunks, each behind a blank, in one call; token byte lengths tell where each ends."""
+        if not len(chunks):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(chunks)], pa.int32()), chunks), " ")[0].as_py()
+        ids = np.array(self.plain(" " + text), np.uint32)
+        reach, ends = np.cumsum(self.bytes_of[ids]), np.cumsum(pc.binary_length(chunks).to_numpy().astype(np.int64) + 1)
+        last = np.searchsorted(reach, ends)
+        if not np.array_equal(reach[last], ends):  # a token across a blank: not a vocabulary of this family
+            return ids, None
+        return ids, np.diff(last, prepend=-1)
 
 
 def tokenize(docs: DataFrame, path: str | None = None, ranks_path: str | None = None, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0) -> DataFrame:
@@ -187,28 +170,30 @@ def tokenize(docs: DataFrame, path: str | None = None, ranks_path: str | None =
 
     A document is its ids and end_id; null and empty texts are end_id alone.
     Only longer ones than capacity are cut, from the end, so the first piece may
-    be shorter.  Repeated rows give their own pieces, other columns aren't read.
+    be shorter.  Very long texts are encoded by sections.  Repeated rows give
+    their own pieces, an empty table none, other columns aren't read.
     """
     if path is None:
         path, ranks_path = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
     kind = docs.schema[id_col].dataType.simpleString()
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_all = encoder(path, ranks_path).encode_all
-        for batch in batches:
-            rows, pieces, starts, parts = [], [], [], []
-            for row, ids in enumerate(encode_all(batch.column(1).to_pylist())):
-                ids += end
-                n = len(ids) // 4
-                cut = (n - 1) % capacity + 1
-                for piece, stop in enumerate(range(cut, n + 1, capacity)):
-                    start = max(0, stop - capacity)
-                    rows.append(row)
-                    pieces.append(piece)
-                    starts.append(start)
-                    parts.append(ids[4 * start : 4 * stop])
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(pieces, pa.int32()), pa.array(starts, pa.int64()), pa.array([len(x) // 4 for x in parts], pa.int64()), pa.array(parts, pa.binary())], ["_id", "piece", "start", "length", "ids"])
+        encoder = held(("encoder", path, ranks_path), lambda: ChunkEncoder(path, ranks_path))
+        for batch in sliced(batches, 1, SLICE_BYTES):
+            if batch.num_rows == 1 and batch.column(1).nbytes > SLICE_BYTES:
+                ids = encoder.long(batch.column(1)[0].as_py() or "", end_id)
+                at = np.array([0, len(ids)])
+            else:
+                ids, at = encoder.encode(batch.column(1), end_id)
+            n = np.diff(at)
+            k = -(-n // capacity)
+            rows = np.repeat(np.arange(len(n)), k)
+            piece = np.arange(len(rows)) - np.repeat(np.cumsum(k) - k, k)
+            first = ((n - 1) % capacity + 1)[rows]
+            start = np.where(piece == 0, 0, first + (piece - 1) * capacity)
+            cuts = np.append(at[rows] + start, at[-1]) * 4
+            data = pa.Array.from_buffers(pa.large_binary(), len(rows), [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(ids.astype("<u4").tobytes())])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(np.where(piece == 0, first, capacity), pa.int64()), data.cast(pa.binary())], ["_id", "piece", "start", "length", "ids"])
 
     out = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(run, f"_id {kind}, piece int, start long, length long, ids binary")
     return out.withColumnRenamed("_id", id_col)
@@ -256,56 +241,153 @@ def best_fit(lens: list[int], order: list[int], bins: list[list[int]], capacity:
 
 
 def lower_bound(lens: np.ndarray, capacity: int) -> int:
-    """The larger of the volume bound and the bound that counts large items apart."""
-    best = -(-int(lens.sum()) // capacity)
-    for k in {0, *np.unique(lens[lens <= capacity // 2])[:64].tolist()}:
-        big, mid = lens > capacity - k, (lens <= capacity - k) & (lens > capacity // 2)
-        small = int(lens[(lens >= k) & (lens <= capacity // 2)].sum())
-        room = int(mid.sum()) * capacity - int(lens[mid].sum())
-        best = max(best, int(big.sum() + mid.sum()) + max(0, -(-(small - room) // capacity)))
-    return best
-
-
-def quality(bins: list[list[int]], lens: list[int], capacity: int) -> tuple[int, float]:
+    """The larger of the volume bound and the bounds that count items too large to share a bin apart, for every limit k."""
+    count = np.bincount(lens, minlength=capacity + 1)
+    n, volume = np.cumsum(count), np.cumsum(count * np.arange(capacity + 1))
+    half = capacity // 2
+    k = np.arange(half + 1)
+    big = n[-1] - n[capacity - k]  # longer than capacity - k
+    mid, mid_volume = n[capacity - k] - n[half], volume[capacity - k] - volume[half]
+    small = volume[half] - np.where(k > 0, volume[k - 1], 0)  # from k to half
+    return int((big + mid + np.maximum(0, -(-(small - (mid * capacity - mid_volume)) // capacity))).max())
+
+
+def quality(bins: list[list[int]], lens: list[int], capacity: int) -> tuple[int, int]:
     """Sorts packings: fewer bins, then fills as unequal as can be."""
-    return len(bins), -sum((sum(lens[x] for x in b) / capacity) ** 2 for b in bins)
-
-
-def crossover(a: list[list[int]], b: list[list[int]], lens: list[int], p: PackParams, rng: np.random.Generator) -> list[list[int]]:
-    """A child of b into which some well-filled bins of a are injected whole."""
-    good = [x for x in a if sum(lens[i] for i in x) >= p.well_filled * p.capacity] or a
-    take = [good[i] for i in rng.permutation(len(good))[: max(1, len(good) // int(rng.integers(2, 6)))]]
-    inside = {i for x in take for i in x}
-    keep, moved = [], []
-    for x in b:
-        if inside.isdisjoint(x):
-            keep.append(x)
-        else:
-            moved += [i for i in x if i not in inside]
-    worst = sorted(range(len(keep)), key=lambda i: sum(lens[j] for j in keep[i]))[: max(1, len(keep) // 50)]
-    for i in sorted(worst, reverse=True):  # the emptiest bins go too: mutation
-        moved += keep.pop(i)
-    moved.sort(key=lambda i: -lens[i])
-    return best_fit(lens, moved, keep + take, p.capacity)
+    return len(bins), -sum(sum(lens[x] for x in b) ** 2 for b in bins)
+
+
+class _Free:
+    """Displaced items by length; two masks of the lengths there are, one reversed, find items that fill a room exactly."""
+
+    def __init__(self, items: list[int], lens: list[int], capacity: int):
+        self.capacity, self.by = capacity, {}
+        for i in items:
+            self.by.setdefault(lens[i], []).append(i)
+        self.mask = sum(1 << n for n in self.by)
+        self.back = sum(1 << (capacity - n) for n in self.by)
+
+    def take(self, n: int) -> int:
+        here = self.by[n]
+        if len(here) == 1:
+            del self.by[n]
+            self.mask ^= 1 << n
+            self.back ^= 1 << (self.capacity - n)
+            return here[0]
+        return here.pop()
+
+    def put(self, n: int, item: int) -> None:
+        if n not in self.by:
+            self.by[n] = []
+            self.mask |= 1 << n
+            self.back |= 1 << (self.capacity - n)
+        self.by[n].append(item)
+
+    def pair(self, room: int, rng: random.Random) -> int:
+        """A length of which another item's fills the rest of room; 0 if there is none."""
+        m = self.mask & (self.back >> (self.capacity - room))
+        if room % 2 == 0 and m >> room // 2 & 1 and len(self.by[room // 2]) < 2:
+            m ^= 1 << room // 2
+        if not m:
+            return 0
+        high = m >> rng.randrange(room)
+        return (m.bit_length() - high.bit_length()) + (high & -high).bit_length() - 1 if high else m.bit_length() - 1
+
+    def fill(self, room: int, rng: random.Random, tries: int) -> list[int]:
+        """Items for a room: one, two or three that fill it exactly, else the longest that fits and so on."""
+        out = []
+        while room and self.mask & ((2 << room) - 1):
+            if self.mask >> room & 1:
+                return [*out, self.take(room)]
+            a = self.pair(room, rng)
+            if a:
+                return [*out, self.take(a), self.take(room - a)]
+            rest, left = self.mask & ((1 << room) - 1), tries
+            while rest and left:
+                n = rest.bit_length() - 1
+                rest ^= 1 << n
+                left -= 1
+                item = self.take(n)
+                a = self.pair(room - n, rng)
+                if a:
+                    return [*out, item, self.take(a), self.take(room - n - a)]
+                self.put(n, item)
+            n = (self.mask & ((1 << room) - 1)).bit_length() - 1
+            out.append(self.take(n))
+            room -= n
+        return out
+
+
+def refill(items: list[int], lens: list[int], p: PackParams, rng: random.Random) -> list[list[int]]:
+    """Bins of the items, each around the longest that is left."""
+    free, out = _Free(items, lens, p.capacity), []
+    while free.mask:
+        n = free.mask.bit_length() - 1
+        first = free.take(n)
+        out.append([first, *free.fill(p.capacity - n, rng, p.tries)])
+    return out
+
+
+class Packing:
+    """Bins with their fills, and the bin of each item."""
+
+    def __init__(self, bins: list[list[int]], lens: list[int]):
+        self.bins = bins
+        self.fills = [sum(lens[i] for i in b) for b in bins]
+        self.where = [0] * len(lens)
+        for k, b in enumerate(bins):
+            for i in b:
+                self.where[i] = k
+        self.quality = len(bins), -sum(f * f for f in self.fills)
+
+
+def crossover(a: Packing, b: Packing, lens: list[int], p: PackParams, rng: random.Random) -> Packing:
+    """A child of b into which some well-filled bins of a are injected whole.
+
+    Bins of b that hold their items twice are dissolved, and with them its
+    emptiest bins and a few others (mutation).  The displaced items fill bins
+    exactly as far as that works; those of the emptiest new bins are best-fitted
+    into what is left of the others.
+    """
+    take, inside = [], set()
+    for _ in range(4 * p.inject):
+        x = rng.randrange(len(a.bins))
+        if a.fills[x] >= p.well_filled * p.capacity and inside.isdisjoint(a.bins[x]):
+            take.append(a.bins[x])
+            inside.update(a.bins[x])
+        if len(take) >= p.inject:
+            break
+    gone = {b.where[i] for i in inside}
+    loose = sorted((k for k, f in enumerate(b.fills) if f < p.capacity), key=b.fills.__getitem__)
+    gone.update(loose[: 1 + rng.randrange(p.mutate)])
+    gone.update(rng.randrange(len(b.bins)) for _ in range(rng.randrange(p.mutate)))
+    moved = [i for k in gone for i in b.bins[k] if i not in inside]
+    keep = [x for k, x in enumerate(b.bins) if k not in gone]
+    made = sorted(refill(moved, lens, p, rng), key=lambda x: sum(lens[i] for i in x))
+    full = [x for x in made[1:] if sum(lens[i] for i in x) == p.capacity]
+    rest = [x for x in made[1:] if sum(lens[i] for i in x) < p.capacity]
+    if made:
+        rest = best_fit(lens, sorted(made[0], key=lens.__getitem__, reverse=True), rest, p.capacity)
+    return Packing(keep + take + full + rest, lens)
 
 
 def evolve(lens: list[int], p: PackParams, seed: int, migrant: list[list[int]] | None = None) -> list[list[int]]:
-    """The best packing that one island finds."""
-    rng = np.random.default_rng(seed)
-    down = sorted(range(len(lens)), key=lambda i: -lens[i])
-    people = [best_fit(lens, down, [], p.capacity)] + ([migrant] if migrant else [])
+    """The best packing that one island finds; it ends early at the lower bound."""
+    rng = random.Random(seed)
+    down = sorted(range(len(lens)), key=lens.__getitem__, reverse=True)
+    people = [Packing(best_fit(lens, down, [], p.capacity), lens)] + ([Packing(migrant, lens)] if migrant else [])
     least = lower_bound(np.array(lens), p.capacity)
-    if min(map(len, people)) > least:
+    if min(x.quality for x in people)[0] > least:
         while len(people) < p.population:
-            noise = np.array(lens) * rng.uniform(0.8, 1.2, len(lens))
-            people.append(best_fit(lens, np.argsort(-noise, kind="stable").tolist(), [], p.capacity))
+            people.append(Packing(refill(down, lens, p, rng), lens))
         for _ in range(p.generations):
-            people.sort(key=lambda b: quality(b, lens, p.capacity))
-            if len(people[0]) <= least:
-                break
-            i, j = rng.permutation(len(people))[:2]
-            people[-1] = min(crossover(people[min(i, j)], people[max(i, j)], lens, p, rng), people[-1], key=lambda b: quality(b, lens, p.capacity))
-    return min(people, key=lambda b: quality(b, lens, p.capacity))
+            i, j = rng.sample(range(len(people)), 2)
+            child = crossover(people[i], people[j], lens, p, rng)
+            if child.quality <= people[j].quality:
+                people[j] = child
+                if child.quality[0] <= least:
+                    break
+    return min(people, key=lambda x: x.quality).bins
 
 
 def _as_bins(numbers: list[int]) -> list[list[int]]:
@@ -323,10 +405,13 @@ _STATE = "block long, island int, n_bins int, score double, bin array<int>, offs
 def _epoch(states: DataFrame, p: PackParams, epoch: int) -> DataFrame:
     """states: block, island, lens, migrant (bin numbers of the items, or null)."""
 
+    ints = pa.list_(pa.int32())
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.float64(), ints, ints, ints)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for block, island, lens, migrant in zip(*(c.to_pylist() for c in batch.columns)):
+            for row in range(batch.num_rows):  # one block at a time becomes Python's
+                block, island, lens, migrant = (c[row].as_py() for c in batch.columns)
                 bins = evolve(lens, p, p.seed + 1000 * epoch + 10 * island + 7919 * block % 1_000_003, _as_bins(migrant) if migrant else None)
                 number, offset, fill = [0] * len(lens), [0] * len(lens), [0] * len(lens)
                 for b, items in enumerate(bins):
@@ -336,10 +421,9 @@ def _epoch(states: DataFrame, p: PackParams, epoch: int) -> DataFrame:
                         at += lens[i]
                     for i in items:
                         fill[i] = at
-                out.append((block, island, *quality(bins, lens, p.capacity), number, offset, fill))
-            cols = list(zip(*out)) or [[]] * 7
-            ints = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.float64(), ints, ints, ints))], ["block", "island", "n_bins", "score", "bin", "offset", "fill"])
+                found = (block, island, *quality(bins, lens, p.capacity), number, offset, fill)
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(found, kinds)], ["block", "island", "n_bins", "score", "bin", "offset", "fill"])
+        give_back()
 
     return states.select("block", "island", "lens", "migrant").mapInArrow(run, _STATE)
 
@@ -369,7 +453,8 @@ def pack(pieces: DataFrame, p: PackParams = PackParams(), length_col: str = "len
 
     Pieces of full length stand alone.  The rest is dealt into blocks by row
     number, so repeated rows and hot documents spread evenly; bins that a block
-    left underfull are dissolved and packed again with those of other blocks.
+    left underfull are dissolved and packed again with those of other blocks,
+    if that makes them fewer.
     An empty table gives no rows; pieces longer than the capacity are an error.
     Columns named sequence_id or offset are replaced.
     """
@@ -382,16 +467,16 @@ def pack(pieces: DataFrame, p: PackParams = PackParams(), length_col: str = "len
     if not n:
         return full.select(*[F.col(i).alias(c) for c, i in zip(cols, inner)], "sequence_id", "offset")
     first = materialize(_pack_blocks(items, p, max(1, -(-n // p.block_items)), "blocks"), "packed")
-    place = lambda level: (F.col("block") * 2 + level) * (1 << 20) + F.col("bin")
-    shape = [*inner, place(0).alias("sequence_id"), F.col("offset").cast("long").alias("offset")]
-    loose = first.where(F.col("fill") < p.dissolve_below * p.capacity)
-    m = loose.count() if n > p.block_items else 0
-    if not m:
-        packed = first.select(*shape)
-    else:
-        shape[-2] = place(1).alias("sequence_id")
-        again = _pack_blocks(loose.select(*items.columns), p, max(1, -(-m // p.block_items)), "loose").select(*shape)
-        packed = first.where(F.col("fill") >= p.dissolve_below * p.capacity).select(*inner, place(0).alias("sequence_id"), F.col("offset").cast("long").alias("offset")).unionByName(again)
+    shape = lambda df, level: df.select(*inner, ((F.col("block") * 2 + level) * (1 << 20) + F.col("bin")).alias("sequence_id"), F.col("offset").cast("long").alias("offset"))
+    is_loose = F.col("fill") < p.dissolve_below * p.capacity
+    m = first.where(is_loose).count() if n > p.block_items else 0
+    packed = shape(first, 0)
+    if m:
+        bins = lambda df: df.where("offset = 0").count()
+        loose = first.where(is_loose)
+        again = materialize(_pack_blocks(loose.select(*items.columns), p, max(1, -(-m // p.block_items)), "loose"), "packed-again")
+        if bins(again) < bins(loose):
+            packed = shape(first.where(~is_loose), 0).unionByName(shape(again, 1))
     return packed.unionByName(full).select(*[F.col(i).alias(c) for c, i in zip(cols, inner)], "sequence_id", "offset")
 
 

@@ -105,6 +105,17 @@ def test_a_chain_is_one_component(spark):
     assert got == brute.components(data) and set(c for _, c in got.values()) == {0}
 
 
+def test_word_hashes_tell_words_apart():
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    words = sorted({"".join(rng.choice("abé1") for _ in range(rng.randrange(12))) for _ in range(50_000)} | {"ab" * 40_000, "ba" * 40_000})
+    got = njoin.word_hashes(pa.array(words))
+    assert len(set(got.tolist())) == len(words)
+    assert njoin.word_hashes(pa.array(words).slice(100, 50)).tolist() == got[100:150].tolist()
+    assert (got >> np.uint64(63)).mean() == pytest.approx(0.5, abs=0.02)
+
+
 # --- decontamination ---------------------------------------------------------------------------------------------
 
 
@@ -257,13 +268,22 @@ def test_template_join_is_exact():
 # --- packing -----------------------------------------------------------------------------------------------------
 
 
-def test_chunk_encoder_equals_the_tokenizer(rows):
+def test_chunk_encoder_equals_the_tokenizer(rows, monkeypatch):
     import public_tokenizers as P
+    import pyarrow as pa
 
     fast = packing.ChunkEncoder(P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"))
     slow = packing.ChunkEncoder(P.path("byte_bpe_50k.json"))
-    texts = [t for _, t in rows if t] + ["a  b", "\n\nx", " a", "a ", "a\n b", "a\xa0b c", "x \x85y", "don't <|endoftext|> x", "a\tb\t c\n", "﻿a b", "it 's\n's 12 3\n4", "x\n\ny z\n\n q", "\n", " ", "日本 語\n😀 x"]
-    assert [x == slow.whole(t) for t, x in zip(texts, fast.encode_all(texts))] == [True] * len(texts)
+    texts = [t for _, t in rows] + ["a  b", "\n\nx", " a", "a ", "a\n b", "a\xa0b c", "x \x85y", "don't <|endoftext|> x", "a\tb\t c\n", "﻿a b", "it 's\n's 12 3\n4", "x\n\ny z\n\n q", "\n", " ", "日本 語\n😀 x", "a \u3000b", "a \x1cb", "a \u2028b", "a\n\n b c", "x \x0by"]
+    rng = random.Random(6)
+    texts += ["".join(rng.choice("ab1é.'s \n \t\xa0語") for _ in range(rng.randrange(60))) for _ in range(3000)]
+    want = [(slow.whole(t) if t else np.zeros(0, np.uint32)).tolist() for t in texts]
+    for encoder in (fast, slow):
+        ids, at = encoder.encode(pa.array(texts), 0)
+        assert [ids[a : b - 1].tolist() for a, b in zip(at, at[1:])] == want and not ids[at[1:] - 1].any()
+    monkeypatch.setattr(packing, "SECTION_CHARS", 7)
+    assert [fast.long(t, 0).tolist() for t in texts[30:500] if t] == [[*x, 0] for t, x in zip(texts[30:500], want[30:500]) if t]
+    assert fast.encode(pa.array([], pa.string()), 0)[0].tolist() == []
 
 
 def check_packing(placed, capacity):
@@ -285,7 +305,7 @@ def test_pieces_and_packing(docs, rows, nothing):
     slow = packing.ChunkEncoder(__import__("public_tokenizers").path("byte_bpe_50k.json"))
     want = Counter()
     for i, t in [*rows, rows[7]]:
-        ids = (slow.whole(t) if t else b"") + b"\0\0\0\0"
+        ids = (slow.whole(t).astype("<u4").tobytes() if t else b"") + b"\0\0\0\0"
         n, cut = len(ids) // 4, (len(ids) // 4 - 1) % 2048 + 1
         for k, stop in enumerate(range(cut, n + 1, 2048)):
             start = max(0, stop - 2048)
@@ -307,18 +327,42 @@ def test_packing_comes_near_the_bound(spark):
 
 
 def test_genetic_search_beats_best_fit_where_it_can():
+    """Bins cut in three at random places, with production parameters: a packing without any room left exists."""
     rng = np.random.default_rng(1)
-    worse = better = 0
-    for seed in range(8):
-        cuts = [sorted(rng.choice(np.arange(1, 100), 2, replace=False).tolist()) for _ in range(40)]
-        lens = [x for a, b in cuts for x in (a, b - a, 100 - b)]
-        p = packing.PackParams(capacity=100, generations=60, population=6)
-        plain = len(packing.best_fit(lens, sorted(range(len(lens)), key=lambda i: -lens[i]), [], 100))
-        found = packing.evolve(lens, p, seed)
-        assert sorted(i for b in found for i in b) == list(range(len(lens))) and all(sum(lens[i] for i in b) <= 100 for b in found)
-        worse += len(found) > plain
-        better += len(found) <= plain
-    assert not worse and better == 8
+    better = 0
+    for seed in range(12):
+        cuts = [sorted(rng.choice(np.arange(1, 2048), 2, replace=False).tolist()) for _ in range(200)]
+        lens = [x for a, b in cuts for x in (a, b - a, 2048 - b)]
+        rng.shuffle(lens)
+        plain = len(packing.best_fit(lens, sorted(range(len(lens)), key=lambda i: -lens[i]), [], 2048))
+        found = packing.evolve(lens, packing.PackParams(), seed)
+        assert sorted(i for b in found for i in b) == list(range(len(lens))) and all(sum(lens[i] for i in b) <= 2048 for b in found)
+        assert len(found) <= plain
+        better += len(found) < plain
+    assert better >= 6
+
+
+def test_genetic_search_on_triplets():
+    """Three items a bin, none of which fits with three others: best fit needs a seventh more bins."""
+    rng = random.Random(2)
+    lens = []
+    for _ in range(60):
+        a = 2 * rng.randrange(380, 490)
+        b = rng.randrange(512, (2048 - a) // 2 + 1)
+        lens += [a, b, 2048 - a - b]
+    plain = len(packing.best_fit(lens, sorted(range(len(lens)), key=lambda i: -lens[i]), [], 2048))
+    assert len(packing.evolve(lens, packing.PackParams(), 1)) <= 62 < plain
+
+
+def test_lower_bound_tries_every_limit():
+    rng = random.Random(3)
+    for _ in range(50):
+        lens = np.array([rng.randrange(1, 101) for _ in range(40)])
+        want = -(-lens.sum() // 100)
+        for k in range(51):
+            big, mid, small = lens > 100 - k, (lens <= 100 - k) & (lens > 50), (lens >= k) & (lens <= 50)
+            want = max(want, big.sum() + mid.sum() + max(0, -(-(lens[small].sum() - (100 * mid.sum() - lens[mid].sum())) // 100)))
+        assert packing.lower_bound(lens, 100) == want
 
 
 # --- sharding ----------------------------------------------------------------------------------------------------
