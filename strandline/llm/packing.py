@@ -10,6 +10,7 @@ the displaced pieces.  Between epochs each island's elite migrates to the next.
 from __future__ import annotations
 
 import base64
+import heapq
 import json
 import random
 import re
@@ -40,7 +41,7 @@ class PackParams:
     islands: int = 2
     epochs: int = 2
     population: int = 6
-    generations: int = 1500
+    generations: int = 1000
     inject: int = 3
     mutate: int = 4
     tries: int = 16
@@ -329,16 +330,55 @@ def refill(items: list[int], lens: list[int], p: PackParams, rng: random.Random)
 
 
 class Packing:
-    """Bins with their fills, and the bin of each item."""
+    """Bins with their fills, the bin of each item, the bins with room, and the sum of squared fills; a child changes a copy of them."""
 
-    def __init__(self, bins: list[list[int]], lens: list[int]):
+    def __init__(self, bins: list[list[int]], lens: list[int], capacity: int):
         self.bins = bins
         self.fills = [sum(lens[i] for i in b) for b in bins]
         self.where = [0] * len(lens)
         for k, b in enumerate(bins):
             for i in b:
                 self.where[i] = k
-        self.quality = len(bins), -sum(f * f for f in self.fills)
+        self.loose = {k for k, f in enumerate(self.fills) if f < capacity}
+        self.squares = sum(f * f for f in self.fills)
+
+    def copy(self) -> Packing:
+        new = object.__new__(Packing)
+        new.bins, new.fills, new.where, new.loose, new.squares = self.bins[:], self.fills[:], self.where[:], set(self.loose), self.squares
+        return new
+
+    @property
+    def quality(self) -> tuple[int, int]:
+        return len(self.bins), -self.squares
+
+    def set(self, k: int, items: list[int], fill: int, capacity: int) -> None:
+        """Put a bin at number k, the next one or one that is no longer needed there."""
+        if k == len(self.bins):
+            self.bins.append(items)
+            self.fills.append(fill)
+        else:
+            self.squares -= self.fills[k] ** 2
+            self.bins[k], self.fills[k] = items, fill
+        self.squares += fill * fill
+        for i in items:
+            self.where[i] = k
+        (self.loose.add if fill < capacity else self.loose.discard)(k)
+
+    def replace(self, gone: set[int], made: list[list[int]], lens: list[int], capacity: int) -> None:
+        """Put the bins made in the place of those gone; where they are fewer, the last bins move up."""
+        free = sorted(gone, reverse=True)
+        for items in made:
+            self.set(free.pop() if free else len(self.bins), items, sum([lens[i] for i in items]), capacity)
+        for k in free:  # the highest first, so what moves into its place stays
+            last = len(self.bins) - 1
+            self.squares -= self.fills[k] ** 2
+            self.fills[k] = 0
+            if k < last:
+                self.set(k, self.bins[last], self.fills[last], capacity)
+                self.squares -= self.fills[last] ** 2
+            self.bins.pop()
+            self.fills.pop()
+            self.loose.discard(last)
 
 
 def crossover(a: Packing, b: Packing, lens: list[int], p: PackParams, rng: random.Random) -> Packing:
@@ -346,7 +386,7 @@ def crossover(a: Packing, b: Packing, lens: list[int], p: PackParams, rng: rando
 
     Bins of b that hold their items twice are dissolved, and with them its
     emptiest bins and a few others (mutation).  The displaced items fill bins
-    exactly as far as that works; those of the emptiest new bins are best-fitted
+    exactly as far as that works; those of the emptiest new bin are best-fitted
     into what is left of the others.
     """
     take, inside = [], set()
@@ -358,28 +398,28 @@ def crossover(a: Packing, b: Packing, lens: list[int], p: PackParams, rng: rando
         if len(take) >= p.inject:
             break
     gone = {b.where[i] for i in inside}
-    loose = sorted((k for k, f in enumerate(b.fills) if f < p.capacity), key=b.fills.__getitem__)
-    gone.update(loose[: 1 + rng.randrange(p.mutate)])
+    gone.update(heapq.nsmallest(1 + rng.randrange(p.mutate), b.loose, key=b.fills.__getitem__))
     gone.update(rng.randrange(len(b.bins)) for _ in range(rng.randrange(p.mutate)))
-    moved = [i for k in gone for i in b.bins[k] if i not in inside]
-    keep = [x for k, x in enumerate(b.bins) if k not in gone]
-    made = sorted(refill(moved, lens, p, rng), key=lambda x: sum(lens[i] for i in x))
-    full = [x for x in made[1:] if sum(lens[i] for i in x) == p.capacity]
-    rest = [x for x in made[1:] if sum(lens[i] for i in x) < p.capacity]
+    made = refill([i for k in gone for i in b.bins[k] if i not in inside], lens, p, rng)
     if made:
-        rest = best_fit(lens, sorted(made[0], key=lens.__getitem__, reverse=True), rest, p.capacity)
-    return Packing(keep + take + full + rest, lens)
+        fill = [sum([lens[i] for i in x]) for x in made]
+        least = min(range(len(made)), key=fill.__getitem__)
+        rest = [x for k, x in enumerate(made) if k != least and fill[k] < p.capacity]
+        made = [x for k, x in enumerate(made) if fill[k] == p.capacity] + (best_fit(lens, sorted(made[least], key=lens.__getitem__, reverse=True), rest, p.capacity) if fill[least] < p.capacity else rest)
+    child = b.copy()
+    child.replace(gone, take + made, lens, p.capacity)
+    return child
 
 
 def evolve(lens: list[int], p: PackParams, seed: int, migrant: list[list[int]] | None = None) -> list[list[int]]:
     """The best packing that one island finds; it ends early at the lower bound."""
     rng = random.Random(seed)
     down = sorted(range(len(lens)), key=lens.__getitem__, reverse=True)
-    people = [Packing(best_fit(lens, down, [], p.capacity), lens)] + ([Packing(migrant, lens)] if migrant else [])
+    people = [Packing(best_fit(lens, down, [], p.capacity), lens, p.capacity)] + ([Packing(migrant, lens, p.capacity)] if migrant else [])
     least = lower_bound(np.array(lens), p.capacity)
     if min(x.quality for x in people)[0] > least:
         while len(people) < p.population:
-            people.append(Packing(refill(down, lens, p, rng), lens))
+            people.append(Packing(refill(down, lens, p, rng), lens, p.capacity))
         for _ in range(p.generations):
             i, j = rng.sample(range(len(people)), 2)
             child = crossover(people[i], people[j], lens, p, rng)
