@@ -28,11 +28,17 @@ MATCH_BUCKETS = 1 << 20
 
 @dataclass(frozen=True)
 class IndexParams:
-    """window words make one test window; rare of its terms must meet before words are compared; slop is for proximity matches."""
+    """window words make one test window; rare of its terms must meet before words are compared; slop is for proximity matches.
+
+    A document that matches many items is compared in rows of about
+    items_per_row items, and for proximity in chunks of chunk_words words.
+    """
 
     window: int = 13
     rare: int = 2
     slop: int = 5
+    items_per_row: int = 1000
+    chunk_words: int = 4096
 
 
 def test_items(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -117,13 +123,18 @@ def near_matches(index: Index, p: IndexParams = IndexParams()) -> DataFrame:
 
     Exact matches are among them.  A word that a window has twice counts once.
     """
-    found = near_candidates(index.postings, index.anchors, p).groupBy("_key", "item", "_text").agg(F.collect_list(F.struct("starts", "pos")).alias("_at"))
+    chunk = F.floor(F.col("pos") / p.chunk_words).cast("int").alias("_chunk")
+    found = near_candidates(index.postings, index.anchors, p).groupBy("_key", "item", "_text", chunk).agg(F.collect_list(F.struct("starts", "pos")).alias("_at"))
     tests = index.items.select("item", F.xxhash64("text_words").alias("_text"), "text_words")
     found = materialize(found.join(tests, ["item", "_text"]).drop("_text"), "near")
     bucket = F.pmod(F.xxhash64("_key"), F.lit(MATCH_BUCKETS)).alias("_bucket")
     some = F.broadcast(found.select(bucket).distinct())  # MATCH_BUCKETS rows at most
-    rows = index.words.select("_key", "_words", bucket).join(some, "_bucket", "left_semi").join(found, "_key")
-    rows = rows.where(F.exists("_at", lambda a: _near(F.col("_words"), F.col("text_words"), a["starts"], a["pos"], p)))
+    reach = p.window + p.slop
+    first = lambda c: F.greatest(F.lit(0), c * p.chunk_words - reach)
+    last = F.floor(F.greatest(F.lit(0), F.size("_words") - 1) / p.chunk_words).cast("int")
+    rows = index.words.select("_key", "_words", bucket).join(some, "_bucket", "left_semi").select("_key", "_words", F.explode(F.sequence(F.lit(0), last)).alias("_chunk"))
+    rows = rows.select("_key", "_chunk", F.slice("_words", first(F.col("_chunk")) + 1, F.lit(p.chunk_words + 2 * reach)).alias("_words")).join(found, ["_key", "_chunk"])
+    rows = rows.where(F.exists("_at", lambda a: _near(F.col("_words"), F.col("text_words"), a["starts"], a["pos"] - first(F.col("_chunk")), p)))
     return rows.groupBy("_key").agg(listed(F.collect_set("item")).alias("near_items"))
 
 
@@ -161,15 +172,18 @@ def _matching(words, test, diag, p: IndexParams):
 
 def exact_matches(index: Index, p: IndexParams = IndexParams()) -> DataFrame:
     """(_key, n_hit, items): words of each matching document inside any window, and the items whose windows stand in it."""
+    parts = max(1, index.items.count() // p.items_per_row)
     found = phrase_candidates(index.postings, index.anchors, p).join(index.items, "item")
-    found = materialize(found.groupBy("_key").agg(F.collect_list(F.struct("item", "text_words", "diag")).alias("_c")), "matches")
+    found = found.groupBy("_key", F.pmod(F.xxhash64("item"), F.lit(parts)).alias("_part")).agg(F.collect_list(F.struct("item", "text_words", "diag")).alias("_c"))
+    found = materialize(found, "matches")
     bucket = F.pmod(F.xxhash64("_key"), F.lit(MATCH_BUCKETS)).alias("_bucket")
     some = F.broadcast(found.select(bucket).distinct())  # MATCH_BUCKETS rows at most
     rows = index.words.select("_key", "_words", bucket).join(some, "_bucket", "left_semi").join(found, "_key")
     hits = F.filter(F.transform("_c", lambda c: F.struct(c["item"].alias("item"), _matching(F.col("_words"), c["text_words"], c["diag"], p).alias("at"))), lambda c: F.size(c["at"]) > 0)
     rows = rows.select("_key", hits.alias("_c")).where(F.size("_c") > 0)
-    n_hit = F.size(F.array_distinct(F.flatten(F.transform("_c", lambda c: c["at"])))).cast("long")
-    return rows.select("_key", n_hit.alias("n_hit"), listed(F.transform("_c", lambda c: c["item"])).alias("items"))
+    rows = rows.select("_key", F.array_distinct(F.flatten(F.transform("_c", lambda c: c["at"]))).alias("at"), F.array_distinct(F.transform("_c", lambda c: c["item"])).alias("items"))
+    rows = rows.groupBy("_key").agg(F.flatten(F.collect_list("at")).alias("at"), F.flatten(F.collect_list("items")).alias("items"))  # word numbers of one document
+    return rows.select("_key", F.size(F.array_distinct("at")).cast("long").alias("n_hit"), listed(F.col("items")).alias("items"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, p: IndexParams = IndexParams(), id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", near: bool = True) -> DataFrame:
@@ -178,8 +192,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, p: IndexParams = IndexParam
     near_items, left out without near, are the proximity matches; they don't make a document contaminated.
 
     Null and empty texts have no words and are clean; items without words have
-    no windows; items with a null id match but aren't listed; repeated rows get equal results; an empty table of documents
-    gives no rows, one of items no hits.
+    no windows; items with a null id match but aren't listed; repeated rows get equal results, by id and text; very
+    long texts are read whole; an empty table of documents gives no rows, one of
+    items no hits; other columns aren't read.
     """
     index = build_index(docs, items, p, id_col, text_col, item_col, item_text_col)
     hits = materialize(exact_matches(index, p).dropDuplicates(["_key"]), "hits")

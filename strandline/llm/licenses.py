@@ -17,6 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import sliced
+
+#: Bytes of text that are Python's at once.
+SLICE_BYTES = 8 << 20
+
 # Base phrases and their labels.
 PHRASES = {
     "gnu general public license": "gpl",
@@ -68,7 +73,7 @@ def token_frequencies(docs: DataFrame, p: ScanParams, text_col: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: Counter = Counter()
-        for batch in batches:
+        for batch in sliced(batches, 0, SLICE_BYTES):
             for text in batch.column(0).to_pylist():
                 count.update(vocabulary.intersection(words_of(text)))
         yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.binary()), pa.array(list(count.values()), pa.int64())], ["token", "n"])
@@ -182,7 +187,7 @@ def scan(docs: DataFrame, p: ScanParams = ScanParams(), id_col: str = "doc_id",
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1, SLICE_BYTES):
             cols = list(zip(*(scan_text(t, index) for t in batch.column(1).to_pylist()))) or [[]] * 7
             types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types))], ["_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"])

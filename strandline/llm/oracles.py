@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from .chat import Template
 from .common import LOWER, UPPER
 
 #: Equal payloads of 100 bytes or more: the smallest page is the response.
@@ -15,10 +14,22 @@ SELECT page_id, n AS payload_bytes, d AS payload_digest,
 FROM q
 """
 
-_TEMPLATE = Template()
+# The control strings of the chat template and, for each, what stands in a text instead; 32 characters of marks are put around a turn.
+_CONTROLS = (
+    ("<|im_start|>", "<\\|im_start|>"),
+    ("<|im_sep|>", "<\\|im_sep|>"),
+    ("<|im_end|>", "<\\|im_end|>"),
+    ("<|endoftext|>", "<\\|endoftext|>"),
+    ("<s>", "<\\s>"),
+    ("</s>", "<\\/s>"),
+    ("[INST]", "[\\INST]"),
+    ("[/INST]", "[\\/INST]"),
+    ("<<SYS>>", "<\\<SYS>>"),
+    ("<</SYS>>", "<\\</SYS>>"),
+)
 _ESCAPED = "replace(coalesce({0}, ''), '\\', '\\\\')"
-for _c in _TEMPLATE.controls:
-    _ESCAPED = f"replace({_ESCAPED}, '{_c}', '{_c[0]}\\{_c[1:]}')"
+for _text, _broken in _CONTROLS:
+    _ESCAPED = f"replace({_ESCAPED}, '{_text}', '{_broken}')"
 
 CHAT = f"""
 WITH t AS (
@@ -29,7 +40,7 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-       CAST(sum(length(te) + length(re) + {sum(map(len, (_TEMPLATE.open, _TEMPLATE.close_role, _TEMPLATE.end)))}) AS BIGINT) AS formatted_chars
+       CAST(sum(length(te) + length(re) + 32) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id
 """
 
@@ -65,7 +76,7 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(hit.n_hit, 0) AS
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
-#: Measures per document, then the beta prior by moments and the hosts' shrunk rates.
+#: Measures per document, then for each rule the beta prior by moments and the hosts' shrunk rates.
 QUALITY = rf"""
 WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_BLANK_WORD}') AS w FROM documents),
 ln AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM d) WHERE regexp_matches(l, '{_BLANK_WORD}') GROUP BY doc_id),
@@ -73,12 +84,16 @@ a AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM d WHERE len(w) >
 rep AS (SELECT doc_id, count(DISTINCT q) AS n_repeat_words FROM (SELECT doc_id, unnest(range(p, p + 3)) AS q FROM g WHERE c > 1) GROUP BY doc_id),
 m AS (SELECT d.doc_id, host, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
   coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words FROM d LEFT JOIN ln USING (doc_id) LEFT JOIN rep USING (doc_id)),
-f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 30 * greatest(n_lines, 1) AS failed FROM m),
-h AS (SELECT host, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (WHERE failed) AS DOUBLE) AS f FROM f GROUP BY host),
-t AS (SELECT sum(f) AS f, sum(n) AS n, count(*) AS k, sum(f * f / n) AS f2, sum(n * n) AS n2 FROM h),
-p AS (SELECT (f + 0.5) / (n + 1.0) AS m, CASE WHEN k > 1 AND n - n2 / n > 0 THEN (f2 - f * f / n - (k - 1) * ((f + 0.5) / (n + 1.0)) * (1 - (f + 0.5) / (n + 1.0))) / (n - n2 / n) END AS b FROM t),
-q AS (SELECT m, CASE WHEN b > 0 THEN least(1000, greatest(2, m * (1 - m) / b - 1)) ELSE 1000 END AS wt FROM p)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND (h.f + m * wt) / (h.n + wt) <= 0.8 AS kept, f.host AS host FROM f JOIN h USING (host), q
+f AS (SELECT *, n_words < 50 AS x_short, 100 * n_repeat_words > 50 * n_words AS x_repeats, 100 * n_symbols > 10 * n_words AS x_symbols, 100 * n_dup_lines > 30 * greatest(n_lines, 1) AS x_lines FROM m),
+x AS (SELECT host, rule, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (WHERE bad) AS DOUBLE) AS f FROM (
+  SELECT host, 'short' AS rule, x_short AS bad FROM f UNION ALL SELECT host, 'repeats', x_repeats FROM f UNION ALL SELECT host, 'symbols', x_symbols FROM f
+  UNION ALL SELECT host, 'lines', x_lines FROM f UNION ALL SELECT host, 'any', x_short OR x_repeats OR x_symbols OR x_lines FROM f) GROUP BY host, rule),
+t AS (SELECT rule, sum(f) AS f, sum(n) AS n, count(*) AS k, sum(f * f / n) AS f2, sum(n * n) AS n2, (sum(f) + 0.5) / (sum(n) + 1.0) AS m FROM x GROUP BY rule),
+b AS (SELECT rule, m, CASE WHEN k > 1 AND n - n2 / n > 0 THEN (f2 - f * f / n - (k - 1) * m * (1 - m)) / (n - n2 / n) END AS b FROM t),
+p AS (SELECT rule, m, CASE WHEN b > 0 THEN greatest(2, m * (1 - m) / b - 1) ELSE 1e18 END AS wt, greatest(0.3, 4 * m / (1 - m + 4 * m)) AS lim FROM b),
+s AS (SELECT host, x.n, wt, lim, (x.f + m * wt) / (x.n + wt) AS r FROM x JOIN p USING (rule)),
+h AS (SELECT host, bool_and(r - 3 * sqrt(r * (1 - r) / (n + wt + 1)) <= lim) AS ok FROM s GROUP BY host)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, x_short OR x_repeats AS base_failed, NOT (x_short OR x_repeats) AND ok AS kept, f.host AS host FROM f JOIN h USING (host)
 """
 
 

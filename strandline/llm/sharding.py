@@ -25,9 +25,12 @@ from .common import materialize
 
 @dataclass(frozen=True)
 class RingParams:
+    """virtual_nodes: so many that little overflows and has to move with the counts.  Up to run_rows copies of a row are dealt by one task."""
+
     shards: int = 24
-    virtual_nodes: int = 32
+    virtual_nodes: int = 256
     rows_per_cell: int = 1_000_000
+    run_rows: int = 65_536
 
 
 def ring(p: RingParams, bits: int) -> list[int]:
@@ -77,16 +80,17 @@ def assign(docs: DataFrame, p: RingParams = RingParams(), id_col: str = "doc_id"
 
     size is the UTF-8 bytes of the text plus 8, a null text having none.  Rows
     with equal id, size and checksum are counted together before the shuffle and
-    dealt as a run of ranks, so repeated rows spread over shards like others;
-    null ids have one place on the ring.  An empty table gives no rows; other
-    columns aren't read.
+    dealt as runs of ranks, so repeated rows spread over shards like others; rows
+    without an id have a place by size and checksum.  Long texts are read where
+    they are and never shuffled.  An empty table gives no rows; other columns
+    aren't read.
     """
     data = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
     rows = docs.select(F.col(id_col).alias("_id"), (F.length(data).cast("long") + 8).alias("size"), F.crc32(data).alias("text_crc32"))
     keys = materialize(rows.groupBy("_id", "size", "text_crc32").agg(F.count("*").alias("_n")), "shard-keys")
     total = keys.agg(F.sum("_n")).first()[0] or 0
     bits = max(14, (p.shards * p.virtual_nodes * 4).bit_length(), (total // p.rows_per_cell).bit_length())
-    celled = keys.withColumn("_hash", F.xxhash64(F.coalesce(F.col("_id").cast("string"), F.lit("")))).withColumn("_cell", F.shiftrightunsigned("_hash", 64 - bits).cast("int"))
+    celled = keys.withColumn("_hash", F.when(F.col("_id").isNull(), F.xxhash64("size", "text_crc32")).otherwise(F.xxhash64(F.col("_id").cast("string")))).withColumn("_cell", F.shiftrightunsigned("_hash", 64 - bits).cast("int"))
     counts = [0] * (1 << bits)
     for r in celled.groupBy("_cell").agg(F.sum("_n").alias("n")).collect():  # 2**bits rows at most
         counts[r["_cell"]] = r["n"]
@@ -100,6 +104,11 @@ def assign(docs: DataFrame, p: RingParams = RingParams(), id_col: str = "doc_id"
     before = W.partitionBy("_cell").orderBy("_hash", "_id", "size", "text_crc32").rowsBetween(W.unboundedPreceding, -1)
     ranked = celled.withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     ranked = ranked.join(F.broadcast(table), "_cell")  # bounded by 2**bits cells and one run more per shard
-    each = ranked.select("_id", "size", "text_crc32", "_runs", F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_n") - 1)).alias("_rank"))
+    last = F.col("_first") + F.col("_n") - 1
+    runs_of = lambda df: df.select("_id", "size", "text_crc32", "_runs", last.alias("_last"), F.explode(F.sequence(F.col("_first"), last, F.lit(p.run_rows).cast("long"))).alias("_a"))
+    # A row with very many copies is dealt by several tasks.
+    many = runs_of(ranked.where(F.col("_n") > p.run_rows)).repartition("_a")
+    parts = runs_of(ranked.where(F.col("_n") <= p.run_rows)).unionByName(many)
+    each = parts.select("_id", "size", "text_crc32", "_runs", F.explode(F.sequence(F.col("_a"), F.least(F.col("_last"), F.col("_a") + p.run_rows - 1))).alias("_rank"))
     run = F.element_at(F.filter("_runs", lambda x: x["rank"] <= F.col("_rank")), -1)
     return each.withColumn("_run", run).select(F.col("_id").alias(id_col), "size", "text_crc32", F.col("_run.shard").alias("shard"), (F.col("_run.slot") + F.col("_rank") - F.col("_run.rank")).alias("slot"))

@@ -2,8 +2,8 @@
 
 Variable path segments become wildcards, first by their form and then, where a
 node has too many children, by their labels; sibling branches whose labelled shares don't differ
-statistically are merged; a template is rejected by the smoothed share of bad
-labels in its branch.  Everything is DataFrame expressions over counts per
+statistically are merged; a template is rejected where the smoothed purity of
+its branch is clearly below that of all labels.  Everything is DataFrame expressions over counts per
 distinct template, so a host with a third of all pages is a few rows.
 """
 
@@ -24,17 +24,20 @@ class TreeParams:
     """max_children: a node with more gets so many wildcards at most: one for children with fewer than min_labels labels,
     the others for equal bands of the smoothed bad share.  depth: deeper segments are one wildcard together.
 
-    merge_z: neighbouring siblings whose bad shares differ by less are merged.
-    prior_weight labels of the overall share are added to each branch; one with
-    at least min_labels is rejected when the smoothed share is above max_bad.
+    merge_z: a sibling whose bad share differs by less from that of the group
+    before it joins the group.  prior_weight labels of the overall share are
+    added to each branch; one with at least min_labels is rejected where it is
+    certain, by reject_z standard deviations of its posterior, that its odds of
+    bad pages are over max_odds times the overall ones.
     """
 
     max_children: int = 16
     depth: int = 4
     merge_z: float = 1.96
-    prior_weight: float = 20.0
+    prior_weight: float = 10.0
     min_labels: int = 10
-    max_bad: float = 0.5
+    reject_z: float = 3.0
+    max_odds: float = 2.0
 
 
 @dataclass(frozen=True)
@@ -77,6 +80,25 @@ def shape(path: Column, depth: int) -> Column:
     return F.when(F.size(out) > depth, F.concat(F.slice(out, 1, depth), F.array(F.lit("**")))).otherwise(out)
 
 
+#: Labels and bad ones of the last group, its number, and the group of each sibling so far.
+_GROUPS = "struct<n:long,b:long,k:int,out:array<struct<_seg:string,_group:int>>>"
+
+
+def _grouped(a: Column, x: Column, p: TreeParams) -> Column:
+    """a after the sibling x: in the last group, or in a new one.  Without labels it stays with its neighbours, and isn't evidence."""
+    n, b, k = F.coalesce(a["n"], F.lit(0)), F.coalesce(a["b"], F.lit(0)), F.coalesce(a["k"], F.lit(0))
+    pooled = (b + x["b"] + 1) / (n + x["n"] + 2)
+    at_least = lambda c: F.greatest(c, F.lit(1))
+    z = (x["b"] / at_least(x["n"]) - b / at_least(n)) / F.sqrt(pooled * (1 - pooled) * (1 / at_least(x["n"]) + 1 / at_least(n)))
+    new = F.coalesce((n > 0) & (x["n"] > 0) & (z > p.merge_z), F.lit(False))
+    k = k + new.cast("int")
+    one = F.array(F.struct(x["seg"].alias("_seg"), k.alias("_group")))
+    return F.struct(
+        (F.when(new, 0).otherwise(n) + x["n"]).cast("long").alias("n"), (F.when(new, 0).otherwise(b) + x["b"]).cast("long").alias("b"), k.alias("k"),
+        F.when(a.isNull(), one).otherwise(F.concat(a["out"], one)).alias("out"),
+    ).cast(_GROUPS)
+
+
 def build_tree(pages: DataFrame, p: TreeParams) -> DataFrame:
     """pages: _host, _shape, _bad (0, 1 or null).  Returns (_host, _shape, template, n_labels, bad_share, rejected)."""
     leaves = materialize(pages.groupBy("_host", "_shape").agg(F.count("*").alias("n"), F.count("_bad").alias("labels"), F.coalesce(F.sum("_bad"), F.lit(0)).alias("bad")), "url-shapes")
@@ -95,21 +117,17 @@ def build_tree(pages: DataFrame, p: TreeParams) -> DataFrame:
         bands = p.max_children - 1
         band = F.concat(F.lit("*"), F.least(F.floor(share * bands), F.lit(bands - 1)).cast("string")) if bands > 0 else F.lit("*")
         wide = kids.where("_many").select("_host", "_node", "_seg", F.when(F.col("labels") < p.min_labels, "*").otherwise(band).alias("_branch"))
-        # Siblings by smoothed bad share; a new branch starts where the step to the next is statistically clear.
-        order = W.partitionBy("_host", "_node").orderBy("_share", "_seg")
-        few = kids.where(~F.col("_many")).withColumn("_share", share)
-        n0, b0 = F.lag("labels").over(order), F.lag("bad").over(order)
-        pooled = (F.col("bad") + F.col("_b0") + 1) / (F.col("labels") + F.col("_n0") + 2)
-        z = (F.col("bad") / F.greatest(F.col("labels"), F.lit(1)) - F.col("_b0") / F.greatest(F.col("_n0"), F.lit(1))) / F.sqrt(pooled * (1 - pooled) * (1 / F.greatest(F.col("labels"), F.lit(1)) + 1 / F.greatest(F.col("_n0"), F.lit(1))))
-        few = few.withColumn("_n0", n0).withColumn("_b0", b0).withColumn("_step", F.coalesce((z > p.merge_z).cast("int"), F.lit(0)))
-        few = few.withColumn("_group", F.sum("_step").over(order.rowsBetween(W.unboundedPreceding, 0)))
+        # Siblings by smoothed bad share; a new group starts where one differs clearly from the whole group before it.
+        few = kids.where(~F.col("_many")).groupBy("_host", "_node").agg(F.sort_array(F.collect_list(F.struct(share.alias("s"), F.col("_seg").alias("seg"), F.col("labels").alias("n"), F.col("bad").alias("b")))).alias("_kids"))  # max_children at most
+        few = few.select("_host", "_node", F.inline(F.aggregate("_kids", F.lit(None).cast(_GROUPS), lambda a, x: _grouped(a, x, p)).getField("out")))
         names = few.groupBy("_host", "_node", "_group").agg(F.min("_seg").alias("_a"), F.max("_seg").alias("_z"), F.count("*").alias("_k"))
         few = few.join(names, ["_host", "_node", "_group"]).select("_host", "_node", "_seg", F.when(F.col("_k") == 1, F.col("_a")).otherwise(F.concat(F.lit("("), F.col("_a"), F.lit("|..|"), F.col("_z"), F.lit(")"))).alias("_branch"))
         tree = tree.join(wide.unionByName(few), ["_host", "_node", "_seg"], "left").withColumn("_node", F.when(F.col("_seg").isNull(), F.col("_node")).otherwise(F.concat("_node", F.lit("/"), "_branch"))).drop("_seg", "_branch")
         tree = materialize(tree, f"url-tree-{level}")
     merged = tree.groupBy("_host", "_node").agg(F.sum("labels").alias("n_labels"), F.sum("bad").alias("_bad"))
     merged = merged.withColumn("bad_share", (F.col("_bad") + prior * p.prior_weight) / (F.col("n_labels") + p.prior_weight))
-    merged = merged.withColumn("rejected", (F.col("n_labels") >= p.min_labels) & (F.col("bad_share") > p.max_bad))
+    least = F.col("bad_share") - p.reject_z * F.sqrt(F.col("bad_share") * (1 - F.col("bad_share")) / (F.col("n_labels") + p.prior_weight + 1))
+    merged = merged.withColumn("rejected", (F.col("n_labels") >= p.min_labels) & (least > p.max_odds * prior / (1 - prior + p.max_odds * prior)))
     return tree.join(merged, ["_host", "_node"]).select("_host", "_shape", F.col("_node").alias("template"), "n_labels", "bad_share", "rejected")
 
 
@@ -118,7 +136,9 @@ def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[Rule], p: TreePar
 
     labels has (id_col, bad): 1 or 0 for pages that are labelled; of several
     rows for one page the worst counts.  A null URL, or one without "://", has
-    an empty host and path and belongs to the template of those.  Repeated rows
+    an empty host and path and belongs to the template of those.  Segments of
+    over 40 characters are variable, so long URLs don't widen the tree; children
+    of equal shares are ordered by name.  Repeated rows
     are judged each, an empty table gives no rows, other columns aren't read.
     """
     lab = labels.groupBy(F.col(id_col).alias("_id")).agg(F.max("bad").cast("int").alias("_bad"))

@@ -28,13 +28,15 @@ from .common import materialize, scratch_path
 class WarcParams:
     """min_shared_bytes: smaller payloads are always responses.  max_file_bytes starts a new file.
 
-    max_gap_bytes and max_read_bytes bound what one coalesced read skips and holds.
+    max_gap_bytes and max_read_bytes bound what one coalesced read skips and
+    holds; a reading task gets about task_bytes at most.
     """
 
     min_shared_bytes: int = 100
     max_file_bytes: int = 1 << 30
     max_gap_bytes: int = 64 << 10
     max_read_bytes: int = 8 << 20
+    task_bytes: int = 128 << 20
     level: int = 3
 
 
@@ -69,19 +71,27 @@ def open_input(uri: str):
 # --- records -----------------------------------------------------------------------------------------------------
 
 
+def _urn(page_id) -> str:
+    return "<urn:x-no-page:0>" if page_id is None else f"<urn:x-page:{quote(str(page_id))}>"
+
+
+def _page(urn: str | None) -> str | None:
+    return unquote(urn[len("<urn:x-page:") : -1]) if urn and urn.startswith("<urn:x-page:") else None
+
+
 def record_bytes(page_id, url: str | None, payload: bytes, digest: str, refers_to, date: str) -> bytes:
     """One WARC record: a response with its payload, or a revisit with the HTTP head only."""
     revisit = refers_to is not None
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if revisit else http + payload
     head = [
-        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:x-page:{quote(str(page_id))}>", f"WARC-Date: {date}",
+        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {_urn(page_id)}", f"WARC-Date: {date}",
         f"WARC-Payload-Digest: sha256:{digest}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}",
     ]
     if url is not None:
         head.append(f"WARC-Target-URI: {quote(url, safe=_URL_SAFE)}")
     if revisit:
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:x-page:{quote(str(refers_to))}>"]
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {_urn(refers_to)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -100,8 +110,7 @@ def parse_record(data: bytes) -> dict:
         raise ValueError("a WARC record must end with two line breaks")
     http, _, payload = block.partition(b"\r\n\r\n")
     length = int(re.search(rb"(?i)content-length: (\d+)", http)[1])
-    page = lambda v: unquote(v[len("<urn:x-page:") : -1]) if v else None
-    return {"type": fields["warc-type"], "page": page(fields["warc-record-id"]), "refers_to": page(fields.get("warc-refers-to")), "digest": fields["warc-payload-digest"].removeprefix("sha256:"), "url": fields.get("warc-target-uri"), "payload_bytes": length, "payload": payload if fields["warc-type"] == "response" else None}
+    return {"type": fields["warc-type"], "page": _page(fields["warc-record-id"]), "refers_to": _page(fields.get("warc-refers-to")), "digest": fields["warc-payload-digest"].removeprefix("sha256:"), "url": fields.get("warc-target-uri"), "payload_bytes": length, "payload": payload if fields["warc-type"] == "response" else None}
 
 
 # --- writing -----------------------------------------------------------------------------------------------------
@@ -116,17 +125,18 @@ def revisits(pages: DataFrame, p: WarcParams, id_col: str, url_col: str, payload
     """(_id, _digest, refers_to) of the records that repeat a payload; only ids, digests and lengths are shuffled."""
     narrow = materialize(_digested(pages, id_col, url_col, payload_col).select("_id", "_digest", F.length("_data").alias("_n")).where(F.col("_n") >= p.min_shared_bytes), "digests")
     firsts = narrow.groupBy("_digest").agg(F.min("_id").alias("refers_to"), F.count("*").alias("_k")).where("_k > 1").drop("_k")
-    return narrow.drop("_n").join(firsts, "_digest").where(F.col("_id") != F.col("refers_to")).distinct()
+    return narrow.drop("_n").join(firsts, "_digest").where(F.col("refers_to").isNotNull() & ~F.col("_id").eqNullSafe(F.col("refers_to"))).distinct()
 
 
 def write_warc(pages: DataFrame, folder: str | None = None, p: WarcParams = WarcParams(), id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", date: str = "2000-01-01T00:00:00Z") -> DataFrame:
     """Write one record per row and return the index: id, url, path, offset, length, payload_bytes, digest, type.
 
     Of records with equal payloads of at least p.min_shared_bytes the one with
-    the smallest id is the response; other ids revisit it.  Null payloads are
+    the smallest id is the response; other ids, and rows without one, revisit it;
+    where no row has an id, all are responses.  Null payloads are
     empty, null URLs have no target header, repeated rows of the smallest id are
     responses each, an empty table gives an empty index, and other columns
-    aren't read.  Each task attempt writes files of its own names and the index
+    aren't read.  A payload, however long, is in memory once with its record.  Each task attempt writes files of its own names and the index
     names only those of the attempts that counted, so lost executors and
     repeated tasks leave at most unused files.
     """
@@ -135,7 +145,9 @@ def write_warc(pages: DataFrame, folder: str | None = None, p: WarcParams = Warc
     kind = pages.schema[id_col].dataType.simpleString()
     repeats = materialize(revisits(pages, p, id_col, url_col, payload_col), "revisits")
     # The table of revisits has a known size: Spark broadcasts it below its threshold and else sorts and merges.
-    rows = _digested(pages, id_col, url_col, payload_col).join(repeats, ["_id", "_digest"], "left").select("_id", "_url", "_data", "_digest", "refers_to")
+    repeats = repeats.select(F.col("_id").alias("_again"), F.col("_digest").alias("_d"), "refers_to")
+    again = F.col("_id").eqNullSafe(F.col("_again")) & (F.col("_digest") == F.col("_d"))
+    rows = _digested(pages, id_col, url_col, payload_col).join(repeats, again, "left").select("_id", "_url", "_data", "_digest", "refers_to")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
@@ -182,7 +194,8 @@ def coalesce_ranges(rows: list[tuple[str, int, int]], p: WarcParams) -> list[tup
 def read_warc(index: DataFrame, p: WarcParams = WarcParams(), with_payload: bool = True) -> DataFrame:
     """The records of the index rows (any selection): page and refers_to as texts, type, url, digest, payload_bytes, payload.
 
-    Rows are dealt by file and offset, so each task reads neighbouring ranges;
+    Rows are dealt by file and offset, so each task reads neighbouring ranges; a
+    record without an id has a null page;
     a response whose payload doesn't have the digest of its header is an error.
     """
 
@@ -204,5 +217,8 @@ def read_warc(index: DataFrame, p: WarcParams = WarcParams(), with_payload: bool
                 types = [pa.string()] * 5 + [pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["page", "refers_to", "type", "url", "digest", "payload_bytes", "payload"])
 
-    ranges = index.select("path", "offset", "length").repartitionByRange("path", "offset").sortWithinPartitions("path", "offset")
+    # Ranges are dealt by what is read, not by the size of the index.
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(3 * index.sparkSession.sparkContext.defaultParallelism, -(-total // p.task_bytes))
+    ranges = index.select("path", "offset", "length").repartitionByRange(tasks, "path", "offset").sortWithinPartitions("path", "offset")
     return ranges.mapInArrow(run, "page string, refers_to string, type string, url string, digest string, payload_bytes long, payload binary")

@@ -108,3 +108,82 @@ def listed(spans):
 def sized(text):
     data = (text or "").encode()
     return len(data) + 8, zlib.crc32(data)
+
+
+def host_verdicts(rows, z=3.0, max_odds=4.0, least=0.3):
+    """{host: kept} of (text, host) rows."""
+    counts = {}
+    for text, host in rows:
+        n, _, symbols, dup, repeat, _ = quality(text)
+        lines = sum(bool(BLANK.search(x)) for x in (text or "").split("\n"))
+        bad = [n < 50, 100 * repeat > 50 * n, 100 * symbols > 10 * n, 100 * dup > 30 * max(lines, 1)]
+        c = counts.setdefault(host or "", [0] * 6)
+        for i, x in enumerate([1, *bad, any(bad)]):
+            c[i] += x
+    out = dict.fromkeys(counts, True)
+    n, k = sum(c[0] for c in counts.values()), len(counts)
+    for i in range(1, 6):
+        f = sum(c[i] for c in counts.values())
+        m = (f + 0.5) / (n + 1)
+        scale = n - sum(c[0] ** 2 for c in counts.values()) / n
+        between = (sum(c[i] ** 2 / c[0] for c in counts.values()) - f * f / n - (k - 1) * m * (1 - m)) / scale if k > 1 else 0
+        for host, c in counts.items():
+            if between > 0:
+                w = max(2, m * (1 - m) / between - 1)
+                r = (c[i] + m * w) / (c[0] + w)
+                out[host] &= r - z * (r * (1 - r) / (c[0] + w + 1)) ** 0.5 <= max(least, max_odds * m / (1 - m + max_odds * m))
+    return out
+
+
+def url_tree(pages, p):
+    """Shapes whose template is rejected: pages are (host, shape, bad or None)."""
+    leaves = {}
+    for host, shape, bad in pages:
+        c = leaves.setdefault((host, tuple(shape)), [0, 0])
+        c[0] += bad is not None
+        c[1] += bad or 0
+    prior = (sum(c[1] for c in leaves.values()) + 0.5) / (sum(c[0] for c in leaves.values()) + 1)
+    rejected = set()
+
+    def smooth(c):
+        return (c[1] + prior * p.prior_weight) / (c[0] + p.prior_weight)
+
+    def total(keys):
+        return [sum(leaves[k][i] for k in keys) for i in (0, 1)]
+
+    def judge(keys):
+        c = total(keys)
+        s = smooth(c)
+        if c[0] >= p.min_labels and s - p.reject_z * (s * (1 - s) / (c[0] + p.prior_weight + 1)) ** 0.5 > p.max_odds * prior / (1 - prior + p.max_odds * prior):
+            rejected.update(keys)
+
+    def split(keys, level):
+        ends = [k for k in keys if len(k[1]) <= level]
+        if ends:
+            judge(ends)
+        kids = {}
+        for k in keys:
+            if len(k[1]) > level:
+                kids.setdefault(k[1][level], []).append(k)
+        groups = {}
+        if len(kids) > p.max_children:
+            for v in kids.values():
+                c = total(v)
+                bands = p.max_children - 1
+                groups.setdefault("*" if c[0] < p.min_labels or not bands else min(int(smooth(c) * bands), bands - 1), []).extend(v)
+        else:
+            at, n, b = 0, 0, 0
+            for _, name in sorted((smooth(total(v)), s) for s, v in kids.items()):
+                x, y = total(kids[name])
+                if n and x:
+                    q = (b + y + 1) / (n + x + 2)
+                    if (y / x - b / n) / (q * (1 - q) * (1 / x + 1 / n)) ** 0.5 > p.merge_z:
+                        at, n, b = at + 1, 0, 0
+                n, b = n + x, b + y
+                groups.setdefault(at, []).extend(kids[name])
+        for v in groups.values():
+            split(v, level + 1)
+
+    for host in {k[0] for k in leaves}:
+        split([k for k in leaves if k[0] == host], 0)
+    return rejected

@@ -4,6 +4,7 @@ import random
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 
@@ -77,3 +78,23 @@ def test_rows_without_words_link_with_nothing(spark):
     docs = spark.createDataFrame([(i, t, "src") for i, t in rows], "doc_id long, text string, source string")
     got = [(r.doc_id, r.text) for r in cp.keep_one_of_each(spark, docs, "").collect()]
     assert sorted(got, key=str) == sorted(rows[:-1], key=str)
+
+
+def test_stages_of_empty_and_clashing_tables(spark, tmp_path):
+    """No rows in, none out; columns with names that the operators use go through every stage unharmed."""
+    rng = random.Random(2)
+    text = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    names = ["set", "half", "n", "_id", "_text", "_key", "_row", "kept", "host", "label", "items", "spans", "size"]
+    rows = [(i, text(n), f"s{i % 2}") for i, n in enumerate((60, 70, 30_000, 80))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for k, c in enumerate(names):
+        docs = docs.withColumn(c, F.lit(str(k)))
+    spark.createDataFrame([(1, text(20))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs.write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        assert sorted(out.collect()) == sorted(docs.collect()), name
+        assert stage(spark, docs.where("false"), str(tmp_path)).count() == 0
+    assert cp.STAGES[-1][1](spark, docs.where("false"), str(tmp_path)).count() == 0
