@@ -17,56 +17,72 @@ NEAR_COPIES = njoin.JoinParams(words=5, percent=80, sampled=0.33)
 _SCRATCH: dict[str, list[str]] = {}
 
 
-def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
-    """docs with _row: the id (null ones last), a hash of the text, and more; what it doesn't tell apart gets one verdict."""
+def _keyed(docs: DataFrame, *more: Column) -> tuple[DataFrame, str]:
+    """(docs with a key column, its name): the id (null ones last), a hash of the text, and more; what it doesn't tell apart gets one verdict."""
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
     key = [F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), *more]
-    return docs.withColumn("_row", F.struct(*key))
+    return docs.withColumn(name, F.struct(*key)), name
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs but the rows whose _row is in gone; a table of known size, broadcast only below Spark's threshold."""
-    gone = materialize(gone.select(F.col("_row").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, F.col("_row") == F.col("_gone"), "left_anti")
+def _without(docs: DataFrame, gone: DataFrame, row: str) -> DataFrame:
+    """docs but the rows whose key is in gone; a table of known size, broadcast only below Spark's threshold."""
+    gone = materialize(gone.select(F.col(row)).distinct(), "gone")
+    return docs.join(gone, docs[row] == gone[row], "left_anti")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the rules, or their host's verdict, reject go."""
-    rows = _keyed(docs, F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"))
-    return _without(rows, quality.judge(rows, id_col="_row").where(~F.col("kept"))).drop("_row")
+    """Rows that the rules, or their host's verdict, reject go; null and short texts among them.
+
+    Rows are judged one by one, whatever their ids; a null source is a host of
+    its own; very long texts are measured whole; an empty table stays empty.
+    """
+    rows, row = _keyed(docs, F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"))
+    return _without(rows, quality.judge(rows, id_col=row).where(~F.col("kept")), row).drop(row)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked rows the one with the smallest id, then text hash, stays; of rows with one id and text, one.
 
-    Rows without words link with nothing and stay; so do different texts under one id that aren't linked.
+    Rows without words link with nothing and stay; so do different texts under
+    one id that aren't linked.  Null ids come last; very long texts are compared
+    whole; an empty table stays empty; other columns go through.
     """
-    rows = _keyed(docs)
-    found = materialize(njoin.join_components(rows, NEAR_COPIES, id_col="_row").where("n_shingles > 0"), "linked")
-    out = _without(rows, found.where(F.col("_row") != F.col("component_id")))
-    repeated = found.where(F.col("_row") == F.col("component_id")).groupBy("_row").agg(F.count("*").alias("k")).where("k > 1")
-    repeated = materialize(repeated.select(F.col("_row").alias("_again")), "repeated")
+    rows, row = _keyed(docs)
+    found = materialize(njoin.join_components(rows, NEAR_COPIES, id_col=row).where("n_shingles > 0"), "linked")
+    out = _without(rows, found.where(F.col(row) != F.col("component_id")), row)
+    repeated = found.where(F.col(row) == F.col("component_id")).groupBy(row).agg(F.count("*").alias("k")).where("k > 1")
+    repeated = materialize(repeated.select(row), "repeated")
     if not repeated.isEmpty():
-        again = F.col("_row") == F.col("_again")
-        once = out.join(repeated, again, "left_semi").dropDuplicates(["_row"])
+        again = out[row] == repeated[row]
+        once = out.join(repeated, again, "left_semi").dropDuplicates([row])
         out = out.join(repeated, again, "left_anti").unionByName(once)
-    return out.drop("_row")
+    return out.drop(row)
 
 
 def keep_clean_of_tests(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated rows go."""
-    rows = _keyed(docs)
+    """Contaminated rows go, with all their copies and only those that share both id and text.
+
+    Null texts and an empty benchmark are clean; very long texts are searched
+    whole; an empty table stays empty; other columns go through.
+    """
+    rows, row = _keyed(docs)
     found = decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark"), near=False).where("contaminated")
-    gone = found.select(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_h").alias("h")).alias("_row"))
-    return _without(rows, gone).drop("_row")
+    gone = found.select(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_h").alias("h")).alias(row))
+    return _without(rows, gone, row).drop(row)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets become a mark; the documents stay."""
+    """Secrets become a mark; the documents stay, null and empty texts and an empty table as they are."""
     return secrets.redact(docs, secrets.train(docs))
 
 
 def into_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents and their places in training sequences."""
+    """Pieces of all documents and their places in training sequences; a null text is a piece of one end mark.
+
+    Repeated rows give their own pieces, very long texts several; an empty table gives none.
+    """
     return packed(docs)
 
 
