@@ -14,6 +14,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import materialize, sliced
 
@@ -73,9 +74,9 @@ def _measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """One row of measures per row of docs (_id, _host and the counts); a null host is the empty one."""
-    id_type = docs.schema[id_col].dataType.simpleString()
     narrow = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("_host"), F.col(text_col).alias("_text"))
-    return narrow.mapInArrow(_measure_batches, f"_id {id_type}, _host string, {MEASURES}, n_lines long")
+    counts = StructType.fromDDL(f"_host string, {MEASURES}, n_lines long")
+    return narrow.mapInArrow(_measure_batches, StructType([narrow.schema["_id"], *counts.fields]))
 
 
 def base_failed(rules: HostRules) -> Column:
