@@ -17,29 +17,47 @@ NEAR_COPIES = njoin.JoinParams(words=5, percent=80, sampled=0.33)
 _SCRATCH: dict[str, list[str]] = {}
 
 
-def _keyed(docs: DataFrame, *more: Column) -> tuple[DataFrame, str]:
-    """(docs with a key column, its name): the id (null ones last), a hash of the text, and more; what it doesn't tell apart gets one verdict."""
+#: Rows that may go are found again through so many hash buckets, the fixed bound of what is broadcast for it.
+BUCKETS = 1 << 20
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """(docs with a key column, its name): the id (null ones last) and a hash of the text; what it doesn't tell apart gets one verdict."""
     name = "_row"
     while name in docs.columns:
         name += "_"
-    key = [F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), *more]
+    key = [F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")]
     return docs.withColumn(name, F.struct(*key)), name
 
 
+def _bucket(row: str) -> Column:
+    return F.pmod(F.xxhash64(row), F.lit(BUCKETS)).cast("int")
+
+
+def _parted(docs: DataFrame, keys: DataFrame, row: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose bucket holds no key, the others): only the others, with their texts, need a shuffle to be told apart."""
+    some = F.broadcast(keys.select(_bucket(row).alias("_b")).distinct())  # BUCKETS rows at most
+    there = _bucket(row) == some["_b"]
+    return docs.join(some, there, "left_anti"), docs.join(some, there, "left_semi")
+
+
 def _without(docs: DataFrame, gone: DataFrame, row: str) -> DataFrame:
-    """docs but the rows whose key is in gone; a table of known size, broadcast only below Spark's threshold."""
+    """docs but the rows whose key is in gone."""
     gone = materialize(gone.select(F.col(row)).distinct(), "gone")
-    return docs.join(gone, docs[row] == gone[row], "left_anti")
+    clear, maybe = _parted(docs, gone, row)
+    return clear.unionByName(maybe.join(gone, docs[row] == gone[row], "left_anti"))
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the rules, or their host's verdict, reject go; null and short texts among them.
 
-    Rows are judged one by one, whatever their ids; a null source is a host of
-    its own; very long texts are measured whole; an empty table stays empty.
+    Rows are judged one by one, whatever their ids: each is stored with its
+    measures, so verdicts need no join of texts but the one with the hosts.  A
+    null source is a host of its own; very long texts are measured whole; an
+    empty table stays empty.
     """
-    rows, row = _keyed(docs, F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"))
-    return _without(rows, quality.judge(rows, id_col=row).where(~F.col("kept")), row).drop(row)
+    rows = docs.select(F.struct("*").alias("row"), "text", "source")
+    return quality.judge(rows, id_col="row").where("kept").select("row.*")
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,13 +69,13 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     rows, row = _keyed(docs)
     found = materialize(njoin.join_components(rows, NEAR_COPIES, id_col=row).where("n_shingles > 0"), "linked")
-    out = _without(rows, found.where(F.col(row) != F.col("component_id")), row)
-    repeated = found.where(F.col(row) == F.col("component_id")).groupBy(row).agg(F.count("*").alias("k")).where("k > 1")
-    repeated = materialize(repeated.select(row), "repeated")
+    first = F.col(row) == F.col("component_id")
+    repeated = materialize(found.where(first).groupBy(row).agg(F.count("*").alias("k")).where("k > 1").select(row), "repeated")
+    out = _without(rows, found.where(~first), row)
     if not repeated.isEmpty():
-        again = out[row] == repeated[row]
-        once = out.join(repeated, again, "left_semi").dropDuplicates([row])
-        out = out.join(repeated, again, "left_anti").unionByName(once)
+        clear, maybe = _parted(out, repeated, row)
+        again = maybe[row] == repeated[row]
+        out = clear.unionByName(maybe.join(repeated, again, "left_anti")).unionByName(maybe.join(repeated, again, "left_semi").dropDuplicates([row]))
     return out.drop(row)
 
 
