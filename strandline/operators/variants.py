@@ -19,11 +19,14 @@ def variant_sites(msa: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
     """
     rows = msa.select(*by, "id", "is_ref", S.mask("seq").alias("seq"))
     ref = rows.where("is_ref").select(*by, F.col("seq").alias("_ref"))
-    diff = F.zip_with(F.split("seq", ""), F.split("_ref", ""), lambda a, b: F.when((a != b) & (b != "-") & (a != "-"), F.struct(b.alias("ref"), a.alias("alt"))))
-    each = rows.where(~F.col("is_ref")).join(ref, list(by)).select(*by, F.posexplode(diff).alias("p", "v")).where("v is not null")
-    out = each.groupBy(*by, (F.col("p") + 1).alias("pos"), F.col("v.ref").alias("ref"))
+    pairs = F.zip_with(F.split("seq", ""), F.split("_ref", ""), lambda a, b: F.when((a != b) & (b != "-") & (a != "-"), F.struct(b.alias("ref"), a.alias("alt"))))
+    diff = F.filter(F.transform(pairs, lambda v, i: F.when(v.isNotNull(), F.struct(i.alias("p"), v["ref"].alias("ref"), v["alt"].alias("alt")))), lambda v: v.isNotNull())
+    # Rows that repeat a sequence of their group are compared once and counted.
+    seqs = rows.where(~F.col("is_ref")).groupBy(*by, "seq").agg(F.count("*").alias("_k"))
+    each = seqs.join(ref, list(by)).select(*by, "_k", F.explode(diff).alias("v"))
+    out = each.groupBy(*by, (F.col("v.p") + 1).alias("pos"), F.col("v.ref").alias("ref"))
     alts = F.array_join(F.sort_array(F.collect_set(F.when(F.col("v.alt") != "N", F.col("v.alt")))), ",")
-    return out.agg(alts.alias("alts"), F.count_if(F.col("v.alt") != "N").alias("n_alt"), F.count_if(F.col("v.alt") == "N").alias("n_missing"))
+    return out.agg(alts.alias("alts"), F.coalesce(F.sum(F.when(F.col("v.alt") != "N", F.col("_k"))), F.lit(0)).alias("n_alt"), F.coalesce(F.sum(F.when(F.col("v.alt") == "N", F.col("_k"))), F.lit(0)).alias("n_missing"))
 
 
 def vcf_lines(sites: DataFrame, chrom: str = "Reference") -> DataFrame:

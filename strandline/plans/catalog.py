@@ -416,6 +416,60 @@ def variant_sites(spark, d):
     return variants.variant_sites(B.alignment(spark, d))
 
 
+@query(
+    f"""WITH {_SITES}, s AS (SELECT grp, pos, ref, coalesce(array_to_string(list_sort(list(DISTINCT alt) FILTER (WHERE alt <> 'N')), ','), '') AS alts FROM e GROUP BY grp, pos, ref),
+a AS (SELECT *, CASE WHEN alts = '' THEN '.' ELSE alts END AS alt FROM s)
+SELECT CAST(pos AS INT) AS pos, concat_ws(chr(9), 'Reference', CAST(pos AS VARCHAR), ref || pos || alt, ref, alt, '.', '.', '.') AS line FROM a"""
+)
+def vcf_text(spark, d):
+    """Body lines of all groups' sites."""
+    return variants.vcf_lines(variants.variant_sites(B.alignment(spark, d)))
+
+
+@query("SELECT c_custkey AS id FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 300000")
+def customers_without_large_orders(spark, d):
+    """J1, X2 where some ids do lack a partner."""
+    orders = B.table(spark, d, "orders").where("o_totalprice > 300000").select(F.col("o_custkey").alias("id"))
+    return relational.missing_ids(B.table(spark, d, "customer").select(F.col("c_custkey").alias("id")), orders, "id")
+
+
+@query(
+    """WITH c AS (SELECT DISTINCT c_custkey AS id FROM customer), o AS (SELECT DISTINCT o_custkey + 5 AS id FROM orders)
+SELECT id, 'left' AS side FROM c WHERE id NOT IN (SELECT id FROM o) UNION ALL SELECT id, 'right' FROM o WHERE id NOT IN (SELECT id FROM c)"""
+)
+def unequal_key_sets(spark, d):
+    """Ids that one of two tables has, with the side."""
+    return relational.same_keys(B.table(spark, d, "customer").select(F.col("c_custkey").alias("id")), B.table(spark, d, "orders").select((F.col("o_custkey") + 5).alias("id")), "id")
+
+
+@query("SELECT c_nationkey AS nation FROM customer WHERE c_acctbal > 5000 INTERSECT SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000")
+def shared_nations(spark, d):
+    """X3."""
+    rich = lambda t, p: B.table(spark, d, t).where(F.col(f"{p}_acctbal") > 5000).select(F.col(f"{p}_nationkey").alias("nation"))
+    return rich("customer", "c").intersect(rich("supplier", "s"))
+
+
+@query("SELECT 0 AS frame, s_suppkey AS row, s_name AS name FROM supplier UNION ALL SELECT 1, c_custkey, c_name FROM customer")
+def names_in_order(spark, d):
+    """Two tables under each other, the first one's rows first."""
+    part = lambda t, p, k: B.table(spark, d, t).select(F.col(k).alias("ord"), F.col(f"{p}_name").alias("name"))
+    out = relational.union_in_order([part("supplier", "s", "s_suppkey"), part("customer", "c", "c_custkey")])
+    return out.select("ord.frame", "ord.row", "name")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 10")
+def first_rows(spark, d):
+    """The first rows of an order, a top-k without a full sort."""
+    rows = B.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return rows.orderBy(F.desc("l_extendedprice"), "l_orderkey", "l_linenumber").limit(10)
+
+
+@query("SELECT 0 AS grp, 4 AS min_start, 93 AS max_end")
+def feature_spans(spark, d):
+    """From the first to the last base of a region's features."""
+    return curate.feature_span(T.parse_gff(B.gene_features(spark)).withColumn("grp", F.lit(0)))
+
+
 _VOTES = f"""c AS (SELECT conv_id AS leaf, turn, translate(text, '{B.ALPHABET}', '{B.BASES_OF}') AS s FROM conversations WHERE text IS NOT NULL),
 z AS (SELECT leaf, turn, unnest(list_zip(string_split(s, ''), range(1, length(s) + 1))) AS t FROM c), v AS (SELECT leaf, t[2] AS pos, t[1] AS base, count(*) AS n, min(turn) AS f FROM z WHERE t[1] <> '' GROUP BY ALL),
 b AS (SELECT leaf, pos, base, row_number() OVER (PARTITION BY leaf, pos ORDER BY n DESC, f) AS rn FROM v)"""
