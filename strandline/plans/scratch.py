@@ -43,7 +43,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that materialize() gave and that nothing reads any more; others are left alone."""
+    for df in tables:
+        path = df.__dict__.get("_scratch_path")
+        if path:
+            release(df.sparkSession, [path])
 
 
 def written(spark: SparkSession) -> list[str]:
