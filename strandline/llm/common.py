@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.scratch import materialize, release, scratch_dir, scratch_path, written
+from ..plans.scratch import discard, materialize, release, scratch_dir, scratch_path, written
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -73,4 +73,4 @@ def sliced(batches: Iterator[pa.RecordBatch], column: int, max_bytes: int) -> It
     give_back()
 
 
-__all__ = ["LOWER", "NON_WORD", "UPPER", "alnum_words", "ascii_lower", "give_back", "held", "materialize", "read_table", "release", "scratch_dir", "scratch_path", "sliced", "written"]
+__all__ = ["LOWER", "NON_WORD", "UPPER", "alnum_words", "ascii_lower", "discard", "give_back", "held", "materialize", "read_table", "release", "scratch_dir", "scratch_path", "sliced", "written"]

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import give_back, materialize, sliced
+from .common import discard, give_back, materialize, sliced
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 #: Random values of the 256 bytes, and odd bases, of two polynomial hashes of words.
@@ -189,7 +189,9 @@ def candidates(rows: DataFrame, p: JoinParams) -> DataFrame:
     first = F.slice(F.sort_array("t"), F.lit(1), F.col("r"))
     posts = materialize(lists.select("half", F.explode(F.transform(first, lambda x: x["token"])).alias("token")), "sampled-prefixes")
     many = posts.groupBy("token").agg(F.count("*").alias("_c")).where("_c > 1").select("token")
-    return posts.join(many, "token", "left_semi").select("half").distinct()
+    near = materialize(posts.join(many, "token", "left_semi").select("half").distinct(), "candidates")
+    discard(posts)
+    return near
 
 
 def prefixes(sets: DataFrame, p: JoinParams) -> DataFrame:
@@ -228,7 +230,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).where("a != b").distinct()
-        now = materialize(small, "stars")
+        old, now = now, materialize(small, "stars")
+        discard(old)
         row = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == tuple(row):
             return now.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
@@ -316,7 +319,7 @@ def _relabel(labels: DataFrame, links: DataFrame, name: str) -> DataFrame:
 
 def link_classes(docs: DataFrame, classes: DataFrame, p: JoinParams, id_col: str, text_col: str) -> DataFrame | None:
     """(set, label) of the classes that may link with others; None where there are none."""
-    near = materialize(candidates(index_rows(docs, p, text_col), p), "candidates")
+    near = candidates(index_rows(docs, p, text_col), p)
     wanted = materialize(classes.join(near, "half", "left_semi").select("set", F.col("rep").alias("_id")), "wanted")
     if wanted.isEmpty():
         return None
@@ -348,10 +351,12 @@ def link_classes(docs: DataFrame, classes: DataFrame, p: JoinParams, id_col: str
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         links = materialize(_verify(_pass_orders(pairs, table, p), sets, p), "links")
+        found, old = links.count(), labels
         labels = _relabel(labels, links, "labels")
+        discard(rows, links, old)
         if last:
             break
-        settled = links.count() * 50 < n_classes  # hubs find little more: what is open now is there to be refuted
+        settled = found * 50 < n_classes  # hubs find little more: what is open now is there to be refuted
         tested = pairs if tested is None else tested.unionByName(pairs)
     return labels
 
