@@ -12,7 +12,7 @@ from strandline.llm.common import materialize, read_table, release, scratch_path
 from strandline.llm.queries import packed
 
 #: Near copies in this stage share 80 % of their five-word shingles.
-NEAR_COPIES = njoin.JoinParams(words=5, percent=80, sampled=0.33)
+NEAR_COPIES = njoin.JoinParams(words=5, percent=80, short=64, sampled=0.33)
 
 _SCRATCH: dict[str, list[str]] = {}
 
