@@ -36,11 +36,25 @@ def _augmented(spark, d) -> DataFrame:
     return samples.augment(materialize(_meta(spark, d), "metadata"))
 
 
-HOST_SQL = f"""CASE WHEN host IS NULL THEN 'other'
- WHEN h IN {M.OTHER_EXACT} OR contains(h, 'laboratory') THEN 'other' WHEN h = 'human' THEN 'human'
- WHEN h IN {M.SWINE_EXACT} OR contains(h, 'sus scrofa') OR contains(h, 'sus ') THEN 'swine' WHEN h IN {M.EQUINE} THEN 'other'
- WHEN h IN {M.BOVINE} THEN 'bovine' WHEN h IN {M.CANINE} OR contains(h, 'canis') OR h IN {M.FELINE} OR contains(h, 'felis') OR h IN {M.MARINE + M.MAMMALS} THEN 'other'
- WHEN regexp_matches(h, '{"|".join(M.BIRD_WORDS)}') OR split_part(h, ' ', 1) IN {M.BIRD_GENERA} THEN 'avian' ELSE '__unrecognized__' END"""
+# Fixed values, written out here so that the SQL does not depend on the lists of the host expression.
+HOST_SQL = """CASE WHEN host IS NULL THEN 'other'
+ WHEN h IN ('host', 'mammals', 'other mammals', 'feces', 'environment', 'water sample', 'other environment', 'animal', 'surface swab', 'air sample',
+ 'unknown', 'insect') OR contains(h, 'laboratory') THEN 'other' WHEN h = 'human' THEN 'human'
+ WHEN h IN ('swine', 'pig') OR contains(h, 'sus scrofa') OR contains(h, 'sus ') THEN 'swine' WHEN h IN ('equine', 'equus caballus', 'horse', 'donkey')
+ THEN 'other'
+ WHEN h IN ('dairy cow', 'bovine', 'cow', 'cattle') THEN 'bovine' WHEN h IN ('canine', 'dog') OR contains(h, 'canis') OR h IN ('feline', 'cat') OR
+ contains(h, 'felis') OR h IN ('seal', 'dolphin', 'whale', 'sea lion', 'walrus', 'ferret', 'mink', 'mouse', 'mus musculus', 'rodent', 'bat', 'meerkat',
+ 'panda', 'camel', 'primate') THEN 'other'
+ WHEN regexp_matches(h,
+ 'avian|bird|fowl|poultry|waterfowl|duck|goose|swan|teal|mallard|pintail|wigeon|shoveler|chicken|turkey|quail|pheasant|partridge|grouse|peafowl|peacock|gull|tern|eagle|hawk|falcon|kestrel|harrier|buzzard|crow|raven|magpie|pigeon|dove|sparrow|finch|swallow|penguin|cormorant|pelican|heron|ibis|stork|crane|bustard|sandpiper|turnstone|knot|dunlin|sanderling|curlew|plover|shearwater|albatross|petrel|grebe|coot|rail|ostrich|great tit|passerine')
+ OR split_part(h, ' ', 1) IN ('gallus', 'meleagris', 'coturnix', 'coturnic', 'numida', 'phasianus', 'phasanius', 'alectoris', 'pavo', 'perdix',
+ 'cyrtonyx', 'oreortyx', 'francolinus', 'polyplectron', 'lophura', 'anas', 'anser', 'cygnus', 'branta', 'chen', 'cairina', 'aythya', 'bucephala',
+ 'tadorna', 'aix', 'mareca', 'melanitta', 'somateria', 'clangula', 'oxyura', 'mergus', 'lophodytes', 'dendrocygna', 'netta', 'larus', 'sterna',
+ 'chroicocephalus', 'leucophaeus', 'gelochelidon', 'chlidonias', 'hydroprogne', 'rissa', 'xema', 'larosterna', 'rynchops', 'calidris', 'arenaria',
+ 'numenius', 'tringa', 'scolopax', 'catoptrophorus', 'himantopus', 'gallinago', 'falco', 'buteo', 'accipiter', 'haliaeetus', 'halietus', 'circus',
+ 'parabuteo', 'nisaetus', 'morphnus', 'necrosyrtes', 'gyps', 'corvus', 'pica', 'columba', 'streptopelia', 'pygoscelis', 'spheniscus', 'podiceps',
+ 'tachybaptus', 'gallinula', 'anthropoides', 'passer', 'hirundo', 'zosterops', 'copsychus', 'garrulax', 'gracula', 'stercorarius', 'falsco',
+ 'anseriformes') THEN 'avian' ELSE '__unrecognized__' END"""
 GEO_SQL = "CASE trim(split_part(location, '/', 1), ' ' || chr(9)) WHEN 'North America' THEN 'north_america' WHEN 'Europe' THEN 'europe' WHEN 'Asia' THEN 'asia' ELSE 'other' END"
 #: meta with groups; the date split is the upper median of all dates.
 AUGMENTED = (
