@@ -110,8 +110,9 @@ def set_digest(h: np.ndarray) -> bytes:
     return hashlib.blake2b(h.tobytes(), digest_size=16).digest()
 
 
-def _half(digest: bytes) -> int:
-    return int.from_bytes(digest[:8], "little", signed=True)
+def _half(digest: bytes, side: int = 0) -> int:
+    """Half of a digest; its lowest bit is the side of the index, 0 in the name of the class."""
+    return int.from_bytes(digest[:8], "little", signed=True) & ~1 | side
 
 
 def need_of(n: np.ndarray | int, percent: int):
@@ -120,41 +121,46 @@ def need_of(n: np.ndarray | int, percent: int):
 
 
 def _emit(h: np.ndarray, p: JoinParams) -> list[tuple[np.ndarray, int]]:
-    """(tokens, how many) of what a set puts into the index, for the short and the long side; a token's lowest bit is its side."""
+    """(tokens, side) of what a set puts into the index, for the short (0) and the long side (1); a token's lowest bit is its side."""
     n = len(h)
     out = []
     if 0 < n <= p.short * 100 // p.percent + 1:
-        out.append((h & ~np.uint64(1), n))
+        out.append((h & ~np.uint64(1), 0))
     if n > p.short:
         first = n - int(need_of(n, p.percent)) + 1
         inside = int(np.searchsorted(h, np.uint64(int(p.sampled * 2.0**64))))
-        out.append((h[: max(inside, first)] | np.uint64(1), max(inside, first)))  # sorted: sampled hashes first, then the others by hash
+        out.append((h[: max(inside, first)] | np.uint64(1), 1))  # sorted: sampled hashes first, then the others by hash
     return out
 
 
 def shingle(docs: DataFrame, p: JoinParams, id_col: str, text_col: str) -> DataFrame:
-    """(_id, n, set, half): the size and the 128-bit digest of each row's set, null for the empty set, and half of the digest."""
+    """(_id, n, set, half, room): the size and the 128-bit digest of each row's set, null for the empty set, half of the digest, and what _room says."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 1, SLICE_BYTES):
             sets = shingle_sets(batch.column(1), p.words)
             names = [set_digest(h) if len(h) else None for h in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(h) for h in sets], pa.int64()), pa.array(names, pa.binary()), pa.array([x and _half(x) for x in names], pa.int64())], ["_id", "n", "set", "half"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(h) for h in sets], pa.int64()), pa.array(names, pa.binary()), pa.array([x and _half(x) for x in names], pa.int64()), pa.array([_room(h, p) for h in sets], pa.list_(pa.int64()))], ["_id", "n", "set", "half", "room"])
 
-    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(run, f"_id {kind}, n long, set binary, half long")
+    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(run, f"_id {kind}, n long, set binary, half long, room array<long>")
 
 
-def index_rows(docs: DataFrame, p: JoinParams, text_col: str) -> DataFrame:
-    """(half, size, tokens): what each class puts into the index; a task leaves out sets that it has just given.
+def _room(h: np.ndarray, p: JoinParams) -> list[int | None]:
+    """Of the short and the long side: how much longer a set's prefix is than what it puts into the index; null where it puts nothing there."""
+    out: list[int | None] = [None, None]
+    for tokens, side in _emit(h, p):
+        out[side] = len(h) - int(need_of(len(h), p.percent)) + 1 - len(tokens)
+    return out
 
-    size packs the set's size and the number of its tokens in the index.
-    """
+
+def index_rows(docs: DataFrame, p: JoinParams, text_col: str) -> DataFrame:
+    """(half, tokens): what each class puts into the index, the side being half's lowest bit; a task leaves out sets that it has just given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given: set[bytes] = set()
         for batch in sliced(batches, 0, SLICE_BYTES):
-            halves, sizes, tokens = [], [], []
+            halves, tokens = [], []
             for h in shingle_sets(batch.column(0), p.words):
                 if not len(h):
                     continue
@@ -164,30 +170,32 @@ def index_rows(docs: DataFrame, p: JoinParams, text_col: str) -> DataFrame:
                 if len(given) > 100_000:
                     given.clear()
                 given.add(d)
-                for x, e in _emit(h, p):
-                    halves.append(_half(d))
-                    sizes.append(len(h) << 32 | e)
+                for x, side in _emit(h, p):
+                    halves.append(_half(d, side))
                     tokens.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(halves, pa.int64()), pa.array(sizes, pa.int64()), _arrays(tokens)], ["half", "size", "tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(halves, pa.int64()), _arrays(tokens)], ["half", "tokens"])
 
-    return docs.select(F.col(text_col).alias("_text")).mapInArrow(run, "half long, size long, tokens array<long>")
+    return docs.select(F.col(text_col).alias("_text")).mapInArrow(run, "half long, tokens array<long>")
 
 
-def candidates(rows: DataFrame, p: JoinParams) -> DataFrame:
+def candidates(rows: DataFrame, classes: DataFrame, p: JoinParams) -> DataFrame:
     """(half): classes that share a prefix token, of the tokens in the index, with another class.
 
-    Every token row is shuffled once, with half of its class's digest and the
-    set's size; the whole digest tells classes apart from the next step on.
-    Only tokens of two classes or more go on from there; those of one class are
-    just counted, being first in the order.
+    Every token row is shuffled once, with nothing but half of its class's
+    digest; the whole digest tells classes apart from the next step on, and of
+    classes with one half the longest prefix is taken.  Only tokens of two
+    classes or more go on from there; those of one class are just counted, being
+    first in the order.
     """
-    each = rows.select("half", "size", F.explode("tokens").alias("token")).repartition("token").dropDuplicates(["token", "half", "size"])
+    each = rows.select("half", F.explode("tokens").alias("token")).repartition("token").dropDuplicates(["token", "half"])
     shared = each.withColumn("df", F.count("*").over(W.partitionBy("token"))).where("df > 1")
-    lists = shared.groupBy("half", "size", F.col("token").bitwiseAND(F.lit(1)).alias("side")).agg(F.collect_list(F.struct("df", "token")).alias("t"))
-    n, given = F.shiftright("size", 32), F.col("size").bitwiseAND(F.lit(0xFFFFFFFF))
-    lists = lists.withColumn("r", (n - F.ceil(n * p.percent / 100) + 1 - given + F.size("t")).cast("int")).where("r > 0")
+    lists = shared.groupBy("half").agg(F.collect_list(F.struct("df", "token")).alias("t"))
+    room = classes.select("half", F.posexplode("room").alias("side", "room")).where("room is not null")
+    room = room.groupBy((F.col("half") + F.col("side")).alias("half")).agg(F.max("room").alias("room"))
+    lists = lists.join(room, "half").withColumn("r", (F.col("room") + F.size("t")).cast("int")).where("r > 0")
     first = F.slice(F.sort_array("t"), F.lit(1), F.col("r"))
-    posts = materialize(lists.select("half", F.explode(F.transform(first, lambda x: x["token"])).alias("token")), "sampled-prefixes")
+    posts = lists.select(F.col("half").bitwiseAND(F.lit(-2)).alias("half"), F.explode(F.transform(first, lambda x: x["token"])).alias("token"))
+    posts = materialize(posts, "sampled-prefixes")
     many = posts.groupBy("token").agg(F.count("*").alias("_c")).where("_c > 1").select("token")
     near = materialize(posts.join(many, "token", "left_semi").select("half").distinct(), "candidates")
     discard(posts)
@@ -202,9 +210,10 @@ def prefixes(sets: DataFrame, p: JoinParams) -> DataFrame:
     the first shared token is in more than p.rare sets, no rarer one is shared
     either, which leaves much less for large partners.
     """
-    each = sets.select("set", "n", F.explode("hashes").alias("token")).repartition("token")
+    each = sets.select("at", F.explode("hashes").alias("token")).repartition("token")
     shared = each.withColumn("df", F.count("*").over(W.partitionBy("token"))).where("df > 1")
-    lists = shared.groupBy("set").agg(F.first("n").alias("n"), F.collect_list(F.struct("df", "token")).alias("t"), F.count_if(F.col("df") > p.rare).cast("int").alias("common"))
+    lists = shared.groupBy("at").agg(F.collect_list(F.struct("df", "token")).alias("t"), F.count_if(F.col("df") > p.rare).cast("int").alias("common"))
+    lists = lists.join(sets.select("at", "set", "n"), "at")
     lo = F.ceil(F.col("n") * p.percent / 100).cast("int")
     hi = lambda left: F.least(F.floor(F.col("n") * 100 / p.percent), F.floor(left * (100 + p.percent) / p.percent) - F.col("n")).cast("int")
     lists = lists.withColumn("lo", lo).withColumn("r", F.size("t") - F.col("lo") + 1).where("r > 0")
@@ -294,7 +303,9 @@ def _verify(pairs: DataFrame, sets: DataFrame, p: JoinParams) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
         give_back()
 
-    return pairs.select("a", "b").join(sets.select(F.col("set").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("set").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
+    pairs = materialize(pairs.select("a", "b"), "passed")  # what few pairs are left can be sent to the sets, not the sets to them
+    of = lambda c, to: sets.select(F.col("set").alias(c), F.col("hashes").alias(to)).join(pairs.select(c).distinct(), c, "left_semi")
+    return pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
 def _pass_orders(pairs: DataFrame, table: DataFrame, p: JoinParams) -> DataFrame:
@@ -319,11 +330,12 @@ def _relabel(labels: DataFrame, links: DataFrame, name: str) -> DataFrame:
 
 def link_classes(docs: DataFrame, classes: DataFrame, p: JoinParams, id_col: str, text_col: str) -> DataFrame | None:
     """(set, label) of the classes that may link with others; None where there are none."""
-    near = candidates(index_rows(docs, p, text_col), p)
+    near = candidates(index_rows(docs, p, text_col), classes, p)
     wanted = materialize(classes.join(near, "half", "left_semi").select("set", F.col("rep").alias("_id")), "wanted")
     if wanted.isEmpty():
         return None
-    sets = materialize(full_sets(docs, wanted, p, id_col, text_col), "sets")
+    # Stored numbers of the sets are half as long as their names.
+    sets = materialize(full_sets(docs, wanted, p, id_col, text_col).withColumn("at", F.monotonically_increasing_id()), "sets")
     table = materialize(prefixes(sets, p), "prefixes")
     posts = materialize(table.select("set", "n", "lo", "alone", F.inline("p0")), "postings")
     labels = table.select("set", F.col("set").alias("label"))
@@ -372,7 +384,7 @@ def join_components(docs: DataFrame, p: JoinParams = JoinParams(), id_col: str =
     hashes of their shingles; classes are 128-bit digests.
     """
     rows = materialize(shingle(docs, p, id_col, text_col), "classes")
-    classes = rows.where(F.col("set").isNotNull()).groupBy("set").agg(F.first("half").alias("half"), F.min("_id").alias("rep"), F.count("*").alias("k"))
+    classes = rows.where(F.col("set").isNotNull()).groupBy("set").agg(F.first("half").alias("half"), F.first("room").alias("room"), F.min("_id").alias("rep"), F.count("*").alias("k"))
     classes = materialize(classes, "reps")
     labels = link_classes(docs, classes, p, id_col, text_col)
     if labels is None:
