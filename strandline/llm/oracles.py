@@ -97,5 +97,72 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, x_sh
 """
 
 
+def _rounds(n: int) -> str:
+    """One part per round: every vector to its nearest centroid, then floored means; the last part only assigns."""
+    out = ""
+    for i in range(n + 1):
+        out += f""",
+a{i} AS MATERIALIZED (SELECT r, c, d FROM (SELECT r, c, d, row_number() OVER (PARTITION BY r ORDER BY d, c) AS k FROM (
+  SELECT v.r, c{i}.c, list_sum(list_transform(list_zip(v.e, c{i}.e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM v CROSS JOIN c{i})) WHERE k = 1)"""
+        if i < n:
+            out += f""",
+m{i} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY p) AS e FROM (SELECT c, p, sum(x) AS s, count(*) AS n FROM (
+  SELECT a.c, unnest(v.e) AS x, unnest(range(64)) AS p FROM a{i} a JOIN v USING (r)) GROUP BY c, p) GROUP BY c),
+c{i + 1} AS MATERIALIZED (SELECT o.c, coalesce(m.e, o.e) AS e FROM c{i} o LEFT JOIN m{i} m USING (c))"""
+    return out
+
+
+#: Five rounds of assigning and averaging, then the last assignment.
+CENTROIDS = f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS c, e FROM (SELECT sha256('2:' || vec_id) AS h, e FROM v ORDER BY h LIMIT 40)){_rounds(5)},
+i AS (SELECT c, sum(d) AS s FROM a5 GROUP BY c)
+SELECT vec_id, CAST(a.c AS INT) AS cluster, CAST(d AS BIGINT) AS distance, CAST(i.s AS BIGINT) AS cluster_inertia, CAST((SELECT sum(d) FROM a5) AS BIGINT) AS inertia, sha256(array_to_string(c5.e, ',')) AS centroid_sha256
+FROM a5 a JOIN v USING (r) JOIN c5 ON c5.c = a.c JOIN i ON i.c = a.c
+"""
+
+#: Keys of 20 characters in three documents lose their lines but in the last document.
+LINES = f"""
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS p FROM s),
+k AS (SELECT doc_id, line, p, trim(translate(line, '{UPPER}', '{LOWER}'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS k FROM x),
+f AS (SELECT k, max(doc_id) AS last FROM k WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+g AS (SELECT k.*, f.k IS NOT NULL AND doc_id <> f.last AS gone FROM k LEFT JOIN f USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM g GROUP BY doc_id
+"""
+
+_KEEPS = "CASE WHEN held THEN least(3 + more + {next}, {keep}) ELSE 1000000 END"
+#: Damage by checksum, faults, cost to go from the last turn back, then one edit after another from the first.
+REPAIR = rf"""
+WITH RECURSIVE tb AS (SELECT list(c ORDER BY i) AS tb FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) AS c FROM range(256) t(i))),
+t AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS place FROM conversations),
+z AS (SELECT t.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(place, ''), lambda ch: CAST(ascii(ch) AS BIGINT))), lambda a, b: xor(a // 256, tb[xor(a, b) % 256 + 1])), 4294967295) % 20 AS z FROM t, tb),
+d AS (SELECT conv_id, turn, CASE z WHEN 4 THEN 'user' ELSE role END AS role, CASE z WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE z WHEN 3 THEN [0, 1] ELSE [0] END) AS k FROM z WHERE z <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, k) AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, k) AS g FROM d),
+f AS (SELECT *, left(role, 1) AS r, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 1 WHEN g > 1 THEN 2 WHEN regexp_extract(text, '([^ 	-])[ 	-]*\z', 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault FROM o),
+e AS MATERIALIZED (SELECT conv_id, i, turn, role, text, r, fault, fault NOT IN (1, 2) AS held, CASE fault WHEN 3 THEN 3 ELSE 0 END AS more, lag(r) OVER (PARTITION BY conv_id ORDER BY i) AS prev FROM f),
+n AS (SELECT conv_id, count(*) AS n, CASE WHEN count(turn) > 0 THEN max(turn) - min(turn) + 1 - count(DISTINCT turn) ELSE 0 END AS gaps, count(*) FILTER (WHERE fault = 1) AS blank, count(*) FILTER (WHERE fault = 2) AS duplicate,
+  count(*) FILTER (WHERE fault = 3) AS truncated, count(*) FILTER (WHERE i > 1 AND prev || r NOT IN ('su', 'ua', 'au')) AS illegal FROM e GROUP BY conv_id),
+b AS (SELECT conv_id, n + 1 AS i, 0 AS c0, 6 AS c1, 3 AS c2, 0 AS c3 FROM n
+  UNION ALL SELECT conv_id, i, least(h0, 3 + least(h2, 3 + h3)), least(h1, 3 + least(h2, 3 + h3)), least(h2, 3 + h3), least(h3, 3 + h2) FROM (
+    SELECT e.conv_id, e.i,
+      least(4 + c0, {_KEEPS.format(next="c2", keep="CASE r WHEN 's' THEN more + c1 WHEN 'u' THEN more + c2 ELSE 1000000 END")}) AS h0, least(4 + c1, {_KEEPS.format(next="c2", keep="CASE r WHEN 'u' THEN more + c2 ELSE 1000000 END")}) AS h1,
+      least(4 + c2, {_KEEPS.format(next="c3", keep="CASE r WHEN 'a' THEN more + c3 ELSE 1000000 END")}) AS h2, least(4 + c3, {_KEEPS.format(next="c2", keep="CASE r WHEN 'u' THEN more + c2 ELSE 1000000 END")}) AS h3
+    FROM e JOIN b ON b.conv_id = e.conv_id AND b.i = e.i + 1)),
+q AS MATERIALIZED (SELECT conv_id, i, [c0, c1, c2, c3] AS c FROM b),
+w AS (SELECT conv_id, CAST(1 AS BIGINT) AS i, 0 AS s, '' AS audit, CAST([] AS VARCHAR[]) AS kept, n, false AS done FROM n
+  UNION ALL SELECT conv_id, CASE WHEN x IN ('I', '') THEN i ELSE i + 1 END, CASE WHEN x IN ('D', '') THEN s WHEN x = 'K' AND r = 's' THEN 1 WHEN s = 2 THEN 3 ELSE 2 END, audit || x,
+    CASE x WHEN 'D' THEN kept WHEN '' THEN kept WHEN 'I' THEN list_append(kept, who || ':') WHEN 'K' THEN list_append(kept, role || ':' || text) ELSE list_append(kept, who || ':' || text) END, n, x = '' FROM (
+      SELECT w.*, e.r, e.role, e.text, CASE w.s WHEN 2 THEN 'assistant' ELSE 'user' END AS who,
+        CASE WHEN w.i > w.n THEN CASE WHEN w.s IN (0, 3) THEN '' ELSE 'I' END WHEN 4 + y.c[s + 1] = q.c[s + 1] THEN 'D' WHEN 3 + q.c[CASE s WHEN 2 THEN 4 ELSE 3 END] = q.c[s + 1] THEN 'I'
+          WHEN held AND more + CASE WHEN s = 0 AND r = 's' THEN y.c[2] WHEN s <> 2 AND r = 'u' THEN y.c[3] WHEN s = 2 AND r = 'a' THEN y.c[4] ELSE 1000000 END = q.c[s + 1] THEN 'K' ELSE 'R' END AS x
+      FROM w LEFT JOIN e ON e.conv_id = w.conv_id AND e.i = w.i LEFT JOIN q ON q.conv_id = w.conv_id AND q.i = w.i LEFT JOIN q y ON y.conv_id = w.conv_id AND y.i = w.i + 1 WHERE NOT w.done))
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(q.c[1], 0) AS BIGINT) AS cost, coalesce(w.audit, '') AS audit, sha256(coalesce(array_to_string(w.kept, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN n USING (conv_id) LEFT JOIN q ON q.conv_id = a.conv_id AND q.i = 1 LEFT JOIN w ON w.conv_id = a.conv_id AND w.done
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": WARC, "op5_ngram_join": COMPONENTS, "op6_quality": QUALITY, "op7_chat": CHAT, "op9_decontamination": CONTAMINATION}
+    return {"op3_warc": WARC, "op5_ngram_join": COMPONENTS, "op6_quality": QUALITY, "op7_chat": CHAT, "op9_decontamination": CONTAMINATION, "op11_centroids": CENTROIDS, "op12_line_dedup": LINES, "op13_turn_repair": REPAIR}

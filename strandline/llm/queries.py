@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, licenses, njoin, packing, quality, secrets, sharding, urls, warc
+from . import chat, decontam, licenses, linededup, lloyd, njoin, packing, quality, secrets, sharding, turns, urls, warc
 from .common import read_table
 from .oracles import oracle_sql
 
@@ -80,8 +80,29 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"] != "net")
     return found.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(_listed(base).cast("binary"), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lloyd.cluster(read_table(spark, sf_dir, "embeddings"))
+    table = found.centroids.select("cluster", "cluster_inertia", "inertia", F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ",").cast("binary"), 256).alias("centroid_sha256"))
+    return found.assigned.join(F.broadcast(table), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")  # a row per centroid
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut, repeated or given to the user by a checksum of their place; nulls are one space."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    z = F.crc32(F.concat_ws(":", space("conv_id"), space("turn")).cast("binary")) % 20
+    text = F.when(z == 1, "").when(z == 2, F.regexp_replace(space("text"), "[.!?]", "")).otherwise(space("text"))
+    times = F.when(z == 0, 0).when(z == 3, 2).otherwise(1)
+    return rows.select("conv_id", "turn", F.when(z == 4, "user").otherwise(space("role")).alias("role"), text.alias("text"), F.explode(F.array_repeat(F.lit(0), times)).alias("_copy")).drop("_copy")
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return turns.digest(turns.repair(damaged(rows), everyone=rows))
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_sharding, op3_warc, op4_url_filter, op5_ngram_join, op6_quality, op7_chat, op8_licenses, op9_decontamination, op10_secrets, proximity_matches)}
+    return {f.__name__: f for f in (op1_packing, op2_sharding, op3_warc, op4_url_filter, op5_ngram_join, op6_quality, op7_chat, op8_licenses, op9_decontamination, op10_secrets, op11_centroids, op12_line_dedup, op13_turn_repair, proximity_matches)}
 
 
 __all__ = ["oracle_sql", "packed", "queries"]
