@@ -134,11 +134,12 @@ def dedup_lines(docs: DataFrame, p: LineParams = LineParams(), id_col: str = "do
         runs.add(lines.where((F.col("_batch") == b) & F.col("first")).groupBy(*KEY).agg(F.count("*").alias("n"), F.max("_doc").alias("last")))
     frequent = materialize(runs.frequent(), "frequent")
     discard(*runs.runs())
-    goes = lines.join(frequent, KEY).where(~F.col("_doc").eqNullSafe(F.col("last")))
+    # Merge joins at every size: a frequent line's rows are split by skew, and texts are shuffled once, never broadcast against.
+    goes = lines.join(frequent.hint("merge"), KEY).where(~F.col("_doc").eqNullSafe(F.col("last")))
     gone = materialize(goes.groupBy("_doc", "_text").agg(F.sort_array(F.collect_set("pos")).alias("_gone")), "dropped-lines")
     discard(lines, frequent)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("_id"), text.alias("_whole"))
-    out = rows.join(gone, F.col("_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("_whole") == F.col("_text")), "left")
+    out = rows.join(gone.hint("merge"), F.col("_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("_whole") == F.col("_text")), "left")
     n_lines = F.length("_whole") - F.length(F.translate("_whole", "\n", "")) + 1
     return out.select(F.col("_id").alias(id_col), n_lines.cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"), F.when(F.col("_gone").isNull(), F.col("_whole")).otherwise(_kept(F.col("_whole"), F.col("_gone"))).alias("kept"))
