@@ -52,12 +52,17 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Rows that the rules, or their host's verdict, reject go; null and short texts among them.
 
     Rows are judged one by one, whatever their ids: each is stored with its
-    measures, so verdicts need no join of texts but the one with the hosts.  A
-    null source is a host of its own; very long texts are measured whole; an
-    empty table stays empty.
+    measures, hosts are judged by sums of these, and only rows whose host shares
+    a bucket with a rejected one are joined with the rejected hosts; the others'
+    texts stay where they are.  A null source is a host of its own; very long
+    texts are measured whole; an empty table stays empty.
     """
+    rules = quality.HostRules()
     rows = docs.select(F.struct("*").alias("row"), "text", "source")
-    return quality.judge(rows, id_col="row").where("kept").select("row.*")
+    measures = materialize(quality.measure(rows, "row"), "quality")
+    bad = materialize(quality.host_verdicts(measures, rules).where("not host_kept").select("_host"), "rejected-hosts")
+    clear, maybe = _parted(measures.where(~quality.base_failed(rules)).select(F.col("_id").alias("row"), "_host"), bad, "_host")
+    return clear.unionByName(maybe.join(bad, "_host", "left_anti")).select("row.*")
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
