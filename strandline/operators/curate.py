@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
+from .relational import interval_join
 
 #: Quality reasons in the order in which they are tried.
 QUALITY_REASONS = ("failed_duplicate", "failed_terminal_gaps", "failed_gap_fraction", "failed_ambig_fraction")
@@ -101,9 +102,28 @@ def cds_stats(kept: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
 
 
 def validate_against_raw(fragments: DataFrame, raw: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
-    """fragments (by, id, seq) with found: whether the degapped sequence stands in the raw one; null without a raw one."""
+    """fragments (by, id, is_ref, seq) with found: whether the degapped sequence stands in the raw one.
+
+    References may lack a raw sequence, their found is null then; any other row
+    without one is an error.
+    """
     rows = fragments.join(raw, [*by, "id"], "left")
-    return rows.withColumn("found", F.contains(F.upper("raw"), F.upper(S.degap("seq"))))
+    seen = F.contains(F.upper("raw"), F.upper(S.degap("seq")))
+    lacks = F.col("raw").isNull() & ~F.col("is_ref")
+    return rows.withColumn("found", F.when(lacks, F.raise_error(F.concat(F.lit("no raw sequence for "), F.col("id"))).cast("boolean")).otherwise(seen))
+
+
+def placed_insertions(insertions: DataFrame, genes: DataFrame, offset: int, by: Sequence[str] = ("grp",)) -> DataFrame:
+    """(by, id, gene_idx, part, nucs, pos, legacy_pos): every insertion in each coding part that holds it.
+
+    insertions: by, id, ins; genes: by, gene_idx, cds.  pos counts from the
+    part's start, legacy_pos from the whole alignment's, which begins behind
+    offset.
+    """
+    points = insertions.select(*by, "id", F.inline("ins"))
+    parts = genes.select(*by, "gene_idx", F.posexplode("cds").alias("part", "_c")).select(*by, "gene_idx", "part", "_c.start", "_c.end")
+    found = interval_join(points, parts, by)
+    return found.select(*by, "id", "gene_idx", "part", "nucs", (F.col("pos") - F.col("start") + 1).alias("pos"), (F.col("pos") - offset).alias("legacy_pos"))
 
 
 # --- gene model --------------------------------------------------------------------------------------------------

@@ -1,7 +1,8 @@
 """Unit-cost parsimony on edge lists, and the cheapest histories of a graph of trees.
 
-Costs are arrays with one entry per state; two passes go over the levels of the
-tree, one job each, and every level's result is stored.
+Costs are arrays with one entry per state.  Subtrees are added up by tree
+contraction, what comes from above by pointer doubling, so that the number of
+jobs follows the logarithm of the tree's size, not its depth.
 """
 
 from __future__ import annotations
@@ -12,67 +13,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.scratch import materialize
-from .tree import depths
+from .contraction import add, apply, at, follow, gift, subtree_costs, times
 
 INF = 1_000_000
 
 
-def _zip(a, b, f) -> Column:
-    return F.zip_with(a, b, f)
-
-
-def _gift(cost: Column) -> Column:
-    """What a node's costs cost its neighbour, state by state: stay, or change once."""
-    low = F.array_min(cost)
-    return F.transform(cost, lambda c: F.least(c, low + 1))
-
-
-def _add_all(lists: Column, n: int) -> Column:
-    zero = F.array_repeat(F.lit(0), n)
-    return F.aggregate(lists, zero, lambda a, x: _zip(a, x, lambda u, v: u + v))
-
-
-def _summed(column: str, n: int) -> Column:
-    """Aggregate: arrays added state by state, in partial sums."""
-    return F.array(*[F.sum(F.get(column, F.lit(i))).cast("int") for i in range(n)])
-
-
 def leaf_costs(nodes: DataFrame, states: Sequence[str], state: str = "state") -> DataFrame:
     """nodes with cost: 0 for the observed state; 0 for all where it is null or none of the states."""
     known = F.col(state).isin(*states)
     return nodes.withColumn("cost", F.array(*[F.when(~F.coalesce(known, F.lit(False)) | (F.col(state) == s), 0).otherwise(INF) for s in states]))
 
 
-def down_pass(rows: DataFrame, by: Sequence[str], n: int) -> DataFrame:
-    """rows (by, node, parent, depth, cost: null for inner nodes) with every node's cost of its subtree by its state."""
-    rows = materialize(rows, "down")
-    deepest = rows.agg(F.max("depth")).first()[0]
-    done = below = None
-    for d in range(deepest if deepest is not None else -1, -1, -1):
-        level = rows.where(F.col("depth") == d)
-        if below is not None:
-            kids = below.where("parent is not null").select(*by, F.col("parent").alias("node"), _gift(F.col("cost")).alias("_g")).groupBy(*by, "node").agg(_summed("_g", n).alias("_sum"))
-            level = level.join(kids, [*by, "node"], "left").withColumn("cost", F.when(F.col("cost").isNull(), F.col("_sum")).when(F.col("_sum").isNull(), F.col("cost")).otherwise(_zip("cost", "_sum", lambda a, b: a + b))).drop("_sum")
-        below = materialize(level, "down-level")
-        done = below if done is None else done.unionByName(below)
-    return rows if done is None else done
+def _zeros(n: int) -> Column:
+    return F.array(*[F.lit(0)] * n)
+
+
+def _leaf_rows(edges: DataFrame, leaf_states: DataFrame, states: Sequence[str]) -> DataFrame:
+    """(tree_id, node, parent, base): the costs of the leaves' states, zeros for inner nodes."""
+    rows = edges.select("tree_id", "node", "parent")
+    tips = rows.join(rows.select("tree_id", F.col("parent").alias("node")), ["tree_id", "node"], "left_anti").select("tree_id", "node").join(leaf_states, ["tree_id", "node"], "left")
+    costs = leaf_costs(tips, states).select("tree_id", "node", "cost")
+    return rows.join(costs, ["tree_id", "node"], "left").select("tree_id", "node", "parent", F.coalesce("cost", _zeros(len(states))).alias("base"))
+
 
+def states_of(rows: DataFrame, costs: DataFrame, by: Sequence[str], states: Sequence[str]) -> DataFrame:
+    """(by, node, state): every state that the node has in some cheapest history, a row each.
 
-def states_of(costed: DataFrame, by: Sequence[str], states: Sequence[str]) -> DataFrame:
-    """(by, node, state): every state that the node has in some cheapest history, a row each."""
+    rows: by, node, parent; costs: by, node, cost of the subtree.  What the rest
+    of the tree costs a node is, over (min, +), linear in what it costs the
+    parent; these maps are composed up to the root.
+    """
     n = len(states)
-    deepest = costed.agg(F.max("depth")).first()[0]
-    above = done = None
-    for d in range((deepest if deepest is not None else -1) + 1):
-        level = costed.where(F.col("depth") == d)
-        if above is None:
-            level = level.withColumn("out", F.array_repeat(F.lit(0), n))
-        else:
-            up = above.select(*by, F.col("node").alias("parent"), _zip("cost", "out", lambda a, b: a + b).alias("_all"))
-            level = level.join(up, [*by, "parent"]).withColumn("out", _gift(_zip(F.col("_all"), _gift(F.col("cost")), lambda a, b: a - b))).drop("_all")
-        above = materialize(level, "up-level")
-        done = above if done is None else done.unionByName(above)
-    total = done.withColumn("_t", _zip("cost", "out", lambda a, b: a + b))
+    costed = materialize(rows.select(*by, "node", "parent").join(costs, [*by, "node"]), "costed")
+    up = costed.select(*by, F.col("node").alias("parent"), F.col("cost").alias("_up"))
+    rest = lambda j: at("_up", j) - at("_gift", j)
+    map_ = F.array(*[rest(j) + int(i != j) for i in range(n) for j in range(n)])
+    links = costed.withColumn("_gift", gift("cost")).join(up, [*by, "parent"]).select(*by, "node", F.col("parent").alias("to"), map_.alias("map"))
+    above = follow(links, by, times("map", "_map", n), name="above").select(*by, "node", apply("map", _zeros(n), n).alias("out"))
+    total = costed.join(above, [*by, "node"], "left").withColumn("_t", add("cost", F.coalesce("out", _zeros(n)), n))
     names = F.array(*map(F.lit, states))
     best = F.filter(F.arrays_zip(names.alias("s"), F.col("_t").alias("t")), lambda x: x["t"] == F.array_min("_t"))
     return total.select(*by, "node", F.explode(F.transform(best, lambda x: x["s"])).alias("state"))
@@ -80,22 +58,36 @@ def states_of(costed: DataFrame, by: Sequence[str], states: Sequence[str]) -> Da
 
 def ancestral_states(edges: DataFrame, leaf_states: DataFrame, states: Sequence[str]) -> DataFrame:
     """(tree_id, node, state) for all nodes; leaf_states: tree_id, node, state; leaves without one may have any."""
-    rows = depths(edges).select("tree_id", "node", "parent", "depth")
-    tips = rows.join(rows.select("tree_id", F.col("parent").alias("node")), ["tree_id", "node"], "left_anti").select("tree_id", "node").join(leaf_states, ["tree_id", "node"], "left")
-    costs = leaf_costs(tips, states).select("tree_id", "node", "cost")
-    return states_of(down_pass(rows.join(costs, ["tree_id", "node"], "left"), ["tree_id"], len(states)), ["tree_id"], states)
+    rows = materialize(_leaf_rows(edges, leaf_states, states), "leaf-costs")
+    return states_of(rows, subtree_costs(rows, ["tree_id"], len(states)), ["tree_id"], states)
 
 
 def parsimony_score(edges: DataFrame, leaf_states: DataFrame, states: Sequence[str]) -> DataFrame:
     """(tree_id, score): the least number of changes."""
-    rows = depths(edges).select("tree_id", "node", "parent", "depth")
-    tips = rows.join(rows.select("tree_id", F.col("parent").alias("node")), ["tree_id", "node"], "left_anti").select("tree_id", "node").join(leaf_states, ["tree_id", "node"], "left")
-    costs = leaf_costs(tips, states).select("tree_id", "node", "cost")
-    done = down_pass(rows.join(costs, ["tree_id", "node"], "left"), ["tree_id"], len(states))
-    return done.where("parent is null").select("tree_id", F.array_min("cost").alias("score"))
+    rows = materialize(_leaf_rows(edges, leaf_states, states), "leaf-costs")
+    costs = subtree_costs(rows, ["tree_id"], len(states))
+    return rows.where("parent is null").join(costs, ["tree_id", "node"]).select("tree_id", F.array_min("cost").alias("score"))
 
 
 BASES = ("A", "C", "G", "T")
+MUTATIONS = "array<struct<ref:string,pos:int,alt:string>>"
+
+
+def ancestors(edges: DataFrame, marked: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """(tree_id, node, keep): marked (tree_id, node, keep) and all their ancestors, each once.
+
+    In round k everything found so far is joined with the ancestors at distance
+    2**k, so it takes log2(depth) rounds, over rows that are all in the result.
+    """
+    found = materialize(marked.select("tree_id", "node", *keep).distinct(), "ancestors")
+    jumps = materialize(edges.where("parent is not null").select("tree_id", "node", F.col("parent").alias("jump")), "jumps")
+    while True:
+        up = found.join(jumps, ["tree_id", "node"]).select("tree_id", F.col("jump").alias("node"), *keep)
+        found = materialize(found.unionByName(up).distinct(), "ancestors")
+        far = jumps.select("tree_id", F.col("node").alias("jump"), F.col("jump").alias("_far"))
+        jumps = materialize(jumps.join(far, ["tree_id", "jump"]).select("tree_id", "node", F.col("_far").alias("jump")), "jumps")
+        if jumps.isEmpty():
+            return found
 
 
 def assign_mutations(edges: DataFrame, sites: DataFrame) -> DataFrame:
@@ -105,29 +97,47 @@ def assign_mutations(edges: DataFrame, sites: DataFrame) -> DataFrame:
     from the reference; other leaves have the reference's base, and any base
     that isn't A, C, G or T may be each of them.  A node keeps its parent's base
     where that is cheapest; the root keeps the reference's where it can.
+
+    Of a site only the ancestors of leaves that differ are looked at.  Any other
+    subtree costs its parent one for each base but the reference's, and goes
+    back to the reference at its first node that has no single child.
     """
-    n = len(BASES)
-    at = sites.groupBy("tree_id", "pos").agg(F.min("ref").alias("ref"))
-    nodes = materialize(depths(edges).select("tree_id", "node", "parent", "depth"), "site-nodes")
-    tips = nodes.join(nodes.select("tree_id", F.col("parent").alias("node")), ["tree_id", "node"], "left_anti").select("tree_id", "node", F.lit(True).alias("_tip"))
-    rows = nodes.join(tips, ["tree_id", "node"], "left").join(at, "tree_id").join(sites.select("tree_id", "node", "pos", "base"), ["tree_id", "node", "pos"], "left")
-    rows = leaf_costs(rows.withColumn("state", F.coalesce("base", "ref")), BASES).withColumn("cost", F.when(F.col("_tip"), F.col("cost")))
-    by = ["tree_id", "pos"]
-    costed = materialize(down_pass(rows.select(*by, "ref", "node", "parent", "depth", "cost"), by, n), "site-costs")
-    deepest = costed.agg(F.max("depth")).first()[0]
-    above = done = None
-    names = F.array(*map(F.lit, BASES))
-    for d in range((deepest if deepest is not None else -1) + 1):
-        level = costed.where(F.col("depth") == d)
-        level = level.withColumn("_from", F.col("ref")) if above is None else level.join(above.select(*by, F.col("node").alias("parent"), F.col("base").alias("_from")), [*by, "parent"])
-        price = F.transform(F.arrays_zip(names.alias("s"), F.col("cost").alias("c")), lambda x: F.struct((x["c"] + (x["s"] != F.col("_from")).cast("int")).alias("p"), (x["s"] != F.col("_from")).alias("moved"), x["s"].alias("s")))
-        above = materialize(level.withColumn("base", F.array_min(price)["s"]), "site-level")
-        done = above if done is None else done.unionByName(above)
-    if done is None:
-        return edges.select("tree_id", "node", "parent", F.array().cast("array<struct<ref:string,pos:int,alt:string>>").alias("muts"))
-    muts = done.where("base != _from").groupBy("tree_id", "node").agg(F.sort_array(F.collect_list(F.struct(F.col("pos").cast("int").alias("pos"), F.col("_from").alias("ref"), F.col("base").alias("alt")))).alias("_m"))
-    out = edges.select("tree_id", "node", "parent").join(muts, ["tree_id", "node"], "left")
-    return out.withColumn("muts", F.transform(F.coalesce("_m", F.array().cast("array<struct<pos:int,ref:string,alt:string>>")), lambda m: F.struct(m["ref"].alias("ref"), m["pos"].alias("pos"), m["alt"].alias("alt")))).drop("_m")
+    n, by = len(BASES), ["tree_id", "pos"]
+    # n stands for any other character of the reference.
+    index = lambda c: F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, BASES)), F.col(c)), F.lit(0)).cast("int") - 1, F.lit(n))
+    tree = materialize(edges.select("tree_id", "node", "parent"), "site-tree")
+    kids = materialize(tree.where("parent is not null").groupBy("tree_id", F.col("parent").alias("node")).agg(F.count("*").alias("n_kids"), F.min("node").alias("only")), "site-kids")
+    sites = materialize(sites.join(tree.join(kids, ["tree_id", "node"], "left_anti").select("tree_id", "node"), ["tree_id", "node"], "left_semi").select("tree_id", "node", "pos", "ref", "base"), "sites")
+    ref = sites.groupBy(*by).agg(F.min("ref").alias("ref"))
+    found = ancestors(edges, sites, ["pos"])
+    rows = found.join(tree, ["tree_id", "node"])
+    seen = rows.where("parent is not null").groupBy(*by, F.col("parent").alias("node")).agg(F.count("*").alias("n_seen"))
+    own = leaf_costs(sites, BASES, "base").select(*by, "node", "cost")
+    rows = rows.join(kids, ["tree_id", "node"], "left").join(seen, [*by, "node"], "left").join(ref, by).join(own, [*by, "node"], "left")
+    others = (F.coalesce("n_kids", F.lit(0)) - F.coalesce("n_seen", F.lit(0))).cast("int")
+    rows = materialize(rows.select(*by, "node", "parent", "ref", F.coalesce("cost", F.array(*[F.when(F.col("ref") == b, 0).otherwise(others) for b in BASES])).alias("base")), "site-rows")
+    costs = subtree_costs(rows.select(*by, "node", "parent", "base"), by, n)
+    costed = rows.drop("base").join(costs, [*by, "node"])
+    # The base that a node takes, by its parent's.
+    price = lambda b: F.array(*[F.struct((at("cost", s) + int(s != b)).alias("p"), F.lit(s != b).alias("moved"), F.lit(s).alias("s")) for s in range(n)])
+    costed = materialize(costed.select(*by, "node", "parent", "ref", F.array(*[F.array_min(price(b))["s"] for b in range(n + 1)]).alias("map")), "site-maps")
+    top = costed.where("parent is null").select(*by, F.col("node").alias("to"), F.get("map", index("ref")).alias("_top"))
+    links = costed.where("parent is not null").select(*by, "node", F.col("parent").alias("to"), "map")
+    ends = follow(links, by, F.array(*[F.get("map", at("_map", b)) for b in range(n + 1)]), name="site-bases")
+    took = ends.join(top, [*by, "to"]).select(*by, "node", F.get("map", F.col("_top")).alias("_b")).unionByName(top.select(*by, F.col("to").alias("node"), F.col("_top").alias("_b")))
+    based = costed.select(*by, "node", "parent", "ref").join(took, [*by, "node"])
+    based = materialize(based.withColumn("base", F.get(F.array(*map(F.lit, BASES)), F.col("_b"))).drop("_b"), "site-bases")
+    from_ = based.select(*by, F.col("node").alias("parent"), F.col("base").alias("_from"))
+    moved = based.join(from_, [*by, "parent"], "left").withColumn("_from", F.coalesce("_from", "ref")).where("base != _from").select(*by, "node", F.col("_from").alias("ref"), F.col("base").alias("alt"))
+    back = based.where((F.col("base") != F.col("ref")) & F.col("ref").isin(*BASES)).select(*by, F.col("node").alias("parent"), F.col("base").alias("_b"), "ref")
+    back = back.join(tree, ["tree_id", "parent"]).join(found, [*by, "node"], "left_anti").select(*by, "node", F.col("_b").alias("ref"), F.col("ref").alias("alt"))
+    single = kids.where("n_kids = 1").select("tree_id", "node", F.col("only").alias("to"), F.lit(0).alias("map"))
+    if not single.isEmpty():
+        low = follow(single, ["tree_id"], F.lit(0), name="single").select("tree_id", "node", "to")
+        back = back.join(low, ["tree_id", "node"], "left").select(*by, F.coalesce("to", "node").alias("node"), "ref", "alt")
+    muts = moved.unionByName(back).groupBy("tree_id", "node").agg(F.sort_array(F.collect_list(F.struct(F.col("pos").cast("int").alias("pos"), "ref", "alt"))).alias("_m"))
+    out = tree.join(muts, ["tree_id", "node"], "left")
+    return out.withColumn("muts", F.coalesce(F.transform("_m", lambda m: F.struct(m["ref"].alias("ref"), m["pos"].alias("pos"), m["alt"].alias("alt"))), F.array().cast(MUTATIONS))).drop("_m")
 
 
 # --- graphs of trees ---------------------------------------------------------------------------------------------
@@ -165,9 +175,3 @@ def reachable(graph: DataFrame, root: str) -> DataFrame:
         if front.isEmpty():
             return graph.join(seen, "node", "left_semi")
         seen = materialize(seen.unionByName(front), "seen")
-
-
-def sample_history(graph: DataFrame, root: str, seed: int = 0) -> DataFrame:
-    """One history below root: for each node and clade the child of the smallest seeded hash."""
-    pick = graph.groupBy("node", "clade").agg(F.min_by(F.struct("child", "weight"), F.struct(F.xxhash64(F.lit(seed), "node", "clade", "child"), F.col("child"))).alias("x"))
-    return reachable(materialize(pick.select("node", "clade", "x.child", "x.weight"), "sample"), root)

@@ -93,6 +93,17 @@ def sample_rows(df: DataFrame, k: int, key: str, is_ref: str, by: Sequence[str],
     return df.withColumn("_k", F.row_number().over(w)).where(F.col(is_ref) | (F.col("_k") <= k)).drop("_k")
 
 
+def interval_join(points: DataFrame, intervals: DataFrame, by: Sequence[str], pos: str = "pos", start: str = "start", end: str = "end", width: int = 256) -> DataFrame:
+    """Points with the intervals of their group that hold them, start included, end excluded.
+
+    Both sides meet in bins of the given width, an interval in each one that it
+    touches, so the join is an equality and a group's points are spread.
+    """
+    cells = F.sequence(F.floor(F.col(start) / width), F.floor((F.col(end) - 1) / width))
+    wide = intervals.where(F.col(end) > F.col(start)).withColumn("_bin", F.explode(cells))
+    return points.withColumn("_bin", F.floor(F.col(pos) / width)).join(wide, [*by, "_bin"]).where((F.col(pos) >= F.col(start)) & (F.col(pos) < F.col(end))).drop("_bin")
+
+
 def dense_counts(df: DataFrame, by: Sequence[str], column: str, values: Sequence[str], n: str = "n") -> DataFrame:
     """Counts for every group and every one of the fixed values, 0 where there are none: one pass, no join."""
     wide = df.groupBy(*by).agg(*[F.count_if(F.col(column) == v).alias(f"_v{i}") for i, v in enumerate(values)])

@@ -146,6 +146,17 @@ def clades(edges: DataFrame) -> DataFrame:
     return done.select("tree_id", "node", F.sha2(F.concat_ws(":", "h1", "h2", "n_leaves"), 256).alias("clade"), "n_leaves")
 
 
+def first_leaves(edges: DataFrame, key: Column) -> DataFrame:
+    """(tree_id, node, first_leaf): the least key of the leaves below each node; key: of a leaf's row, by which inner nodes are null."""
+    now = materialize(edges.select("tree_id", "node", F.col("parent").alias("jump"), key.alias("first_leaf")), "first-leaves")
+    while True:
+        up = now.where("jump is not null").groupBy("tree_id", F.col("jump").alias("node")).agg(F.min("first_leaf").alias("_f"))
+        far = now.select("tree_id", F.col("node").alias("jump"), F.col("jump").alias("_far"))
+        now = materialize(now.join(up, ["tree_id", "node"], "left").join(far, ["tree_id", "jump"], "left").select("tree_id", "node", F.col("_far").alias("jump"), F.least("first_leaf", "_f").alias("first_leaf")), "first-leaves")
+        if now.where("jump is not null").isEmpty():
+            return now.drop("jump")
+
+
 def merge_trees(edges: DataFrame) -> DataFrame:
     """(clade, child, weight, n_trees): edges of all trees between clades, each once, with its number of mutations."""
     c = materialize(clades(edges), "clades").select("tree_id", "node", "clade")

@@ -8,25 +8,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
+from ..plans.scratch import materialize
+
+
+#: References up to so many characters together are broadcast.
+REFERENCE_CHARS = 64 << 20
+
+
+def with_reference(rows: DataFrame, ref: DataFrame, by: Sequence[str], column: str) -> DataFrame:
+    """rows with their group's reference: broadcast, so that no sequence is shuffled, where all of them are small; else joined."""
+    ref = materialize(ref, "references")
+    size = ref.agg(F.coalesce(F.sum(F.length(column)), F.lit(0))).first()[0]
+    return rows.join(F.broadcast(ref) if size <= REFERENCE_CHARS else ref, list(by))
 
 
 def variant_sites(msa: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
     """(by, pos, ref, alts, n_alt, n_missing): sites at which any row differs from its group's reference.
 
     msa: by, id, seq, is_ref.  Ambiguous characters are N and count as missing;
-    sites with nothing but N stay.  Only positions that differ are exploded, so
-    the shuffle grows with the variation, not with the alignment.
+    sites with nothing but N stay.  Only positions that differ are exploded, and
+    they are counted before the shuffle, which therefore grows with the
+    variation, not with the alignment; sequences stay where they are.
     """
-    rows = msa.select(*by, "id", "is_ref", S.mask("seq").alias("seq"))
+    rows = msa.select(*by, "is_ref", S.mask("seq").alias("seq"))
     ref = rows.where("is_ref").select(*by, F.col("seq").alias("_ref"))
     pairs = F.zip_with(F.split("seq", ""), F.split("_ref", ""), lambda a, b: F.when((a != b) & (b != "-") & (a != "-"), F.struct(b.alias("ref"), a.alias("alt"))))
     diff = F.filter(F.transform(pairs, lambda v, i: F.when(v.isNotNull(), F.struct(i.alias("p"), v["ref"].alias("ref"), v["alt"].alias("alt")))), lambda v: v.isNotNull())
-    # Rows that repeat a sequence of their group are compared once and counted.
-    seqs = rows.where(~F.col("is_ref")).groupBy(*by, "seq").agg(F.count("*").alias("_k"))
-    each = seqs.join(ref, list(by)).select(*by, "_k", F.explode(diff).alias("v"))
-    out = each.groupBy(*by, (F.col("v.p") + 1).alias("pos"), F.col("v.ref").alias("ref"))
-    alts = F.array_join(F.sort_array(F.collect_set(F.when(F.col("v.alt") != "N", F.col("v.alt")))), ",")
-    return out.agg(alts.alias("alts"), F.coalesce(F.sum(F.when(F.col("v.alt") != "N", F.col("_k"))), F.lit(0)).alias("n_alt"), F.coalesce(F.sum(F.when(F.col("v.alt") == "N", F.col("_k"))), F.lit(0)).alias("n_missing"))
+    each = with_reference(rows.where(~F.col("is_ref")), ref, by, "_ref").select(*by, F.explode(diff).alias("v"))
+    votes = each.groupBy(*by, (F.col("v.p") + 1).alias("pos"), F.col("v.ref").alias("ref"), F.col("v.alt").alias("alt")).agg(F.count("*").alias("n"))
+    alts = F.array_join(F.sort_array(F.collect_set(F.when(F.col("alt") != "N", F.col("alt")))), ",")
+    return votes.groupBy(*by, "pos", "ref").agg(alts.alias("alts"), F.coalesce(F.sum(F.when(F.col("alt") != "N", F.col("n"))), F.lit(0)).alias("n_alt"), F.coalesce(F.sum(F.when(F.col("alt") == "N", F.col("n"))), F.lit(0)).alias("n_missing"))
 
 
 def vcf_lines(sites: DataFrame, chrom: str = "Reference") -> DataFrame:

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions import metadata as M
 from ..functions import sequence as S
-from ..operators import curate, parsimony, relational, reports, samples, tree, variants
+from ..operators import curate, histories, parsimony, relational, reports, samples, tree, variants
 from ..sources import tables as T
 from . import bind as B
-from .scratch import materialize
+from .scratch import materialize, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -334,6 +334,102 @@ def gene_failures(spark, d):
     return curate.cds_stats(_gene_rows(spark, d))
 
 
+def _document_insertions(spark, d) -> DataFrame:
+    """(grp, id, ins) from report texts; every fifth document has none."""
+    k = F.col("doc_id")
+    one = F.concat((k % 30 + 1).cast("string"), F.lit(":"), F.substr(F.lit("ACGTAC"), F.lit(1), (k % 3 + 1).cast("int")))
+    two = F.concat((k % 17 + 60).cast("string"), F.lit(":GG"))
+    rows = B.table(spark, d, "documents").where("text is not null and doc_id % 5 <> 0")
+    return rows.select(F.col("lang").alias("grp"), F.concat(F.lit("EPI_ISL_"), k.cast("string")).alias("id"), S.parse_insertions(F.concat_ws(", ", one, two)).alias("ins"))
+
+
+def _genes_of(spark, groups: DataFrame) -> DataFrame:
+    genes = curate.gene_model(T.parse_gff(B.gene_features(spark)).withColumn("grp", F.lit(0))).drop("grp")
+    return groups.withColumn("_g", F.lit(0)).join(genes.withColumn("_g", F.lit(0)), "_g").drop("_g")
+
+
+def _put(seq: str, items: str) -> str:
+    """SQL: seq with a descending list of (pos, nucs) put behind their positions."""
+    return f"list_reduce(list_prepend({{'pos': 0, 'nucs': {seq}}}, {items}), lambda a, x: {{'pos': 0, 'nucs': substr(a.nucs, 1, x.pos) || x.nucs || substr(a.nucs, x.pos + 1)}}).nucs"
+
+
+def _cut(start: str, n: str) -> str:
+    """SQL: a coding part with the insertions that it holds, degapped, in both coordinate modes."""
+    inside = f"list_transform(list_filter(ins, lambda x: x.pos >= {start} + 3 AND x.pos < {start} + {n} + 2), lambda x: {{'pos': x.pos - CASE WHEN legacy THEN 3 ELSE {start} + 2 END, 'nucs': x.nucs}})"
+    return f"replace({_put(f'substr(masked, {start}, {n})', inside)}, '-', '')"
+
+
+_INSERTED_SQL = (
+    JUDGED
+    + f""", g AS (SELECT * FROM (VALUES (1, 'M1', 1, 30, 0, 0), (2, 'M2', 1, 21, 61, 30)) t(gene_idx, gene_name, s1, n1, s2, n2)),
+li AS (SELECT *, CASE WHEN ord % 5 <> 0 THEN [{{'pos': CAST(ord % 17 + 60 AS INT), 'nucs': 'GG'}}, {{'pos': CAST(ord % 30 + 1 AS INT), 'nucs': substr('ACGTAC', 1, CAST(ord % 3 + 1 AS INT))}}] ELSE [] END AS ins FROM judged WHERE NOT is_ref),
+lr AS (SELECT li.*, replace({_put("masked", "list_transform(list_filter(ins, lambda x: x.pos >= 3), lambda x: {'pos': x.pos - 3, 'nucs': x.nucs})")}, '-', '') AS raw FROM li),
+pt AS (SELECT lr.*, g.*, legacy, {_cut("s1", "n1")} AS p1, CASE WHEN s2 > 0 THEN {_cut("s2", "n2")} END AS p2 FROM lr, g, (VALUES (false), (true)) m(legacy)),
+rs AS (SELECT *, CAST(NOT contains(raw, p1) AS INT) + coalesce(CAST(NOT contains(raw, p2) AS INT), 0) AS bad, p1 || coalesce(p2, '') AS s FROM pt)"""
+)
+
+
+@query(
+    f"""WITH {_INSERTED_SQL} SELECT grp, id, gene_name, legacy, s AS cds_seq, bad AS n_bad_fragments,
+CASE WHEN bad > 0 THEN 'fragment_validation' WHEN length(s) % 3 <> 0 THEN 'wrong_length' WHEN length(s) < 6 THEN 'too_short' WHEN NOT starts_with(s, 'ATG') THEN 'missing_start_codon'
+  WHEN right(s, 3) NOT IN ('TAA', 'TAG', 'TGA') THEN 'missing_stop_codon' END AS reason FROM rs"""
+)
+def gene_sequences_with_insertions(spark, d):
+    """Insertions put back in both coordinate modes; the raw sequence has them where they were."""
+    msa = materialize(_judged(spark, d), "judged")
+    ins = _document_insertions(spark, d)
+    where = F.transform(F.filter("ins", lambda x: x["pos"] >= 3), lambda x: F.struct((x["pos"] - 3).alias("pos"), x["nucs"].alias("nucs")))
+    raw = msa.join(ins, ["grp", "id"], "left").select("grp", "id", S.degap(S.insert("masked", F.coalesce(where, F.array().cast(S.INSERTIONS)))).alias("raw"))
+    genes = _genes_of(spark, msa.select("grp").distinct())
+    out = [curate.gene_results(msa, genes, raw, ins, 3, legacy=m).withColumn("legacy", F.lit(m)) for m in (False, True)]
+    return out[0].unionByName(out[1]).select("grp", "id", "gene_name", "legacy", "cds_seq", "n_bad_fragments", "reason")
+
+
+@query(
+    """WITH i AS (SELECT lang AS grp, 'EPI_ISL_' || doc_id AS id, doc_id % 30 + 1 AS pos, substr('ACGTAC', 1, CAST(doc_id % 3 + 1 AS INT)) AS nucs FROM documents WHERE text IS NOT NULL AND doc_id % 5 <> 0
+  UNION ALL SELECT lang, 'EPI_ISL_' || doc_id, doc_id % 17 + 60, 'GG' FROM documents WHERE text IS NOT NULL AND doc_id % 5 <> 0),
+p AS (SELECT * FROM (VALUES (1, 0, 4, 33), (2, 0, 4, 24), (2, 1, 64, 93)) t(gene_idx, part, s, e))
+SELECT grp, id, gene_idx, part, nucs, CAST(pos - s + 1 AS INT) AS pos, CAST(pos - 3 AS INT) AS legacy_pos FROM i JOIN p ON pos >= s AND pos < e"""
+)
+def placed_insertions(spark, d):
+    """Exploded insertions joined with the coding parts that hold them, an interval join by bins."""
+    ins = _document_insertions(spark, d)
+    return curate.placed_insertions(ins, _genes_of(spark, ins.select("grp").distinct()), 3)
+
+
+@query(f"WITH {B.ALIGNMENT} SELECT grp, id, CASE WHEN NOT is_ref THEN contains(CASE WHEN ord % 2 = 0 THEN upper(seq) ELSE 'ACGT' END, upper(replace(seq, '-', ''))) END AS found FROM msa")
+def raw_audit(spark, d):
+    """sequences looked up in their raw ones; only references may lack one."""
+    msa = B.alignment(spark, d)
+    raw = msa.where("not is_ref").select("grp", "id", F.when(F.col("ord") % 2 == 0, F.col("seq")).otherwise("ACGT").alias("raw"))
+    return curate.validate_against_raw(msa, raw).select("grp", "id", "found")
+
+
+# --- files -------------------------------------------------------------------------------------------------------
+
+
+@query(ORACLE["parsed_records"])
+def grouped_fasta(spark, d):
+    """Records written as xz-packed FASTA, a folder per segment and group, and read back."""
+    path = scratch_path(spark, "grouped-fasta")
+    T.write_fasta(samples.parse_records(B.records(spark, d))[0], path, "xz", by=["segment", "grp"])
+    back = T.read_fasta(spark, path)
+    return back.select(T.folder_value("segment").alias("segment"), T.folder_value("grp").alias("grp"), "id", "seq")
+
+
+@query(f"WITH {B.ALIGNMENT} SELECT id, md5(regexp_replace(seq, '[^ACGT-]', 'N', 'g')) AS digest, CAST(row_number() OVER (ORDER BY grp, ord) AS INT) AS place FROM msa")
+def split_fasta(spark, d):
+    """The alignment as one ordered FASTA file, read back in splits of 256 KB; places follow the offsets."""
+    from pyspark.sql import Window as W
+
+    path = scratch_path(spark, "split-fasta")
+    rows = B.alignment(spark, d).select("grp", "ord", "id", S.mask("seq").alias("seq"))
+    rows = rows.withColumn("ord", F.row_number().over(W.orderBy("grp", "ord")))
+    T.write_fasta(rows.repartition(1), path)
+    back = T.read_fasta(spark, path, split_bytes=str(256 << 10))
+    return back.select("id", F.md5(F.col("seq").cast("binary")).alias("digest"), F.row_number().over(W.orderBy("ord")).alias("place"))
+
+
 # --- alignments, variants, identity ------------------------------------------------------------------------------
 
 
@@ -685,7 +781,20 @@ def ancestral_hosts(spark, d):
     return parsimony.ancestral_states(materialize(B.tree(spark, d), "tree"), B.leaf_states(spark, d), B.STATES).select("node", "state")
 
 
-@query()
+_SITE_COSTS = """p AS (SELECT unnest([2, 3, 5]) AS pos), st AS (SELECT unnest(['A', 'C', 'G', 'T']) AS s),
+lf AS (SELECT pos, 'c' || c_custkey AS node, 'n' || c_nationkey AS n, CASE WHEN c_nationkey % pos <> 0 THEN 'A' WHEN c_custkey % 10 = 0 THEN 'G' ELSE 'T' END AS b FROM customer, p),
+lc AS (SELECT pos, n, b, count(*) AS k FROM lf GROUP BY ALL), lt AS (SELECT pos, n, sum(k) AS k FROM lc GROUP BY ALL),
+nc AS (SELECT p.pos, 'n' || n_nationkey AS n, 'r' || n_regionkey AS r, s, CASE WHEN lt.k IS NULL THEN CASE WHEN s = 'A' THEN 0 ELSE 1000000 END ELSE lt.k - coalesce(lc.k, 0) END AS c
+  FROM nation CROSS JOIN p CROSS JOIN st LEFT JOIN lt ON lt.pos = p.pos AND lt.n = 'n' || n_nationkey LEFT JOIN lc ON lc.pos = p.pos AND lc.n = 'n' || n_nationkey AND lc.b = s),
+rc AS (SELECT pos, r, s, sum(g) AS c FROM (SELECT *, least(c, min(c) OVER (PARTITION BY pos, n) + 1) AS g FROM nc) GROUP BY ALL),
+tc AS (SELECT pos, s, sum(g) AS c FROM (SELECT *, least(c, min(c) OVER (PARTITION BY pos, r) + 1) AS g FROM rc) GROUP BY ALL),
+tb AS (SELECT pos, s AS b FROM (SELECT *, row_number() OVER (PARTITION BY pos ORDER BY c + CAST(s <> 'A' AS INT), s <> 'A', s) AS k FROM tc) WHERE k = 1),
+rb AS (SELECT pos, r, s AS b, f FROM (SELECT rc.*, tb.b AS f, row_number() OVER (PARTITION BY rc.pos, r ORDER BY c + CAST(s <> tb.b AS INT), s <> tb.b, s) AS k FROM rc JOIN tb USING (pos)) WHERE k = 1),
+nb AS (SELECT pos, n, s AS b, f FROM (SELECT nc.*, rb.b AS f, row_number() OVER (PARTITION BY nc.pos, n ORDER BY c + CAST(s <> rb.b AS INT), s <> rb.b, s) AS k FROM nc JOIN rb ON rb.pos = nc.pos AND rb.r = nc.r) WHERE k = 1),
+took AS (SELECT 'root' AS node, pos, 'A' AS f, b FROM tb UNION ALL SELECT r, pos, f, b FROM rb UNION ALL SELECT n, pos, f, b FROM nb UNION ALL SELECT node, lf.pos, nb.b, lf.b FROM lf JOIN nb ON nb.n = lf.n AND nb.pos = lf.pos)"""
+
+
+@query(f"WITH {B.TREE}, {_SITE_COSTS} SELECT e.node, coalesce(string_agg(t.f || t.pos || t.b, ',' ORDER BY t.pos) FILTER (WHERE t.f <> t.b), '') AS mut FROM edges e LEFT JOIN took t ON t.node = e.node GROUP BY e.node")
 def site_mutations(spark, d):
     """Mutations of three sites put on the tree's edges; the leaves' bases follow their keys."""
     e = materialize(B.tree(spark, d), "tree")
@@ -727,8 +836,73 @@ def trimmed_graph(spark, d):
 
 @query()
 def sampled_history(spark, d):
-    """One history of the trimmed graph, by seed."""
-    return parsimony.sample_history(parsimony.trim(_graph(spark, d), "root"), "root", 7)
+    """One history of the trimmed graph, by seed, every one as likely as any other."""
+    g = materialize(parsimony.trim(_graph(spark, d), "root"), "trimmed")
+    seeds = spark.range(7, 8).withColumnRenamed("id", "seed")
+    return histories.sample_histories(g, histories.count_histories(g), seeds, "root").select("node", "clade", "child", "weight")
+
+
+def _customer_graph(spark, d) -> DataFrame:
+    """A graph of histories over customers: each is a clade of its nation with two to four alternatives, some of equal weight."""
+    c = B.table(spark, d, "customer")
+    k = F.col("c_custkey")
+    alt = c.select("c_nationkey", "c_custkey", F.explode(F.sequence(F.lit(0), (k % 3 + 1).cast("int"))).alias("a"))
+    low = alt.select(F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("node"), k.cast("string").alias("clade"), F.concat_ws("_", k.cast("string"), F.col("a").cast("string")).alias("child"), ((k + F.col("a") * 3) % 4).cast("int").alias("weight"))
+    top = c.select(F.lit("root").alias("node"), F.col("c_nationkey").cast("string").alias("clade"), F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("child"), F.lit(1).alias("weight")).distinct()
+    return top.unionByName(low)
+
+
+_COUNTS_SQL = """g AS (SELECT 'n' || c_nationkey AS node, c_custkey AS clade, a, CAST((c_custkey + a * 3) % 4 AS INT) AS weight FROM customer, range(4) t(a) WHERE a <= c_custkey % 3 + 1),
+lo AS (SELECT *, min(weight) OVER (PARTITION BY node, clade) AS m FROM g), f AS (SELECT node, clade, count(*) AS k FROM lo WHERE weight = m GROUP BY ALL),
+n AS (SELECT node, list_reduce(list_prepend(CAST(1 AS BIGINT), list(k)), lambda x, y: x * y % 2147483647) AS count_mod, sum(log2(k)) AS bits FROM f GROUP BY node)"""
+
+
+@query(
+    f"""WITH {_COUNTS_SQL} SELECT node, count_mod, round(bits, 6) AS bits FROM n
+UNION ALL SELECT 'root', list_reduce(list_prepend(CAST(1 AS BIGINT), list(count_mod)), lambda x, y: x * y % 2147483647), round(sum(bits), 6) FROM n"""
+)
+def history_counts(spark, d):
+    """T5: exact numbers of cheapest histories below every inner node, told by their logarithm and one residue."""
+    counts = histories.count_histories(parsimony.trim(_customer_graph(spark, d), "root"))
+    rows = counts.nodes.where((F.col("node") == "root") | F.col("node").startswith("n"))
+    return rows.select("node", F.get("residues", F.lit(0)).alias("count_mod"), F.round(F.col("log_n") / F.log(F.lit(2.0)), 6).alias("bits"))
+
+
+def _randomized_trees(spark, d) -> DataFrame:
+    """Ten trees of all customers; in tree t every seventh customer hangs on another nation."""
+    e = materialize(B.tree(spark, d), "tree")
+    c = e.where(F.col("node").startswith("c"))
+    inner = e.where(~F.col("node").startswith("c"))
+    t = F.explode(F.sequence(F.lit(0), F.lit(9))).alias("t")
+    key = F.substr("node", F.lit(2)).cast("int")
+    nation = F.concat(F.lit("n"), F.when(key % 7 == 0, (F.substr("parent", F.lit(2)).cast("int") + F.col("t")) % 25).otherwise(F.substr("parent", F.lit(2)).cast("int")).cast("string"))
+    moved = c.select(t, "node", "parent", "muts").select(F.col("t").alias("tree_id"), "node", nation.alias("parent"), "muts")
+    # Nations that a tree leaves without customers go.
+    full = moved.select("tree_id", F.col("parent").alias("node")).distinct()
+    same = inner.select(t, "node", "parent", "muts").select(F.col("t").alias("tree_id"), "node", "parent", "muts")
+    nations = same.where(F.col("node").startswith("n")).join(full, ["tree_id", "node"], "left_semi")
+    regions = same.where(~F.col("node").startswith("n") & (F.col("node") != "root")).join(nations.select("tree_id", F.col("parent").alias("node")).distinct(), ["tree_id", "node"], "left_semi")
+    return same.where("node = 'root'").unionByName(regions).unionByName(nations).unionByName(moved)
+
+
+@query(
+    f"""WITH {B.TREE}, l AS (SELECT t, c_custkey AS k, CASE WHEN c_custkey % 7 = 0 THEN (c_nationkey + t) % 25 ELSE c_nationkey END AS n FROM customer, range(10) r(t)),
+cl AS (SELECT t, 'n' || n AS node, string_agg(k, ',' ORDER BY k) AS s, min(k) AS lo, count(*) AS n FROM l GROUP BY t, n UNION ALL SELECT t, 'r' || n_regionkey, string_agg(k, ',' ORDER BY k), min(k), count(*) FROM l JOIN nation ON n_nationkey = n GROUP BY t, n_regionkey
+  UNION ALL SELECT t, 'root', string_agg(k, ',' ORDER BY k), min(k), count(*) FROM l GROUP BY t UNION ALL SELECT t, 'c' || k, CAST(k AS VARCHAR), k, 1 FROM l),
+ed AS (SELECT t, 'c' || k AS node, 'n' || n AS parent FROM l UNION ALL SELECT DISTINCT t, 'n' || n, 'r' || n_regionkey FROM l JOIN nation ON n_nationkey = n UNION ALL SELECT DISTINCT t, 'r' || n_regionkey, 'root' FROM l JOIN nation ON n_nationkey = n)
+SELECT u.lo AS first_leaf, u.n AS n_leaves, v.lo AS child_first_leaf, v.n AS child_n_leaves, CAST(e.mut <> '' AS INT) AS weight, count(DISTINCT ed.t) AS n_trees
+FROM ed JOIN edges e ON e.node = ed.node JOIN cl u ON u.t = ed.t AND u.node = ed.parent JOIN cl v ON v.t = ed.t AND v.node = ed.node GROUP BY u.s, v.s, u.lo, u.n, v.lo, v.n, e.mut <> ''"""
+)
+def merged_trees(spark, d):
+    """Ten randomised trees merged by their clades, edges that trees share once."""
+    e = materialize(_randomized_trees(spark, d), "randomized")
+    key = F.when(F.col("node").startswith("c"), F.substr("node", F.lit(2)).cast("long"))
+    c = materialize(tree.clades(e), "clades")
+    low = materialize(c.select("tree_id", "node", "clade", "n_leaves").join(tree.first_leaves(e, key), ["tree_id", "node"]).groupBy("clade").agg(F.min("first_leaf").alias("lo"), F.max("n_leaves").alias("n")), "first-leaves")
+    m = tree.merge_trees(e)
+    up = low.select("clade", F.col("lo").alias("first_leaf"), F.col("n").alias("n_leaves"))
+    down = low.select(F.col("clade").alias("child"), F.col("lo").alias("child_first_leaf"), F.col("n").alias("child_n_leaves"))
+    return m.join(up, "clade").join(down, "child").select("first_leaf", "n_leaves", "child_first_leaf", "child_n_leaves", "weight", "n_trees")
 
 
 @query(
@@ -741,7 +915,12 @@ def configured_groups(spark, d):
     return T.lookup(T.combinations(spark, config), config.reroot, "root").drop("ord")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {B.TREE}, seqs AS (SELECT node, repeat('A', 60) AS s FROM edges WHERE parent IS NULL
+UNION ALL SELECT e.node, CASE WHEN e.mut = '' THEN s ELSE substr(s, 1, CAST(substr(mut, 2, length(mut) - 2) AS INT) - 1) || right(mut, 1) || substr(s, CAST(substr(mut, 2, length(mut) - 2) AS INT) + 1) END FROM edges e JOIN seqs ON e.parent = seqs.node)
+SELECT node AS grp, CASE WHEN moved THEN node ELSE 'ref' END AS root, CASE WHEN moved THEN s ELSE repeat('A', 60) END AS root_seq, CASE WHEN moved THEN 1 ELSE 0 END AS gap_fills
+FROM (SELECT *, CAST(substr(node, 2) AS INT) % 9 <> 0 AS moved FROM seqs WHERE node LIKE 'c%')"""
+)
 def root_sequences(spark, d):
     """One root sequence per customer of the tree, checked against its alignment row."""
     e = materialize(B.tree(spark, d), "tree")

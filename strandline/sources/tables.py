@@ -9,7 +9,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -32,7 +32,7 @@ def complete_dirs(dirs: Sequence[str]) -> list[str]:
 
 
 def read_fasta(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """FASTA in order, plain, gz or xz by suffix."""
+    """FASTA, plain, gz or xz by suffix, in splits; ord is the order of the files by name and of the records in them."""
     register(spark)
     return spark.read.format("fasta").options(**options).load(path)
 
@@ -168,12 +168,22 @@ def write_groups(df: DataFrame, path: str, by: Sequence[str] = ("segment", "grp"
     df.write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
-def write_fasta(df: DataFrame, path: str, compression: str = "none", single: bool = False) -> None:
-    """id and seq as FASTA, in the order of ord where there is one."""
+def write_fasta(df: DataFrame, path: str, compression: str = "none", single: bool = False, by: Sequence[str] = (), mode: str = "append") -> None:
+    """id and seq as FASTA, in the order of ord where there is one; by: columns that become folders.
+
+    A group's rows may come from several tasks, each with a file of its own, so
+    that no group has to fit one task.
+    """
     register(df.sparkSession)
     rows = df.coalesce(1) if single else df
-    rows = rows.sortWithinPartitions("ord") if "ord" in df.columns else rows
-    rows.select("id", "seq").write.format("fasta").mode("append").option("compression", compression).save(path)
+    order = [*by, *(["ord"] if "ord" in df.columns else [])]
+    rows = rows.sortWithinPartitions(*order) if order else rows
+    rows.select("id", "seq", *by).write.format("fasta").mode(mode).option("compression", compression).option("by", ",".join(by)).save(path)
+
+
+def folder_value(column: str, file: str = "file") -> Column:
+    """Value of the folder `column=value` in a file's path."""
+    return F.url_decode(F.regexp_extract(file, f"/{column}=([^/]*)/", 1))
 
 
 def write_lines(df: DataFrame, path: str, line: str = "line", order: str | None = "ord", compression: str = "none") -> None:

@@ -1,5 +1,6 @@
 import gzip
 import lzma
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -30,8 +31,80 @@ def test_fasta_round_trip(spark, tmp_path, packed):
         T.read_fasta(spark, str(tmp_path / "none")).collect()
 
 
-def test_parse_fasta_without_header():
-    assert list(fasta.parse_fasta(["ACGT\n"])) == []
+def test_records_without_header():
+    assert list(fasta.records([b"ACGT\n"])) == [] and list(fasta.records([])) == []
+
+
+def whole(data):
+    """(offset, id, description, sequence) of all records of a text, line by line."""
+    out, at = [], 0
+    for line in data.splitlines(keepends=True):
+        if line.startswith(b">"):
+            head = line[1:].decode().rstrip("\r\n")
+            out.append([at, (head.split(None, 1) or [""])[0], head, ""])
+        elif out:
+            out[-1][3] += "".join(line.decode().split())
+        at += len(line)
+    return [tuple(r) for r in out]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_any_split_gives_the_same_records(seed):
+    rng = random.Random(seed)
+    pieces = [">", ">a", "\n", "\r\n", "ACGT", ">b c\n", "\n>d\n", "x>y", " ", "N" * 50, "\n\n"]
+    data = ("" if seed % 2 else ">first\nA") + "".join(rng.choice(pieces) for _ in range(120))
+    data = data.encode()
+    for n in (1, 2, 3, 7, 64, len(data) + 1):
+        cuts = list(range(0, len(data), n)) or [0]
+        got = []
+        for a, b in zip(cuts, [*cuts[1:], None]):
+            chunks = (data[i : i + rng.randrange(1, 9)] for i in [a])  # the first chunk may be short
+            head = next(chunks)
+            got += fasta.records([head, data[a + len(head) :]], a, b)
+        assert got == whole(data), n
+
+
+@pytest.mark.parametrize("packed", ["none", "xz", "gzip"])
+def test_splits_of_a_file(spark, tmp_path, packed):
+    rng = random.Random(1)
+    parts = ["".join(f">r{k}_{i} some text\n{''.join(rng.choice('ACGT') for _ in range(rng.randrange(0, 3000)))}\n" for i in range(60)).encode() for k in range(12)]
+    data = b"".join(parts)
+    cut = [data[a : a + 40_000] for a in range(0, len(data), 40_000)]  # blocks end inside records
+    name = tmp_path / f"a.fasta{ {'none': '', 'xz': '.xz', 'gzip': '.gz'}[packed] }"
+    name.write_bytes(data if packed == "none" else gzip.compress(data) if packed == "gzip" else b"".join(lzma.compress(c) + (b"\0" * 4 if i % 3 == 0 else b"") for i, c in enumerate(cut)))
+    read = lambda n: T.read_fasta(spark, f"file://{name}", split_bytes=str(n))
+    few, many = read(1 << 30), read(100_000)
+    assert few.rdd.getNumPartitions() == 1 and many.rdd.getNumPartitions() == (1 if packed == "gzip" else -(-len(data) // 100_000) if packed == "none" else -(-len(cut) // 3))
+    rows = lambda df: sorted((r.ord, r.id, r.description, r.seq) for r in df.collect())
+    assert rows(few) == rows(many) == whole(data)
+
+
+def test_a_large_file_is_read_in_many_tasks(tmp_path):
+    line = b"ACGTACGTACGTACGTACGTACGTACGTACGTACGTACGTACGTACGTACGTACGTACG\n" * 4000
+    with open(tmp_path / "big.fasta", "wb") as f:
+        for i in range(4400):
+            f.write(b">s%d\n" % i + line)
+    parts = fasta.ranges(str(tmp_path / "big.fasta"), 0, "none", fasta.SPLIT_BYTES)
+    assert f"{(tmp_path / 'big.fasta').stat().st_size / 1e9:.1f}" == "1.1" and len(parts) == 8
+    ids = [name for part in parts for _, name, _, _ in fasta.records(part.chunks(), part.start, part.end)]
+    (tmp_path / "big.fasta").unlink()
+    assert ids == [f"s{i}" for i in range(4400)]
+
+
+def test_grouped_files_are_seen_when_committed(spark, tmp_path):
+    rows = [(i, f"s{i}", "ACGT" * (i % 5), "HA" if i % 3 else "N/A", i % 4) for i in range(200)]
+    df = spark.createDataFrame(rows, "ord int, id string, seq string, segment string, grp int").repartition(3)
+    out = str(tmp_path / "g")
+    T.write_fasta(df, out, "gzip", by=["segment", "grp"])
+    back = T.read_fasta(spark, out).select(T.folder_value("segment"), T.folder_value("grp"), "id", "seq").collect()
+    assert sorted(map(tuple, back)) == sorted((g, str(k), i, s) for _, i, s, g, k in rows)
+    assert len(fasta.list_files(out)) <= 3 * 8
+    bad = df.withColumn("seq", F.when(F.col("ord") == 150, F.raise_error(F.lit("broken")).cast("string")).otherwise(F.col("seq")))
+    with pytest.raises(Exception, match="broken"):
+        T.write_fasta(bad, out, "gzip", by=["segment", "grp"])
+    assert T.read_fasta(spark, out).count() == 200
+    T.write_fasta(df.limit(5), out, by=["segment", "grp"], mode="overwrite")
+    assert T.read_fasta(spark, out).count() == 5
 
 
 def test_gff_and_gene_model(spark, tmp_path):
