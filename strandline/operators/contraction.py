@@ -52,21 +52,24 @@ def gift(cost: Column | str) -> Column:
     return F.transform(cost, lambda c: F.least(c, low + 1))
 
 
-def follow(links: DataFrame, by: Sequence[str], join: Column, to: str = "to", far: str = "_far", name: str = "links") -> DataFrame:
+def follow(links: DataFrame, by: Sequence[str], join: Column, name: str = "links") -> DataFrame:
     """links (by, node, to, map) with `to` where no link leads further and map the composition on the way, by pointer doubling.
 
-    join: the map of a link and the one it leads to, named `map` and `_map`, composed.
+    join: the map of a link and the one it leads to, named `map` and `_map`,
+    composed.  Every row knows whether its `to` leads further, so that no round
+    is needed to find out that all are done.
     """
-    now = materialize(links.select(*by, "node", to, "map"), name)
-    while True:
-        next_ = now.select(*by, F.col("node").alias(to), F.col(to).alias(far), F.col("map").alias("_map"))
-        rows = now.join(next_, [*by, to], "left")
-        moved = F.col(far).isNotNull()
-        longer = materialize(rows.select(*by, "node", F.coalesce(far, to).alias(to), F.when(moved, join).otherwise(F.col("map")).alias("map"), moved.alias("_moved")), name)
+    links = links.select(*by, "node", "to", "map")
+    more = links.select(*by, F.col("node").alias("to"), F.lit(True).alias("_open"))
+    now = materialize(links.join(more, [*by, "to"], "left").select(*by, "node", "to", "map", F.coalesce("_open", F.lit(False)).alias("_open")), name)
+    while not now.where("_open").isEmpty():
+        next_ = now.select(*by, F.col("node").alias("to"), F.col("to").alias("_far"), F.col("map").alias("_map"), F.col("_open").alias("_more"))
+        rows = now.join(next_, [*by, "to"], "left")
+        longer = rows.select(*by, "node", F.coalesce("_far", "to").alias("to"), F.when(F.col("_open"), join).otherwise(F.col("map")).alias("map"), F.coalesce("_more", F.lit(False)).alias("_open"))
+        longer = materialize(longer, name)
         discard(now)
         now = longer
-        if now.where("_moved").isEmpty():
-            return now.drop("_moved")
+    return now.drop("_open")
 
 
 def subtree_costs(rows: DataFrame, by: Sequence[str], n: int) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..plans.scratch import materialize
+
 
 def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each key; null keys are one key.
@@ -64,14 +66,37 @@ def require_complete(left: DataFrame, right: DataFrame, key: str) -> None:
         raise ValueError(f"ids without a partner, the first: {gone}")
 
 
+def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], column: str = "ord", size: str | None = None) -> DataFrame:
+    """df with column: each group's rows numbered from 1 in the order, and, if asked, the group's size.
+
+    Rows are dealt out by ranges of group and order and numbered where they lie;
+    only counts per range and group are added up, so a group of any size is
+    spread over tasks.  The numbers don't depend on the ranges if the order
+    tells all rows of a group apart.
+    """
+    names = [f"_o{i}" for i in range(len(order))]
+    rows = df.withColumns({n: F.col(o) if isinstance(o, str) else o for n, o in zip(names, order)})
+    rows = rows.repartitionByRange(*by, *names).sortWithinPartitions(*by, *names).drop(*names).withColumn("_at", F.monotonically_increasing_id())
+    rows = materialize(rows, "numbered").withColumn("_range", F.shiftright("_at", 33))
+    counts = rows.groupBy(*by, "_range").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    every = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
+    before = F.coalesce(F.sum("_n").over(every.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.withColumn("_before", before).withColumn("_size", F.sum("_n").over(every))
+    there = counts.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(by)], F.col("_range").alias("_r"), "_first", "_before", "_size")
+    same = F.col("_range") == F.col("_r")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_b{i}"))
+    out = rows.join(there, same).withColumn(column, (F.col("_before") + F.col("_at") - F.col("_first") + 1).cast("int"))
+    return out.select(*[c for c in df.columns if c != column], column, *([F.col("_size").alias(size)] if size else []))
+
+
 def pinned_order(df: DataFrame, key: str, first: str, by: Sequence[str] = ()) -> DataFrame:
     """(by, ord, key): distinct keys sorted by name behind the pinned one, which is added where it's missing."""
     ids = df.select(*by, key).distinct()
     groups = ids.select(*by).distinct() if by else None
     pinned = (groups if by else df.sparkSession.range(1).drop("id")).select(*by, F.lit(first).alias(key))
     both = ids.unionByName(pinned).distinct()
-    w = W.partitionBy(*by).orderBy((F.col(key) != first).cast("int"), key)
-    return both.withColumn("ord", F.row_number().over(w)).select(*by, "ord", key)
+    return numbered(both, by, [(F.col(key) != first).cast("int"), key]).select(*by, "ord", key)
 
 
 def permute(df: DataFrame, seeds: int, key: str, is_ref: str, by: Sequence[str] = ()) -> DataFrame:
@@ -80,17 +105,20 @@ def permute(df: DataFrame, seeds: int, key: str, is_ref: str, by: Sequence[str]
     Equal seeds give equal orders on any cluster; groups of one row are an error.
     """
     rows = df.withColumn("seed", F.explode(F.sequence(F.lit(0), F.lit(seeds - 1))))
-    w = W.partitionBy(*by, "seed")
-    order = w.orderBy((~F.col(is_ref)).cast("int"), F.xxhash64("seed", key), key)
-    few = F.count("*").over(w) < 2
-    place = F.when(few, F.raise_error(F.lit("a permutation needs two rows"))).otherwise(F.row_number().over(order))
-    return rows.withColumn("new_ord", place)
+    out = numbered(rows, [*by, "seed"], [(~F.col(is_ref)).cast("int"), F.xxhash64("seed", key), key], "new_ord", "_size")
+    place = F.when(F.col("_size") < 2, F.raise_error(F.lit("a permutation needs two rows")).cast("int")).otherwise(F.col("new_ord"))
+    return out.withColumn("new_ord", place).drop("_size")
 
 
 def sample_rows(df: DataFrame, k: int, key: str, is_ref: str, by: Sequence[str], seed: int = 0) -> DataFrame:
-    """Up to k rows beside the reference per group, by seeded hash."""
-    w = W.partitionBy(*by, is_ref).orderBy(F.xxhash64(F.lit(seed), F.col(key)), key)
-    return df.withColumn("_k", F.row_number().over(w)).where(F.col(is_ref) | (F.col("_k") <= k)).drop("_k")
+    """Up to k rows beside the reference per group, by seeded hash.
+
+    The limit stands alone in its filter, so that Spark applies it in every task
+    before the shuffle: a group sends at most k rows a task.
+    """
+    w = W.partitionBy(*by).orderBy(F.xxhash64(F.lit(seed), F.col(key)), key)
+    drawn = df.where(~F.col(is_ref)).withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= k).drop("_k")
+    return df.where(is_ref).unionByName(drawn)
 
 
 def interval_join(points: DataFrame, intervals: DataFrame, by: Sequence[str], pos: str = "pos", start: str = "start", end: str = "end", width: int = 256) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
 from ..plans.scratch import materialize
+from .relational import numbered
 
 
 #: References up to so many characters together are broadcast.
@@ -22,6 +23,12 @@ def with_reference(rows: DataFrame, ref: DataFrame, by: Sequence[str], column: s
     return rows.join(F.broadcast(ref) if size <= REFERENCE_CHARS else ref, list(by))
 
 
+def _differences(seq: str, ref: str) -> Column:
+    """Structs (p from 0, ref, alt) where two sequences differ and neither has a gap."""
+    pairs = F.zip_with(F.split(seq, ""), F.split(ref, ""), lambda a, b: F.when((a != b) & (b != "-") & (a != "-"), F.struct(b.alias("ref"), a.alias("alt"))))
+    return F.filter(F.transform(pairs, lambda v, i: F.when(v.isNotNull(), F.struct(i.alias("p"), v["ref"].alias("ref"), v["alt"].alias("alt")))), lambda v: v.isNotNull())
+
+
 def variant_sites(msa: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
     """(by, pos, ref, alts, n_alt, n_missing): sites at which any row differs from its group's reference.
 
@@ -32,9 +39,7 @@ def variant_sites(msa: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
     """
     rows = msa.select(*by, "is_ref", S.mask("seq").alias("seq"))
     ref = rows.where("is_ref").select(*by, F.col("seq").alias("_ref"))
-    pairs = F.zip_with(F.split("seq", ""), F.split("_ref", ""), lambda a, b: F.when((a != b) & (b != "-") & (a != "-"), F.struct(b.alias("ref"), a.alias("alt"))))
-    diff = F.filter(F.transform(pairs, lambda v, i: F.when(v.isNotNull(), F.struct(i.alias("p"), v["ref"].alias("ref"), v["alt"].alias("alt")))), lambda v: v.isNotNull())
-    each = with_reference(rows.where(~F.col("is_ref")), ref, by, "_ref").select(*by, F.explode(diff).alias("v"))
+    each = with_reference(rows.where(~F.col("is_ref")), ref, by, "_ref").select(*by, F.explode(_differences("seq", "_ref")).alias("v"))
     votes = each.groupBy(*by, (F.col("v.p") + 1).alias("pos"), F.col("v.ref").alias("ref"), F.col("v.alt").alias("alt")).agg(F.count("*").alias("n"))
     alts = F.array_join(F.sort_array(F.collect_set(F.when(F.col("alt") != "N", F.col("alt")))), ",")
     return votes.groupBy(*by, "pos", "ref").agg(alts.alias("alts"), F.coalesce(F.sum(F.when(F.col("alt") != "N", F.col("n"))), F.lit(0)).alias("n_alt"), F.coalesce(F.sum(F.when(F.col("alt") == "N", F.col("n"))), F.lit(0)).alias("n_missing"))
@@ -46,6 +51,54 @@ def vcf_lines(sites: DataFrame, chrom: str = "Reference") -> DataFrame:
     return sites.select("pos", F.concat_ws("\t", F.lit(chrom), F.col("pos").cast("string"), F.concat("ref", F.col("pos").cast("string"), alt), "ref", alt, F.lit("."), F.lit("."), F.lit(".")).alias("line"))
 
 
+def calls(msa: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
+    """(by, pos, ref, sample, alt): where a row differs from its group's reference; N is a missing call.
+
+    sample numbers the rows beside the reference from 1 in the order of ord.
+    """
+    rows = msa.select(*by, "ord", "is_ref", S.mask("seq").alias("seq"))
+    ref = rows.where("is_ref").select(*by, F.col("seq").alias("_ref"))
+    samples = numbered(rows.where(~F.col("is_ref")).select(*by, "ord"), by, ["ord"], "sample")
+    each = with_reference(rows.where(~F.col("is_ref")), ref, by, "_ref").select(*by, "ord", F.explode(_differences("seq", "_ref")).alias("v"))
+    return each.join(samples, [*by, "ord"]).select(*by, (F.col("v.p") + 1).alias("pos"), F.col("v.ref").alias("ref"), "sample", F.col("v.alt").alias("alt"))
+
+
+def vcf_document(msa: DataFrame, by: Sequence[str] = ("grp",), chrom: str = "Reference") -> DataFrame:
+    """(by, ord, line): a VCF document per group: header, sample names, and a line per variant site with a genotype for each sample.
+
+    Genotypes are 0 for the reference's base (and for gaps), the number of the
+    alternative, or a dot for N.  A line is put together from the samples that
+    differ and runs of zeros between them.
+    """
+    found = calls(msa, by)
+    found = found.where("alt <> 'N'").select(*by, "pos", "alt").distinct().groupBy(*by, "pos").agg(F.sort_array(F.collect_list("alt")).alias("alts")).join(found, [*by, "pos"], "right")
+    size = msa.where(~F.col("is_ref")).groupBy(*by).agg(F.count("*").cast("int").alias("n"))
+    allele = F.when(F.col("alt") == "N", ".").otherwise(F.array_position("alts", F.col("alt")).cast("string"))
+    sites = found.withColumn("_a", allele).groupBy(*by, "pos", "ref", "alts").agg(F.sort_array(F.collect_list(F.struct("sample", F.col("_a").alias("a")))).alias("c")).join(size, list(by))
+    # Each call with the zeros before it, then the zeros behind the last one.
+    bounds = F.concat(F.array(F.lit(0)), F.transform("c", lambda x: x["sample"]))
+    runs = F.transform("c", lambda x, i: F.concat(F.repeat(F.lit("0\t"), x["sample"] - F.get(bounds, i) - 1), x["a"]))
+    rest = F.repeat(F.lit("\t0"), F.col("n") - F.element_at("c", -1)["sample"])
+    alt = F.when(F.size(F.coalesce("alts", F.array().cast("array<string>"))) == 0, ".").otherwise(F.array_join("alts", ","))
+    line = F.concat_ws("\t", F.lit(chrom), F.col("pos").cast("string"), F.concat("ref", F.col("pos").cast("string"), alt), "ref", alt, F.lit("."), F.lit("."), F.lit("."), F.lit("GT"), F.concat(F.array_join(runs, "\t"), rest))
+    body = sites.select(*by, F.col("pos").cast("long").alias("ord"), line.alias("line"))
+    names = msa.where(~F.col("is_ref")).groupBy(*by).agg(F.transform(F.sort_array(F.collect_list(F.struct("ord", "id"))), lambda x: x["id"]).alias("ids"))
+    columns = F.concat_ws("\t", F.lit("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT"), F.array_join("ids", "\t"))
+    texts = [F.lit("##fileformat=VCFv4.2"), F.lit('##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">'), F.lit(f"##contig=<ID={chrom}>"), columns]
+    head = F.array(*[F.struct(F.lit(i - len(texts)).cast("long").alias("ord"), t.alias("line")) for i, t in enumerate(texts)])
+    return body.unionByName(names.select(*by, F.inline(head)))
+
+
+def read_vcf(lines: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
+    """(by, id, pos, ref, base): every call of VCF lines that isn't the reference's base; a missing one is N."""
+    p = F.split("line", "\t")
+    named = lines.where(F.col("line").startswith("#CHROM")).select(*by, F.slice(p, 10, F.size(p)).alias("ids"))
+    rows = lines.where(~F.col("line").startswith("#")).select(*by, F.get(p, F.lit(1)).cast("int").alias("pos"), F.get(p, F.lit(3)).alias("ref"), F.split(F.get(p, F.lit(4)), ",").alias("alts"), F.slice(p, 10, F.size(p)).alias("g"))
+    each = rows.select(*by, "pos", "ref", "alts", F.posexplode("g").alias("i", "g")).where("g <> '0'").join(named, list(by))
+    base = F.when(F.col("g") == ".", "N").otherwise(F.get("alts", F.col("g").try_cast("int") - 1))
+    return each.select(*by, F.get("ids", F.col("i")).alias("id"), "pos", "ref", base.alias("base"))
+
+
 def root_sequence(reference: DataFrame, paths: DataFrame, msa: DataFrame, new_root: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
     """(by, root, root_seq, gap_fills, mismatches): each group's reference mutated along the path to its new root.
 
@@ -72,6 +125,34 @@ def consensus(rows: DataFrame, by: Sequence[str] = ("leaf",), tree: str = "tree"
     return best.groupBy(*by).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "base"))), lambda x: x["base"]), "").alias("consensus"))
 
 
+def consensus_differences(leaves: DataFrame, leaf: str = "leaf", tree: str = "tree") -> DataFrame:
+    """(leaf, muts): where the most frequent base over trees isn't the reference's, in order of position; ties go to the earliest tree.
+
+    leaves: leaf, tree, muts (ref, pos, alt), a leaf's differences from the
+    reference in each tree.  Only these are exploded and shuffled; trees that
+    have none at a position vote for the reference's base there.
+    """
+    all_ = leaves.groupBy(leaf).agg(F.sort_array(F.collect_set(tree)).alias("_trees"))
+    each = leaves.select(leaf, F.col(tree).alias("_t"), F.inline("muts"))
+    sites = each.groupBy(leaf, "pos").agg(F.min("ref").alias("ref"), F.collect_list(F.struct("_t", "alt")).alias("_d")).join(all_, leaf)
+    silent = F.array_except("_trees", F.transform("_d", lambda x: x["_t"]))
+    vote = lambda base, trees: F.struct((-F.size(trees)).alias("n"), F.array_min(trees).alias("first"), base.alias("base"))
+    named = lambda a: F.transform(F.filter("_d", lambda x: x["alt"] == a), lambda x: x["_t"])
+    votes = F.transform(F.array_distinct(F.transform("_d", lambda x: x["alt"])), lambda a: vote(a, named(a)))
+    votes = F.concat(votes, F.when(F.size(silent) > 0, F.array(vote(F.col("ref"), silent))).otherwise(F.filter(votes, lambda v: F.lit(False))))
+    best = sites.withColumn("alt", F.array_min(votes)["base"]).where("alt <> ref")
+    muts = best.groupBy(leaf).agg(F.sort_array(F.collect_list(F.struct("pos", "ref", "alt"))).alias("_m"))
+    return all_.join(muts, leaf, "left").select(leaf, F.coalesce(F.transform("_m", lambda m: F.struct(m["ref"].alias("ref"), m["pos"].alias("pos"), m["alt"].alias("alt"))), F.array().cast("array<struct<ref:string,pos:int,alt:string>>")).alias("muts"))
+
+
+def ordered_consensus(consensus: DataFrame, reference_id: str, reference: str, leaf: str = "leaf") -> DataFrame:
+    """(ord, leaf, seq): the reference's leaf first, the others by name; it is an error if the reference's leaf is missing."""
+    rows = numbered(consensus, [], [(F.col(leaf) != reference_id).cast("int"), leaf])
+    lacks = (F.col("ord") == 1) & (F.col(leaf) != reference_id)
+    seq = F.when(lacks, F.raise_error(F.lit(f"the reference {reference_id} is not among the leaves")).cast("string")).otherwise(S.apply_mutations(F.lit(reference), "muts"))
+    return rows.select("ord", leaf, seq.alias("seq"))
+
+
 def leaf_sets_differ(rows: DataFrame, tree: str = "tree", leaf: str = "leaf") -> DataFrame:
     """Leaves that some tree lacks, with the number of trees that have them."""
     n = rows.select(tree).distinct().count()

@@ -420,14 +420,11 @@ def grouped_fasta(spark, d):
 @query(f"WITH {B.ALIGNMENT} SELECT id, md5(regexp_replace(seq, '[^ACGT-]', 'N', 'g')) AS digest, CAST(row_number() OVER (ORDER BY grp, ord) AS INT) AS place FROM msa")
 def split_fasta(spark, d):
     """The alignment as one ordered FASTA file, read back in splits of 256 KB; places follow the offsets."""
-    from pyspark.sql import Window as W
-
     path = scratch_path(spark, "split-fasta")
-    rows = B.alignment(spark, d).select("grp", "ord", "id", S.mask("seq").alias("seq"))
-    rows = rows.withColumn("ord", F.row_number().over(W.orderBy("grp", "ord")))
-    T.write_fasta(rows.repartition(1), path)
-    back = T.read_fasta(spark, path, split_bytes=str(256 << 10))
-    return back.select("id", F.md5(F.col("seq").cast("binary")).alias("digest"), F.row_number().over(W.orderBy("ord")).alias("place"))
+    rows = B.alignment(spark, d).select("grp", F.col("ord").alias("row"), "id", S.mask("seq").alias("seq"))
+    T.write_fasta(T.with_row_order(rows, "grp", "row"), path, single=True)
+    back = T.read_fasta(spark, path, split_bytes=str(256 << 10)).select("ord", "id", F.md5(F.col("seq").cast("binary")).alias("digest"))
+    return relational.numbered(back, [], ["ord"], "place").drop("ord")
 
 
 # --- alignments, variants, identity ------------------------------------------------------------------------------
@@ -536,6 +533,21 @@ def vcf_text(spark, d):
     return variants.vcf_lines(variants.variant_sites(B.alignment(spark, d)))
 
 
+@query(
+    f"""WITH {_SITES}, mk2 AS (SELECT grp, ord, id, is_ref, regexp_replace(seq, '[^ACGT-]', 'N', 'g') AS s FROM msa), ns AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY ord) AS k FROM mk2 WHERE NOT is_ref),
+st AS (SELECT grp, pos, ref, coalesce(list_sort(list(DISTINCT alt) FILTER (WHERE alt <> 'N')), []) AS alts FROM e GROUP BY grp, pos, ref),
+ge AS (SELECT st.grp, pos, ref, alts, string_agg(CASE WHEN substr(ns.s, pos, 1) IN (ref, '-', '') THEN '0' WHEN substr(ns.s, pos, 1) = 'N' THEN '.' ELSE CAST(list_position(alts, substr(ns.s, pos, 1)) AS VARCHAR) END, chr(9) ORDER BY k) AS g
+  FROM st JOIN ns ON ns.grp = st.grp GROUP BY st.grp, pos, ref, alts),
+hd AS (SELECT grp, string_agg(id, chr(9) ORDER BY k) AS ids FROM ns GROUP BY grp)
+SELECT grp, CAST(pos AS BIGINT) AS ord, md5(concat_ws(chr(9), 'Reference', pos, ref || pos || al, ref, al, '.', '.', '.', 'GT', g)) AS digest FROM (SELECT *, CASE WHEN len(alts) = 0 THEN '.' ELSE array_to_string(alts, ',') END AS al FROM ge)
+UNION ALL SELECT grp, -4, md5('##fileformat=VCFv4.2') FROM hd UNION ALL SELECT grp, -3, md5('##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">') FROM hd UNION ALL SELECT grp, -2, md5('##contig=<ID=Reference>') FROM hd
+UNION ALL SELECT grp, -1, md5(concat_ws(chr(9), '#CHROM', 'POS', 'ID', 'REF', 'ALT', 'QUAL', 'FILTER', 'INFO', 'FORMAT', ids)) FROM hd"""
+)
+def vcf_documents(spark, d):
+    """Whole VCF documents, a digest per line, with a genotype for every sample."""
+    return variants.vcf_document(B.alignment(spark, d)).select("grp", "ord", F.md5(F.col("line").cast("binary")).alias("digest"))
+
+
 @query("SELECT c_custkey AS id FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 300000")
 def customers_without_large_orders(spark, d):
     """J1, X2 where some ids do lack a partner."""
@@ -574,10 +586,33 @@ def first_rows(spark, d):
     return rows.orderBy(F.desc("l_extendedprice"), "l_orderkey", "l_linenumber").limit(10)
 
 
-@query("SELECT 0 AS grp, 4 AS min_start, 93 AS max_end")
+@query(
+    """WITH f AS (SELECT l_orderkey AS grp, l_linenumber % 3 AS kind, l_partkey % 900 + 1 AS s, l_partkey % 900 + 1 + l_suppkey % 300 AS e FROM lineitem)
+SELECT grp, CAST(min(s) AS INT) AS min_start, CAST(max(e) AS INT) AS max_end FROM f WHERE kind < 2 GROUP BY grp"""
+)
 def feature_spans(spark, d):
-    """From the first to the last base of a region's features."""
-    return curate.feature_span(T.parse_gff(B.gene_features(spark)).withColumn("grp", F.lit(0)))
+    """From the first to the last base of each region's genes and coding parts, from GFF lines."""
+    li = B.table(spark, d, "lineitem")
+    start = F.col("l_partkey") % 900 + 1
+    kind = F.when(F.col("l_linenumber") % 3 == 0, "gene").when(F.col("l_linenumber") % 3 == 1, "CDS").otherwise("exon")
+    line = F.concat_ws("\t", F.lit("seg"), F.lit("x"), kind, start.cast("string"), (start + F.col("l_suppkey") % 300).cast("string"), F.lit("."), F.lit("+"), F.lit("0"), F.concat(F.lit("ID=f"), F.col("l_linenumber").cast("string")))
+    feats = T.parse_gff(li.select(F.struct("l_orderkey", "l_linenumber").alias("ord"), line.alias("line")))
+    return curate.feature_span(feats.withColumn("grp", F.col("ord.l_orderkey")))
+
+
+@query(
+    """WITH v AS (SELECT c_custkey AS k, t, CASE WHEN (c_custkey + t) % 3 = 0 THEN 'A' WHEN c_custkey * t % 2 = 0 THEN 'C' ELSE 'G' END AS base FROM customer, range(5) r(t)),
+w AS (SELECT k, base, row_number() OVER (PARTITION BY k ORDER BY count(*) DESC, min(t)) AS rn FROM v GROUP BY k, base), s AS (SELECT k, repeat('A', CAST(k % 50 AS INT)) || base || repeat('A', CAST(59 - k % 50 AS INT)) AS seq FROM w WHERE rn = 1)
+SELECT CAST(row_number() OVER (ORDER BY k <> 1, 'c' || k) AS INT) AS ord, 'c' || k AS leaf, seq FROM s"""
+)
+def consensus_from_differences(spark, d):
+    """The consensus of five trees from their leaves' differences, in order, the reference first."""
+    k = F.col("c_custkey")
+    base = F.when((k + F.col("tree")) % 3 == 0, "A").when(k * F.col("tree") % 2 == 0, "C").otherwise("G")
+    rows = B.table(spark, d, "customer").select(k, F.explode(F.sequence(F.lit(0), F.lit(4))).alias("tree")).withColumn("alt", base)
+    one = F.array(F.struct(F.lit("A").alias("ref"), (k % 50 + 1).cast("int").alias("pos"), F.col("alt").alias("alt")))
+    leaves = rows.select(F.concat(F.lit("c"), k.cast("string")).alias("leaf"), "tree", F.filter(one, lambda m: m["alt"] != "A").alias("muts"))
+    return variants.ordered_consensus(variants.consensus_differences(leaves), "c1", "A" * 60)
 
 
 _VOTES = f"""c AS (SELECT conv_id AS leaf, turn, translate(text, '{B.ALPHABET}', '{B.BASES_OF}') AS s FROM conversations WHERE text IS NOT NULL),
@@ -615,6 +650,30 @@ def seeded_permutations(spark, d):
     return relational.permute(B.alignment(spark, d).select("grp", "id", "is_ref"), 10, "id", "is_ref", ["grp"]).select("grp", "seed", "new_ord", "id")
 
 
+@query(
+    f"""WITH {B.ALIGNMENT}, g AS (SELECT grp, count(*) AS n FROM msa GROUP BY grp), s AS (SELECT CAST(unnest(range(10)) AS INT) AS seed)
+SELECT grp, seed, n AS n_rows, n AS n_ids, 1 AS first_place, CAST(n AS INT) AS last_place, 1 AS reference_place, CAST(n * (n + 1) // 2 AS BIGINT) AS places, true AS differs FROM g, s"""
+)
+def permutation_invariants(spark, d):
+    """Each seed's order holds every row once, places 1 to n, the reference on top, and no two seeds agree."""
+    p = relational.permute(B.alignment(spark, d).select("grp", "id", "is_ref"), 10, "id", "is_ref", ["grp"])
+    rows = p.groupBy("grp", "seed").agg(
+        F.count("*").alias("n_rows"), F.countDistinct("id").alias("n_ids"), F.min("new_ord").alias("first_place"), F.max("new_ord").alias("last_place"),
+        F.min(F.when(F.col("is_ref"), F.col("new_ord"))).alias("reference_place"), F.sum("new_ord").alias("places"), F.bit_xor(F.xxhash64("id", "new_ord")).alias("mark"),
+    )
+    marks = rows.groupBy("grp").agg((F.countDistinct("mark") == F.count("*")).alias("differs"))
+    return rows.drop("mark").join(marks, "grp")
+
+
+@query(f"WITH {B.ALIGNMENT} SELECT grp, least(count(*) FILTER (WHERE NOT is_ref), 1000) AS n_drawn, count(*) FILTER (WHERE is_ref) AS n_references, true AS all_there FROM msa GROUP BY grp")
+def sample_invariants(spark, d):
+    """Up to 1000 rows of each group beside the reference, all of them rows of the alignment."""
+    rows = B.alignment(spark, d).select("grp", "id", "is_ref")
+    drawn = relational.sample_rows(rows, 1000, "id", "is_ref", ["grp"])
+    known = drawn.join(rows.select("grp", "id").withColumn("_there", F.lit(True)), ["grp", "id"], "left")
+    return known.groupBy("grp").agg(F.count_if(~F.col("is_ref")).alias("n_drawn"), F.count_if("is_ref").alias("n_references"), F.bool_and(F.coalesce("_there", F.lit(False))).alias("all_there"))
+
+
 @query()
 def identity_sample(spark, d):
     """Up to 1000 rows of each group beside the reference, a sampling operator."""
@@ -906,13 +965,16 @@ def merged_trees(spark, d):
 
 
 @query(
-    """WITH c AS (SELECT seg, sub, CASE WHEN sub <> 'H9' AND NOT (seg = 'NS') THEN 'acc_' || seg || '_' || sub END AS accession FROM (VALUES ('HA','H1'),('HA','H9'),('NA','N1'),('PB2','all'),('NS','all')) t(seg, sub))
-SELECT seg AS segment, sub AS grp, accession, CASE WHEN seg = 'HA' THEN 'root1' ELSE '' END AS root FROM c WHERE accession IS NOT NULL"""
+    f"""WITH {B.RECORDS}, c AS (SELECT segment, grp, count(DISTINCT id) AS n FROM grouped WHERE NOT malformed AND grp IS NOT NULL GROUP BY ALL)
+SELECT segment, grp, 'acc_' || segment || '_' || grp AS accession, CASE WHEN segment = 'HA' AND grp IN ('H1', 'H3') THEN 'root_' || grp ELSE '' END AS root, n FROM c
+WHERE (segment = 'HA' AND grp IN ('H1', 'H3', 'H5')) OR (segment = 'NA' AND grp IN ('N1', 'N2')) OR segment IN ('PB2', 'PB1')"""
 )
 def configured_groups(spark, d):
-    """Configured combinations that have an accession, with their new root."""
-    config = T.Config(segments=["PB2", "HA", "NA", "NS"], ha_subtypes=["H1", "H9"], na_subtypes=["N1"], references={"HA_H1": "acc_HA_H1", "NA_N1": "acc_NA_N1", "PB2_all": "acc_PB2_all"}, reroot={"HA_H1": "root1"})
-    return T.lookup(T.combinations(spark, config), config.reroot, "root").drop("ord")
+    """The records' groups that are configured and have an accession, with their new root; H9 and NS have none."""
+    names = ["HA_H1", "HA_H3", "HA_H5", "NA_N1", "NA_N2", "PB2_all", "PB1_all"]
+    config = T.Config(segments=["PB2", "PB1", "HA", "NA", "NS"], ha_subtypes=["H1", "H3", "H5", "H9"], na_subtypes=["N1", "N2"], references={n: f"acc_{n}" for n in names}, reroot={"HA_H1": "root_H1", "HA_H3": "root_H3"})
+    counts = samples.parse_records(B.records(spark, d))[0].groupBy("segment", "grp").agg(F.count("*").alias("n"))
+    return T.lookup(counts.join(T.combinations(spark, config), ["segment", "grp"]), config.reroot, "root").select("segment", "grp", "accession", "root", "n")
 
 
 @query(

@@ -10,10 +10,10 @@ from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
+from ..operators.relational import numbered
 from ..operators.samples import METADATA_COLUMNS
 from .fasta import list_files, local_path, register
 
@@ -197,7 +197,5 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def with_row_order(df: DataFrame, *columns: str) -> DataFrame:
-    """df with ord: rows numbered by the columns."""
-    return df.withColumn("ord", F.row_number().over(W.orderBy(*columns)))
-
-
+    """df with ord: rows numbered by the columns, in ranges, not in one task."""
+    return numbered(df, [], columns)

@@ -1,4 +1,5 @@
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,3 +98,33 @@ def test_metadata_needs_its_columns(spark):
         samples.select_metadata(spark.range(1))
     with pytest.raises(ValueError, match="no valid dates"):
         samples.global_median_date(spark.createDataFrame([("2009",)], "collection_date string"))
+
+
+def test_numbering_in_ranges(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice(("a", "a", "a", "b", None)), i) for i in rng.sample(range(10_000), 500)]
+    df = spark.createDataFrame(rows, "grp string, x int").repartition(5)
+    want = sorted((g, x, 1 + sum(h == g and y < x for h, y in rows), sum(h == g for h, _ in rows)) for g, x in rows if g) + [(None, x, 1 + sum(h is None and y < x for h, y in rows), sum(h is None for h, _ in rows)) for g, x in sorted(rows, key=lambda r: r[1]) if g is None]
+    for d in (df, df.repartition(9, "x")):
+        got = [tuple(r) for r in relational.numbered(d, ["grp"], ["x"], "ord", "n").orderBy(F.col("grp").asc_nulls_last(), "x").collect()]
+        assert got == want
+    plain = relational.numbered(df.select("x"), [], [-F.col("x")]).orderBy("ord").collect()
+    assert [r.x for r in plain] == sorted((x for _, x in rows), reverse=True) and [r.ord for r in plain] == list(range(1, 501))
+    assert relational.numbered(df.where("false"), ["grp"], ["x"]).count() == 0
+
+
+def test_samples_are_cut_before_the_shuffle(spark):
+    df = spark.range(3000).select((F.col("id") % 2).alias("grp"), F.col("id").cast("string").alias("id"), (F.col("id") < 2).alias("is_ref")).repartition(4)
+    drawn = relational.sample_rows(df, 10, "id", "is_ref", ["grp"])
+    assert {(r.grp, r.n) for r in drawn.groupBy("grp").agg(F.count("*").alias("n")).collect()} == {(0, 11), (1, 11)}
+    assert sorted(map(tuple, drawn.collect())) == sorted(map(tuple, relational.sample_rows(df.repartition(3), 10, "id", "is_ref", ["grp"]).collect()))
+    plan = drawn._jdf.queryExecution().executedPlan().toString()
+    assert "Partial" in plan[plan.index("WindowGroupLimit") :]
+
+
+def test_points_in_intervals(spark):
+    rng = random.Random(2)
+    points = [(rng.randrange(3), rng.randrange(-50, 900)) for _ in range(300)]
+    spans = [(rng.randrange(3), k, a := rng.randrange(-50, 900), a + rng.randrange(-3, 400)) for k in range(60)]
+    got = relational.interval_join(spark.createDataFrame(points, "grp int, pos int"), spark.createDataFrame(spans, "grp int, k int, start int, end int"), ["grp"], width=64)
+    assert sorted((r.grp, r.pos, r.k) for r in got.collect()) == sorted((g, x, k) for g, x in points for h, k, a, b in spans if g == h and a <= x < b)
