@@ -6,6 +6,7 @@ First-wins and order-dependent results always follow an explicit order column.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -43,6 +44,47 @@ def upper_median(column: str) -> Column:
     return F.date_from_unix_date(F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY unix_date(`{column}`) DESC)").cast("int"))
 
 
+def interpolated_median(df: DataFrame, by: Sequence[str], value: str, cuts: int = 256) -> DataFrame:
+    """(by, median): the exact interpolated median of each group; nulls and NaN are left out.
+
+    Both middle values are found in passes: a quantile sketch of the values that
+    are left proposes a short range about the rank, then the values below, at,
+    within and beyond its ends are counted exactly, and the part that holds the
+    rank is left.  Sketches and counts are merged, so no task holds a group's
+    values; every pass leaves about one value in `cuts`.
+    """
+    by = list(by)
+    rows = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    rows = materialize(rows, "median-values")
+    ends = rows.groupBy(*by).agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    ranks = F.explode(F.array_distinct(F.array(F.expr("(_n - 1) div 2"), F.expr("_n div 2")))).alias("_rank")
+    todo = materialize(ends.select(*by, ranks, F.lit(0).cast("long").alias("_below"), "_n", "_lo", "_hi"), "median-ranks")
+    found = [todo.where("_lo = _hi")]
+
+    def within(target: DataFrame, *columns: str) -> DataFrame:
+        """The values within each target's range, with the target's columns."""
+        there = target.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(by)], "_rank", "_lo", "_hi", *columns)
+        same = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
+        for i, c in enumerate(by):
+            same = same & F.col(c).eqNullSafe(F.col(f"_b{i}"))
+        return rows.join(there, same)
+
+    while True:
+        todo = todo.where("_lo < _hi")
+        if todo.isEmpty():
+            break
+        sketch = within(todo, "_below", "_n").groupBy(*by, "_rank", "_below", "_n", "_lo", "_hi").agg(F.percentile_approx("_v", [i / cuts for i in range(cuts + 1)], 10 * cuts).alias("_c"))
+        at = F.floor((F.col("_rank") - F.col("_below") + 0.5) / F.col("_n") * cuts).cast("int")
+        sketch = materialize(sketch.select(*by, "_rank", "_below", "_lo", "_hi", F.get("_c", at).alias("_from"), F.get("_c", at + 1).alias("_to")), "median-ranges")
+        part = F.when(F.col("_v") < F.col("_from"), 0).when(F.col("_v") == F.col("_from"), 1).when(F.col("_v") < F.col("_to"), 2).when(F.col("_v") == F.col("_to"), 3).otherwise(4)
+        counts = within(sketch, "_below", "_from", "_to").groupBy(*by, "_rank", "_below", part.alias("_part")).agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        before = F.col("_below") + F.sum("_n").over(W.partitionBy(*by, "_rank").orderBy("_part")) - F.col("_n")
+        placed = counts.withColumn("_start", before).where((F.col("_start") <= F.col("_rank")) & (F.col("_rank") < F.col("_start") + F.col("_n")))
+        todo = materialize(placed.select(*by, "_rank", F.col("_start").alias("_below"), "_n", "_lo", "_hi"), "median-ranks")
+        found.append(todo.where("_lo = _hi"))
+    return reduce(DataFrame.unionByName, found).groupBy(*by).agg((F.min("_lo") / 2 + F.max("_lo") / 2).alias("median"))
+
+
 def top_k(df: DataFrame, k: int, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first k rows of each group in the order."""
     w = W.partitionBy(*by).orderBy(*order)

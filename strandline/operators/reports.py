@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions import metadata as M
 from ..functions import sequence as S
-from .relational import dense_counts, top_k, upper_median, value_counts
+from ..plans.scratch import materialize
+from .relational import dense_counts, interpolated_median, top_k, upper_median, value_counts
+from .variants import with_reference
 
 
 def composition(msa: DataFrame, meta: DataFrame, column: str, values: Sequence[str], by: Sequence[str] = ("grp",)) -> DataFrame:
@@ -37,11 +39,14 @@ def temporal_summary(msa: DataFrame, meta: DataFrame, by: Sequence[str] = ("grp"
 def identity(msa: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
     """(by, id, identity): per cent of the reference's positions, per row beside the reference."""
     ref = msa.where("is_ref").select(*by, F.col("seq").alias("_ref"))
-    return msa.where(~F.col("is_ref")).join(ref, list(by)).select(*by, "id", S.identity_pct("seq", "_ref").alias("identity"))
+    return with_reference(msa.where(~F.col("is_ref")), ref, by, "_ref").select(*by, "id", S.identity_pct("seq", "_ref").alias("identity"))
 
 
 def identity_summary(identities: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
-    return identities.groupBy(*by).agg(F.count("*").alias("n"), F.expr("percentile(identity, 0.5)").alias("median_identity"))
+    """(by, n, median_identity): rows of each group and their exact interpolated median."""
+    rows = materialize(identities.select(*by, "identity"), "identities")
+    medians = interpolated_median(rows, by, "identity").withColumnRenamed("median", "median_identity")
+    return rows.groupBy(*by).agg(F.count("*").alias("n")).join(medians, list(by), "left")
 
 
 def host_subtypes(meta: DataFrame, hosts: Sequence[str], k: int = 10) -> DataFrame:

@@ -1,5 +1,6 @@
 import datetime
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -128,3 +129,19 @@ def test_points_in_intervals(spark):
     spans = [(rng.randrange(3), k, a := rng.randrange(-50, 900), a + rng.randrange(-3, 400)) for k in range(60)]
     got = relational.interval_join(spark.createDataFrame(points, "grp int, pos int"), spark.createDataFrame(spans, "grp int, k int, start int, end int"), ["grp"], width=64)
     assert sorted((r.grp, r.pos, r.k) for r in got.collect()) == sorted((g, x, k) for g, x in points for h, k, a, b in spans if g == h and a <= x < b)
+
+
+def test_exact_medians(spark):
+    rng = random.Random(13)
+    groups = {
+        "even": [rng.random() for _ in range(500)], "odd": [rng.gauss(0, 1e6) for _ in range(301)], "one": [4.25], "hot": [1.5] * 400 + [rng.random() for _ in range(99)], "wide": [rng.choice((-1, 1)) * 10.0 ** rng.randrange(-300, 300) for _ in range(400)],
+        "two": [1.0, 2.0], None: [3.0, 1.0, 2.0, 10.0], "far": [-1.7e308, 1.7e308, 0.0],
+    }
+    rows = [(g, v) for g, vs in groups.items() for v in vs] + [("even", None), ("odd", float("nan")), ("nothing", None)]
+    rng.shuffle(rows)
+    got = {r.grp: r.median for r in relational.interpolated_median(spark.createDataFrame(rows, "grp string, v double"), ["grp"], "v").collect()}
+    assert got.keys() == groups.keys()
+    for g, vs in groups.items():
+        assert got[g] == pytest.approx(statistics.median(vs), rel=1e-12), g
+    plain = relational.interpolated_median(spark.createDataFrame([(v,) for v in groups["even"]], "v double"), [], "v").first()
+    assert plain.median == pytest.approx(statistics.median(groups["even"]))
