@@ -427,6 +427,101 @@ def split_fasta(spark, d):
     return relational.numbered(back, [], ["ord"], "place").drop("ord")
 
 
+_WALK = B.TREE + """, w AS (SELECT c.node, concat_ws(' ', 'root:', r.node || ':' || r.mut, n.node || ':' || n.mut, c.node || ':' || c.mut) AS path, r.node AS rn, n.node AS nn
+  FROM edges c JOIN edges n ON n.node = c.parent JOIN edges r ON r.node = n.parent WHERE c.depth = 3)"""
+
+
+def _report_lines(spark, d) -> DataFrame:
+    """GFF lines, one per line item: genes, coding parts and others, with a name, an id only, or neither."""
+    li = B.table(spark, d, "lineitem")
+    k, start = F.col("l_orderkey") * 10 + F.col("l_linenumber"), F.col("l_partkey") % 900 + 20
+    kind = F.when(F.col("l_linenumber") % 3 == 0, "gene").when(F.col("l_linenumber") % 3 == 1, "CDS").otherwise("exon")
+    attrs = F.when(k % 4 == 0, F.concat(F.lit("ID=f"), k.cast("string"), F.lit(";Name=N"), (k % 7).cast("string"))).when(k % 4 == 1, F.concat(F.lit("ID=f"), k.cast("string"))).otherwise("note=x")
+    line = F.concat_ws("\t", F.lit("seg"), F.lit("x"), kind, start.cast("string"), (start + F.col("l_suppkey") % 300).cast("string"), F.lit("."), F.lit("+"), F.lit("0"), attrs)
+    return li.select(k.cast("long").alias("ord"), F.when(k % 11 == 0, F.lit("not a line")).otherwise(line).alias("line"))
+
+
+_REPORT_SQL = """fl AS (SELECT l_orderkey * 10 + l_linenumber AS k, CASE l_linenumber % 3 WHEN 0 THEN 'gene' WHEN 1 THEN 'CDS' END AS kind, l_partkey % 900 + 20 AS s, l_partkey % 900 + 20 + l_suppkey % 300 AS e FROM lineitem),
+ft AS (SELECT *, CASE WHEN k % 4 = 0 THEN 'ID=f' || k || ';Name=N' || k % 7 WHEN k % 4 = 1 THEN 'ID=f' || k ELSE 'note=x' END AS a, CASE WHEN k % 4 < 2 THEN 'f' || k ELSE '' END AS id,
+  CASE k % 4 WHEN 0 THEN 'N' || k % 7 WHEN 1 THEN 'f' || k ELSE kind || '_feature' END AS name FROM fl WHERE kind IS NOT NULL AND k % 11 <> 0), fm AS (SELECT min(s) AS m, max(e) AS x FROM ft)"""
+
+
+@query(f"WITH {_REPORT_SQL} SELECT k AS ord, kind AS type, CAST(s AS INT) AS start, CAST(e AS INT) AS 'end', id, name FROM ft")
+def gff_features(spark, d):
+    """Gene and coding lines; the name falls back to the id, then to the type."""
+    f = T.parse_gff(_report_lines(spark, d))
+    return f.select("ord", "type", "start", "end", F.coalesce("id", F.lit("")).alias("id"), "name")
+
+
+@query(
+    f"""WITH {_REPORT_SQL} SELECT 'gff' AS form, k + 2 AS ord, concat_ws(chr(9), 'Reference', 'Curated', kind, s - m + 1, e - m + 1, '.', '+', '0', a) AS line FROM ft, fm
+UNION ALL SELECT 'gff', -2, '##gff-version 3' UNION ALL SELECT 'gff', -1, '##sequence-region Reference 1 ' || (x - m + 1) FROM fm
+UNION ALL SELECT 'gtf', k, concat_ws(chr(9), 'Reference', 'Curated', kind, s - m + 1, e - m + 1, '.', '+', '0',
+  'gene_id "' || g || '"; transcript_id "' || g || '_transcript"; gene_name "' || name || '";') FROM (SELECT *, CASE WHEN id <> '' THEN id ELSE name END AS g FROM ft), fm"""
+)
+def shifted_annotations(spark, d):
+    """K4, K5, C14: GFF3 and GTF text whose coordinates begin with the first feature."""
+    f = T.parse_gff(_report_lines(spark, d))
+    first = f.agg(F.min("start")).first()[0] or 1
+    return curate.shifted_gff(f, first).select(F.lit("gff").alias("form"), "ord", "line").unionByName(curate.shifted_gtf(f, first).select(F.lit("gtf").alias("form"), "ord", "line"))
+
+
+@query(f"WITH {B.RAW_METADATA} SELECT isolate_id, isolate_name, subtype, clade, nullif(location, '') AS location, host, collection_date FROM raw_meta")
+def metadata_files(spark, d):
+    """Raw metadata written as CSV and read back, texts for missing values as null."""
+    path = scratch_path(spark, "metadata-csv")
+    rows = samples.select_metadata(B.raw_metadata(spark, d))
+    T.write_csv(rows.select("isolate_id", "isolate_name", "subtype", "clade", "location", F.coalesce("host", F.lit("NA")).alias("host"), F.regexp_replace("collection_date", "^$", "N/A").alias("collection_date")), path)
+    return T.read_metadata(spark, path).drop("ord")
+
+
+@query("""WITH i AS (SELECT 's' || l_orderkey AS id, l_linenumber * 3 AS pos, substr('ACGTACGTA', 1, l_linenumber) AS nucs FROM lineitem WHERE l_orderkey % 4 <> 0)
+SELECT id, string_agg(pos || ':' || nucs, ',' ORDER BY pos DESC, nucs DESC) AS ins FROM i GROUP BY id""")
+def insertion_reports(spark, d):
+    """Alignment reports written as tab-separated text and read back; rows without insertions don't count."""
+    path = scratch_path(spark, "insertion-report")
+    text = F.when(F.col("l_orderkey") % 4 != 0, F.col("text"))
+    _insertions(spark, d).select(F.concat(F.lit("s."), F.col("l_orderkey").cast("string")).alias("seqName"), text.alias("insertions")).write.option("header", True).option("sep", "\t").csv(path)
+    return T.read_insertions(spark, path).select("id", F.array_join(F.transform("ins", lambda x: F.concat_ws(":", x["pos"].cast("string"), x["nucs"])), ",").alias("ins"))
+
+
+@query(f"WITH {_WALK} SELECT node AS \"sample\", path FROM w")
+def path_files(spark, d):
+    """Mutation paths written as text, with lines of another form among them, and read back."""
+    path = scratch_path(spark, "paths")
+    rows = mutation_paths(spark, d)
+    lines = rows.select(F.concat_ws("\t", "node", "path").alias("line")).unionByName(rows.select(F.concat(F.lit("# "), F.col("node")).alias("line")))
+    T.write_lines(lines, path, order=None)
+    return T.read_paths(spark, path).select("sample", "path")
+
+
+@query(f"WITH {B.LOGS} SELECT split_part(label, '_', 1) AS segment, split_part(label, '_', 2) AS grp, count(*) AS n FROM labelled GROUP BY label")
+def log_files(spark, d):
+    """Log texts written under segment and group, read back by a glob, with the keys from their paths."""
+    path = scratch_path(spark, "logs")
+    rows = B.logs(spark, d).select(F.split_part("label", F.lit("_"), F.lit(1)).alias("segment"), F.split_part("label", F.lit("_"), F.lit(2)).alias("grp"), F.translate("text", "\n", " ").alias("value"))
+    rows.write.partitionBy("segment", "grp").text(path)
+    back = T.read_logs(spark, f"{path}/*/*/*.txt")
+    key = lambda c: F.regexp_replace(c, "^[^=]*=", "").alias(c)
+    return back.select(key("segment"), key("grp"), F.explode(F.split("text", "\n")).alias("line")).where("trim(line) <> ''").groupBy("segment", "grp").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {B.ALIGNMENT}, r AS (SELECT grp, replace(seq, '-', 'A') AS ref FROM msa WHERE is_ref) SELECT id, md5(array_to_string(list_transform(list_zip(string_split(seq, ''), string_split(ref, '')), lambda z: CASE WHEN z[1] = '-' THEN coalesce(z[2], '') ELSE coalesce(z[1], '') END), '')) AS digest FROM msa JOIN r USING (grp) WHERE length(ref) <= length(seq)")
+def gap_filled(spark, d):
+    """Gaps of whole sequences filled from their group's reference."""
+    msa = B.alignment(spark, d)
+    ref = msa.where("is_ref").select("grp", F.replace("seq", F.lit("-"), F.lit("A")).alias("_ref"))
+    rows = variants.with_reference(msa, ref, ["grp"], "_ref").where("length(_ref) <= length(seq)")
+    return rows.select("id", F.md5(S.fill_gaps("seq", "_ref").cast("binary")).alias("digest"))
+
+
+@query(f"WITH {B.TREE} SELECT node, CASE WHEN mut = '' THEN repeat('A', 60) ELSE substr(repeat('A', 60), 1, p - 1) || right(mut, 1) || substr(repeat('A', 60), p + 1) END AS seq, CASE WHEN mut = '' OR left(mut, 1) = 'A' THEN 0 ELSE 1 END AS n_mismatched FROM (SELECT *, CAST(nullif(substr(mut, 2, length(mut) - 2), '') AS INT) AS p FROM edges WHERE depth = 3)")
+def leaf_haplotypes(spark, d):
+    """leaves' sequences from their differences, and mutations that don't name the reference's base."""
+    leaves = B.tree(spark, d).where(F.col("node").startswith("c")).select("node", "muts")
+    return variants.leaf_haplotypes(leaves, "A" * 60).drop("muts")
+
+
 # --- alignments, variants, identity ------------------------------------------------------------------------------
 
 
@@ -718,10 +813,6 @@ def tree_count_magnitudes(spark, d):
 
 # --- trees -------------------------------------------------------------------------------------------------------
 
-_WALK = B.TREE + """, w AS (SELECT c.node, concat_ws(' ', 'root:', r.node || ':' || r.mut, n.node || ':' || n.mut, c.node || ':' || c.mut) AS path, r.node AS rn, n.node AS nn
-  FROM edges c JOIN edges n ON n.node = c.parent JOIN edges r ON r.node = n.parent WHERE c.depth = 3)"""
-
-
 @query(f"WITH {_WALK} SELECT node, path FROM w")
 def mutation_paths(spark, d):
     """The path of every leaf."""

@@ -193,7 +193,8 @@ def write_lines(df: DataFrame, path: str, line: str = "line", order: str | None
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header; blanks at the ends of values stay."""
+    df.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def with_row_order(df: DataFrame, *columns: str) -> DataFrame:
