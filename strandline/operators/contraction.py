@@ -81,7 +81,7 @@ def subtree_costs(rows: DataFrame, by: Sequence[str], n: int) -> DataFrame:
     kids = rows.where("parent is not null").groupBy(*by, F.col("parent").alias("node")).agg(F.count("*").cast("int").alias("open"))
     live = rows.join(kids, [*by, "node"], "left").select(*by, "node", "parent", "base", F.coalesce("open", F.lit(0)).alias("open"), F.lit(None).cast("array<int>").alias("edge"))
     live = materialize(live, "contract")
-    finished, chains = [], []
+    finished, chains, stored = [], [], [live]
     while True:
         tips = live.where("open = 0")
         finished.append(tips.select(*by, "node", F.col("base").alias("cost")))
@@ -89,14 +89,19 @@ def subtree_costs(rows: DataFrame, by: Sequence[str], n: int) -> DataFrame:
         sums = given.groupBy(*by, "node").agg(F.count("*").cast("int").alias("_k"), F.array(*[F.sum(at("_g", i)).cast("int") for i in range(n)]).alias("_sum"))
         left = live.where("open > 0").join(sums, [*by, "node"], "left")
         left = materialize(left.select(*by, "node", "parent", F.when(F.col("_k").isNull(), F.col("base")).otherwise(add("base", "_sum", n)).alias("base"), (F.col("open") - F.coalesce("_k", F.lit(0))).alias("open"), "edge"), "contract")
+        stored.append(left)
         some, single = left.agg(F.count("*"), F.count_if(F.col("open") == 1)).first()
         if not some:
             break
         live = _compress(left, by, n, chains) if single else left
+        stored.append(live)
     done = materialize(reduce(DataFrame.unionByName, finished), "costs")
+    discard(*stored)
     for chain in reversed(chains):
         ends = done.select(*by, F.col("node").alias("to"), "cost")
-        done = materialize(done.unionByName(chain.join(ends, [*by, "to"]).select(*by, "node", apply("map", "cost", n).alias("cost"))), "costs")
+        more = materialize(done.unionByName(chain.join(ends, [*by, "to"]).select(*by, "node", apply("map", "cost", n).alias("cost"))), "costs")
+        discard(done)
+        done = more
     return done
 
 

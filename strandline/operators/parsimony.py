@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.scratch import materialize
+from ..plans.scratch import discard, materialize
 from .contraction import add, apply, at, follow, gift, subtree_costs, times
 
 INF = 1_000_000
@@ -83,9 +83,13 @@ def ancestors(edges: DataFrame, marked: DataFrame, keep: Sequence[str]) -> DataF
     jumps = materialize(edges.where("parent is not null").select("tree_id", "node", F.col("parent").alias("jump")), "jumps")
     while True:
         up = found.join(jumps, ["tree_id", "node"]).select("tree_id", F.col("jump").alias("node"), *keep)
-        found = materialize(found.unionByName(up).distinct(), "ancestors")
+        more = materialize(found.unionByName(up).distinct(), "ancestors")
+        discard(found)
+        found = more
         far = jumps.select("tree_id", F.col("node").alias("jump"), F.col("jump").alias("_far"))
-        jumps = materialize(jumps.join(far, ["tree_id", "jump"]).select("tree_id", "node", F.col("_far").alias("jump")), "jumps")
+        longer = materialize(jumps.join(far, ["tree_id", "jump"]).select("tree_id", "node", F.col("_far").alias("jump")), "jumps")
+        discard(jumps)
+        jumps = longer
         if jumps.isEmpty():
             return found
 
