@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
@@ -23,24 +23,29 @@ def with_reference(rows: DataFrame, ref: DataFrame, by: Sequence[str], column: s
     return rows.join(F.broadcast(ref) if size <= REFERENCE_CHARS else ref, list(by))
 
 
-def _differences(seq: str, ref: str) -> Column:
-    """Structs (p from 0, ref, alt) where two sequences differ and neither has a gap."""
-    pairs = F.zip_with(F.split(seq, ""), F.split(ref, ""), lambda a, b: F.when((a != b) & (b != "-") & (a != "-"), F.struct(b.alias("ref"), a.alias("alt"))))
-    return F.filter(F.transform(pairs, lambda v, i: F.when(v.isNotNull(), F.struct(i.alias("p"), v["ref"].alias("ref"), v["alt"].alias("alt")))), lambda v: v.isNotNull())
+def differences(rows: DataFrame, keep: Sequence[str], seq: str = "seq", ref: str = "_ref") -> DataFrame:
+    """(keep, pos from 1, ref, alt): a row for each position at which two sequences differ and neither has a gap.
+
+    Positions are exploded and filtered within one generated stage, before
+    anything is shuffled.
+    """
+    pairs = F.arrays_zip(F.split(seq, "").alias("alt"), F.split(ref, "").alias("ref"))
+    each = rows.select(*keep, F.posexplode(pairs).alias("_p", "_v")).where("_v.alt <> _v.ref and _v.alt <> '-' and _v.ref <> '-'")
+    return each.select(*keep, (F.col("_p") + 1).alias("pos"), F.col("_v.ref").alias("ref"), F.col("_v.alt").alias("alt"))
 
 
 def variant_sites(msa: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
     """(by, pos, ref, alts, n_alt, n_missing): sites at which any row differs from its group's reference.
 
     msa: by, id, seq, is_ref.  Ambiguous characters are N and count as missing;
-    sites with nothing but N stay.  Only positions that differ are exploded, and
-    they are counted before the shuffle, which therefore grows with the
-    variation, not with the alignment; sequences stay where they are.
+    sites with nothing but N stay.  Only positions that differ are counted, before
+    the shuffle, which therefore grows with the variation, not with the
+    alignment; sequences stay where they are.
     """
     rows = msa.select(*by, "is_ref", S.mask("seq").alias("seq"))
     ref = rows.where("is_ref").select(*by, F.col("seq").alias("_ref"))
-    each = with_reference(rows.where(~F.col("is_ref")), ref, by, "_ref").select(*by, F.explode(_differences("seq", "_ref")).alias("v"))
-    votes = each.groupBy(*by, (F.col("v.p") + 1).alias("pos"), F.col("v.ref").alias("ref"), F.col("v.alt").alias("alt")).agg(F.count("*").alias("n"))
+    each = differences(with_reference(rows.where(~F.col("is_ref")), ref, by, "_ref"), by)
+    votes = each.groupBy(*by, "pos", "ref", "alt").agg(F.count("*").alias("n"))
     alts = F.array_join(F.sort_array(F.collect_set(F.when(F.col("alt") != "N", F.col("alt")))), ",")
     return votes.groupBy(*by, "pos", "ref").agg(alts.alias("alts"), F.coalesce(F.sum(F.when(F.col("alt") != "N", F.col("n"))), F.lit(0)).alias("n_alt"), F.coalesce(F.sum(F.when(F.col("alt") == "N", F.col("n"))), F.lit(0)).alias("n_missing"))
 
@@ -59,8 +64,8 @@ def calls(msa: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
     rows = msa.select(*by, "ord", "is_ref", S.mask("seq").alias("seq"))
     ref = rows.where("is_ref").select(*by, F.col("seq").alias("_ref"))
     samples = numbered(rows.where(~F.col("is_ref")).select(*by, "ord"), by, ["ord"], "sample")
-    each = with_reference(rows.where(~F.col("is_ref")), ref, by, "_ref").select(*by, "ord", F.explode(_differences("seq", "_ref")).alias("v"))
-    return each.join(samples, [*by, "ord"]).select(*by, (F.col("v.p") + 1).alias("pos"), F.col("v.ref").alias("ref"), "sample", F.col("v.alt").alias("alt"))
+    each = differences(with_reference(rows.where(~F.col("is_ref")), ref, by, "_ref"), [*by, "ord"])
+    return each.join(samples, [*by, "ord"]).select(*by, "pos", "ref", "sample", "alt")
 
 
 def vcf_document(msa: DataFrame, by: Sequence[str] = ("grp",), chrom: str = "Reference") -> DataFrame:
