@@ -218,7 +218,8 @@ class FastaRange(InputPartition):
         if self.kind == "none":
             with store.open_input_file(at) as f:
                 f.seek(self.start)
-                while piece := f.read(CHUNK):
+                size = CHUNK if self.end is None else min(CHUNK, max(self.end - self.start, 1 << 16))
+                while piece := f.read(size):
                     yield piece
         elif self.kind == "xz":
             with store.open_input_file(at) as f:
