@@ -83,8 +83,8 @@ def folded(line: Column) -> Column:
 
     The line's bytes are read as one character each and lower-cased: that folds
     A-Z, and of other letters' bytes only the leading ones, which the number of
-    bytes behind them still tells apart.  With translate() instead, hashing the
-    lines of 10,000 documents took 2.7 s, with this 1.5 s.
+    bytes behind them still tells apart.  Hashing the lines of 10,000 documents
+    takes 1.5 s; with translate(), and a sort by a lambda, it took 2.7 s.
     """
     return F.lower(F.decode(line.cast("binary"), "ISO-8859-1"))
 
