@@ -1,10 +1,12 @@
 """URL filters: host rules, and a path-template tree learnt per host.
 
-Variable path segments become wildcards, first by their form and then, where a
-node has too many children, by their labels; sibling branches whose labelled shares don't differ
-statistically are merged; a template is rejected where the smoothed purity of
-its branch is clearly below that of all labels.  Everything is DataFrame expressions over counts per
-distinct template, so a host with a third of all pages is a few rows.
+Variable path segments become wildcards by their form; sibling branches whose
+labelled shares don't differ statistically are merged; a template is rejected
+where the smoothed purity of its branch is clearly below that of all labels.
+Branches are grouped by one half of the labels and judged by the other, as the
+worst of many siblings would be bad by their choice alone.  Everything is
+DataFrame expressions over counts per distinct template, so a host with a third
+of all pages is a few rows.
 """
 
 from __future__ import annotations
@@ -21,18 +23,18 @@ from .common import LOWER, UPPER, materialize
 
 @dataclass(frozen=True)
 class TreeParams:
-    """max_children: a node with more gets so many wildcards at most: one for children with fewer than min_labels labels,
-    the others for equal bands of the smoothed bad share.  depth: deeper segments are one wildcard together.
+    """bins: siblings are sorted by smoothed bad share in so many steps, whatever their number, so what is folded of a node is bounded.
+    depth: deeper segments are one wildcard; there are no more levels than the longest path has.
 
     merge_z: a sibling whose bad share differs by less from that of the group
     before it joins the group.  prior_weight labels of the overall share are
-    added to each branch; one with at least min_labels is rejected where it is
-    certain, by reject_z standard deviations of its posterior, that its odds of
-    bad pages are over max_odds times the overall ones.
+    added to each branch; one with at least min_labels in the judging half is
+    rejected where it is certain, by reject_z standard deviations of its
+    posterior, that its odds of bad pages are over max_odds times the overall ones.
     """
 
-    max_children: int = 16
-    depth: int = 4
+    bins: int = 64
+    depth: int = 16
     merge_z: float = 1.96
     prior_weight: float = 10.0
     min_labels: int = 10
@@ -80,57 +82,69 @@ def shape(path: Column, depth: int) -> Column:
     return F.when(F.size(out) > depth, F.concat(F.slice(out, 1, depth), F.array(F.lit("**")))).otherwise(out)
 
 
-#: Labels and bad ones of the last group, its number, and the group of each sibling so far.
-_GROUPS = "struct<n:long,b:long,k:int,out:array<struct<_seg:string,_group:int>>>"
+#: Labels and bad ones of the last group, its number, and the bins so far with their groups, first and last names.
+_GROUPS = "struct<n:long,b:long,k:int,out:array<struct<_bin:int,_group:int,lo:string,hi:string>>>"
 
 
 def _grouped(a: Column, x: Column, p: TreeParams) -> Column:
-    """a after the sibling x: in the last group, or in a new one.  Without labels it stays with its neighbours, and isn't evidence."""
+    """a after the siblings of bin x: in the last group, or in a new one.  Without labels they stay with their neighbours, and aren't evidence."""
     n, b, k = F.coalesce(a["n"], F.lit(0)), F.coalesce(a["b"], F.lit(0)), F.coalesce(a["k"], F.lit(0))
     pooled = (b + x["b"] + 1) / (n + x["n"] + 2)
     at_least = lambda c: F.greatest(c, F.lit(1))
     z = (x["b"] / at_least(x["n"]) - b / at_least(n)) / F.sqrt(pooled * (1 - pooled) * (1 / at_least(x["n"]) + 1 / at_least(n)))
     new = F.coalesce((n > 0) & (x["n"] > 0) & (z > p.merge_z), F.lit(False))
     k = k + new.cast("int")
-    one = F.array(F.struct(x["seg"].alias("_seg"), k.alias("_group")))
+    one = F.array(F.struct(x["_bin"].alias("_bin"), k.alias("_group"), x["lo"].alias("lo"), x["hi"].alias("hi")))
     return F.struct(
         (F.when(new, 0).otherwise(n) + x["n"]).cast("long").alias("n"), (F.when(new, 0).otherwise(b) + x["b"]).cast("long").alias("b"), k.alias("k"),
         F.when(a.isNull(), one).otherwise(F.concat(a["out"], one)).alias("out"),
     ).cast(_GROUPS)
 
 
+def _branch(bins: Column, x: Column) -> Column:
+    """The name of x's group: its only segment, or the first and last one; bins are few."""
+    mine = F.filter(bins, lambda y: y["_group"] == x["_group"])
+    lo, hi = F.array_min(F.transform(mine, lambda y: y["lo"])), F.array_max(F.transform(mine, lambda y: y["hi"]))
+    return F.when(lo == hi, lo).otherwise(F.concat(F.lit("("), lo, F.lit("|..|"), hi, F.lit(")")))
+
+
 def build_tree(pages: DataFrame, p: TreeParams) -> DataFrame:
-    """pages: _host, _shape, _bad (0, 1 or null).  Returns (_host, _shape, template, n_labels, bad_share, rejected)."""
-    leaves = materialize(pages.groupBy("_host", "_shape").agg(F.count("*").alias("n"), F.count("_bad").alias("labels"), F.coalesce(F.sum("_bad"), F.lit(0)).alias("bad")), "url-shapes")
-    total = leaves.agg(F.sum("labels").alias("n"), F.sum("bad").alias("b")).first()
+    """pages: _host, _shape, _bad (0, 1 or null), _side (1: the label judges, 0: it groups).
+
+    Returns (_host, _shape, template, n_labels, bad_share, rejected), labels and share of the judging half.
+    """
+    n = lambda side: F.count(F.when(F.col("_side") == side, F.col("_bad")))
+    b = lambda side: F.coalesce(F.sum(F.when(F.col("_side") == side, F.col("_bad"))), F.lit(0))
+    leaves = pages.groupBy("_host", "_shape").agg(n(0).alias("n0"), b(0).alias("b0"), n(1).alias("n1"), b(1).alias("b1"))
+    tree = materialize(leaves.withColumn("_node", F.lit("")), "url-shapes")
+    total = tree.agg(F.sum(F.col("n0") + F.col("n1")).alias("n"), F.sum(F.col("b0") + F.col("b1")).alias("b"), F.max(F.size("_shape")).alias("levels")).first()
     prior = ((total["b"] or 0) + 0.5) / ((total["n"] or 0) + 1.0)
-    tree = leaves.withColumn("_node", F.lit(""))
-    for level in range(p.depth + 1):
+    for level in range(total["levels"] or 0):
         tree = tree.withColumn("_seg", F.when(F.size("_shape") > level, F.get("_shape", F.lit(level))))
-        # Children of each node, with what is below them.
-        kids = tree.where(F.col("_seg").isNotNull()).groupBy("_host", "_node", "_seg").agg(F.sum("labels").alias("labels"), F.sum("bad").alias("bad"))
-        # A node with too many children is counted before any window, so a hot node is a few partial sums.
-        many = kids.groupBy("_host", "_node").agg((F.count("*") > p.max_children).alias("_many"))
-        kids = kids.join(many, ["_host", "_node"])
-        share = (F.col("bad") + prior * p.prior_weight) / (F.col("labels") + p.prior_weight)
-        # There, children with too few labels are one wildcard, and the others one for each band of shares.
-        bands = p.max_children - 1
-        band = F.concat(F.lit("*"), F.least(F.floor(share * bands), F.lit(bands - 1)).cast("string")) if bands > 0 else F.lit("*")
-        wide = kids.where("_many").select("_host", "_node", "_seg", F.when(F.col("labels") < p.min_labels, "*").otherwise(band).alias("_branch"))
-        # Siblings by smoothed bad share; a new group starts where one differs clearly from the whole group before it.
-        few = kids.where(~F.col("_many")).groupBy("_host", "_node").agg(F.sort_array(F.collect_list(F.struct(share.alias("s"), F.col("_seg").alias("seg"), F.col("labels").alias("n"), F.col("bad").alias("b")))).alias("_kids"))  # max_children at most
-        few = few.select("_host", "_node", F.inline(F.aggregate("_kids", F.lit(None).cast(_GROUPS), lambda a, x: _grouped(a, x, p)).getField("out")))
-        names = few.groupBy("_host", "_node", "_group").agg(F.min("_seg").alias("_a"), F.max("_seg").alias("_z"), F.count("*").alias("_k"))
-        few = few.join(names, ["_host", "_node", "_group"]).select("_host", "_node", "_seg", F.when(F.col("_k") == 1, F.col("_a")).otherwise(F.concat(F.lit("("), F.col("_a"), F.lit("|..|"), F.col("_z"), F.lit(")"))).alias("_branch"))
-        tree = tree.join(wide.unionByName(few), ["_host", "_node", "_seg"], "left").withColumn("_node", F.when(F.col("_seg").isNull(), F.col("_node")).otherwise(F.concat("_node", F.lit("/"), "_branch"))).drop("_seg", "_branch")
+        # Children of each node with what is below them, and then bins of children, are counted before they meet, so a wide node is a few partial sums.
+        kids = tree.where(F.col("_seg").isNotNull()).groupBy("_host", "_node", "_seg").agg(F.sum("n0").alias("n"), F.sum("b0").alias("b"))
+        share = (F.col("b") + prior * p.prior_weight) / (F.col("n") + p.prior_weight)
+        kids = kids.withColumn("_bin", F.least(F.floor(share * p.bins), F.lit(p.bins - 1)).cast("int"))
+        bins = kids.groupBy("_host", "_node", "_bin").agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.min("_seg").alias("lo"), F.max("_seg").alias("hi"))
+        nodes = bins.groupBy("_host", "_node").agg(F.sort_array(F.collect_list(F.struct("_bin", "n", "b", "lo", "hi"))).alias("_bins"))  # p.bins at most
+        # By bad share; a new group starts where a bin differs clearly from the whole group before it.
+        nodes = nodes.select("_host", "_node", F.aggregate("_bins", F.lit(None).cast(_GROUPS), lambda a, x: _grouped(a, x, p)).getField("out").alias("_bins"))
+        nodes = nodes.select("_host", "_node", F.inline(F.transform("_bins", lambda x: F.struct(x["_bin"].alias("_bin"), _branch(F.col("_bins"), x).alias("_branch")))))
+        named = kids.join(nodes, ["_host", "_node", "_bin"]).select("_host", "_node", "_seg", "_branch")
+        tree = tree.join(named, ["_host", "_node", "_seg"], "left").withColumn("_node", F.when(F.col("_seg").isNull(), F.col("_node")).otherwise(F.concat("_node", F.lit("/"), "_branch"))).drop("_seg", "_branch")
         tree = materialize(tree, f"url-tree-{level}")
-    merged = tree.groupBy("_host", "_node").agg(F.sum("labels").alias("n_labels"), F.sum("bad").alias("_bad"))
+    merged = tree.groupBy("_host", "_node").agg(F.sum("n1").alias("n_labels"), F.sum("b1").alias("_bad"))
     merged = merged.withColumn("bad_share", (F.col("_bad") + prior * p.prior_weight) / (F.col("n_labels") + p.prior_weight))
     least = F.col("bad_share") - p.reject_z * F.sqrt(F.col("bad_share") * (1 - F.col("bad_share")) / (F.col("n_labels") + p.prior_weight + 1))
     merged = merged.withColumn("rejected", (F.col("n_labels") >= p.min_labels) & (least > p.max_odds * prior / (1 - prior + p.max_odds * prior)))
     return tree.join(merged, ["_host", "_node"]).select("_host", "_shape", F.col("_node").alias("template"), "n_labels", "bad_share", "rejected")
 
 
+def side_of(page: Column) -> Column:
+    """0 or 1: whether a page's label groups or judges."""
+    return F.pmod(F.xxhash64(page), F.lit(2)).cast("int")
+
+
 def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[Rule], p: TreeParams = TreeParams(), id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """id, host, path, rule, verdict and template of every row of pages.
 
@@ -138,13 +152,13 @@ def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[Rule], p: TreePar
     rows for one page the worst counts.  A null URL, or one without "://", has
     an empty host and path and belongs to the template of those.  Segments of
     over 40 characters are variable, so long URLs don't widen the tree; children
-    of equal shares are ordered by name.  Repeated rows
+    of equal shares are in one bin and merged.  Repeated rows
     are judged each, an empty table gives no rows, other columns aren't read.
     """
     lab = labels.groupBy(F.col(id_col).alias("_id")).agg(F.max("bad").cast("int").alias("_bad"))
     rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_u"))
     rows = rows.select("_id", F.coalesce(host_of(F.col("_u")), F.lit("")).alias("_host"), F.coalesce(path_of(F.col("_u")), F.lit("")).alias("_path")).withColumn("_shape", shape(F.col("_path"), p.depth))
-    tree = materialize(build_tree(rows.join(lab, "_id", "left").select("_host", "_shape", "_bad"), p), "url-templates")
+    tree = materialize(build_tree(rows.join(lab, "_id", "left").select("_host", "_shape", "_bad", side_of(F.col("_id")).alias("_side")), p), "url-templates")
     # Only rejected templates are joined back; Spark broadcasts that table below its size threshold, else AQE splits a hot host.
     out = rows.join(tree.where("rejected").select("_host", "_shape", "template", F.lit(True).alias("_no")), ["_host", "_shape"], "left")
     by_rule = rule_of(F.col("_host"), F.col("_path"), rules)

@@ -136,23 +136,24 @@ def host_verdicts(rows, z=3.0, max_odds=4.0, least=0.3):
 
 
 def url_tree(pages, p):
-    """Shapes whose template is rejected: pages are (host, shape, bad or None)."""
+    """Shapes whose template is rejected: pages are (host, shape, bad or None, side)."""
     leaves = {}
-    for host, shape, bad in pages:
-        c = leaves.setdefault((host, tuple(shape)), [0, 0])
-        c[0] += bad is not None
-        c[1] += bad or 0
-    prior = (sum(c[1] for c in leaves.values()) + 0.5) / (sum(c[0] for c in leaves.values()) + 1)
+    for host, shape, bad, side in pages:
+        c = leaves.setdefault((host, tuple(shape)), [[0, 0], [0, 0]])
+        c[side][0] += bad is not None
+        c[side][1] += bad or 0
+    every = [sum(c[side][i] for c in leaves.values() for side in (0, 1)) for i in (0, 1)]
+    prior = (every[1] + 0.5) / (every[0] + 1)
     rejected = set()
 
     def smooth(c):
         return (c[1] + prior * p.prior_weight) / (c[0] + p.prior_weight)
 
-    def total(keys):
-        return [sum(leaves[k][i] for k in keys) for i in (0, 1)]
+    def total(keys, side):
+        return [sum(leaves[k][side][i] for k in keys) for i in (0, 1)]
 
     def judge(keys):
-        c = total(keys)
+        c = total(keys, 1)
         s = smooth(c)
         if c[0] >= p.min_labels and s - p.reject_z * (s * (1 - s) / (c[0] + p.prior_weight + 1)) ** 0.5 > p.max_odds * prior / (1 - prior + p.max_odds * prior):
             rejected.update(keys)
@@ -165,22 +166,18 @@ def url_tree(pages, p):
         for k in keys:
             if len(k[1]) > level:
                 kids.setdefault(k[1][level], []).append(k)
-        groups = {}
-        if len(kids) > p.max_children:
-            for v in kids.values():
-                c = total(v)
-                bands = p.max_children - 1
-                groups.setdefault("*" if c[0] < p.min_labels or not bands else min(int(smooth(c) * bands), bands - 1), []).extend(v)
-        else:
-            at, n, b = 0, 0, 0
-            for _, name in sorted((smooth(total(v)), s) for s, v in kids.items()):
-                x, y = total(kids[name])
-                if n and x:
-                    q = (b + y + 1) / (n + x + 2)
-                    if (y / x - b / n) / (q * (1 - q) * (1 / x + 1 / n)) ** 0.5 > p.merge_z:
-                        at, n, b = at + 1, 0, 0
-                n, b = n + x, b + y
-                groups.setdefault(at, []).extend(kids[name])
+        bins = {}
+        for v in kids.values():
+            bins.setdefault(min(int(smooth(total(v, 0)) * p.bins), p.bins - 1), []).extend(v)
+        groups, at, n, b = {}, 0, 0, 0
+        for i in sorted(bins):
+            x, y = total(bins[i], 0)
+            if n and x:
+                q = (b + y + 1) / (n + x + 2)
+                if (y / x - b / n) / (q * (1 - q) * (1 / x + 1 / n)) ** 0.5 > p.merge_z:
+                    at, n, b = at + 1, 0, 0
+            n, b = n + x, b + y
+            groups.setdefault(at, []).extend(bins[i])
         for v in groups.values():
             split(v, level + 1)
 

@@ -560,8 +560,8 @@ def test_template_tree_learns_bad_branches(spark):
     labels = pages.where("page_id % 3 = 0").select("page_id", (F.col("url").contains("spam")).cast("int").alias("bad"))
     got = {r.page_id: r.verdict for r in urls.judge(pages, labels, ()).collect()}
     assert all((got[i] == "block") == ("spam" in u) for i, u in data)
-    other = urls.judge(pages, labels, (), urls.TreeParams(max_children=1)).where("verdict = 'block'").count()
-    assert other == 0  # under one wildcard the bad share is not enough
+    other = urls.judge(pages, labels, (), urls.TreeParams(bins=1)).where("verdict = 'block'").count()
+    assert other == 0  # in one bin the bad share is not enough
 
 
 def test_unlabelled_siblings_join_the_clean_ones(spark):
@@ -574,9 +574,9 @@ def test_unlabelled_siblings_join_the_clean_ones(spark):
 
 def test_templates_against_brute_force(spark):
     rng = random.Random(31)
-    p = urls.TreeParams(max_children=5)
+    p = urls.TreeParams(bins=20, depth=4)
     pages, labels = [], []
-    for i in range(4000):
+    for i in range(8000):  # half of the labels judge
         host = rng.choice(["a.io", "b.io", "c.io", "c.io", "c.io"])
         parts = [rng.choice("pqrstuv"[: 4 if host == "a.io" else 7]) for _ in range(rng.randrange(4))]
         bad = rng.random() < (0.9 if parts[:1] == ["q"] or parts[:2] == ["r", "s"] else 0.1)
@@ -588,10 +588,11 @@ def test_templates_against_brute_force(spark):
     got = {r.page_id: r for r in urls.judge(df, lab, (), p).collect()}
     known = dict(labels)
     shapes = {i: _shape(r.path, p.depth) for i, r in got.items()}
-    bad = brute.url_tree([(got[i].host, shapes[i], known.get(i)) for i, _ in pages], p)
+    side = {r.page_id: r.s for r in df.select("page_id", urls.side_of(F.col("page_id")).alias("s")).collect()}
+    bad = brute.url_tree([(got[i].host, shapes[i], known.get(i), side[i]) for i, _ in pages], p)
     assert {i for i, r in got.items() if r.verdict == "block"} == {i for i in got if (got[i].host, tuple(shapes[i])) in bad}
     assert 300 < sum(r.verdict == "block" for r in got.values()) < 3000
-    off = urls.judge(df, lab, (), urls.TreeParams(max_children=5, min_labels=10**6))
+    off = urls.judge(df, lab, (), urls.TreeParams(min_labels=10**6))
     assert off.where("verdict = 'block'").count() == 0
 
 
@@ -612,6 +613,27 @@ def test_bad_sections_of_a_wide_host_are_blocked(spark):
     assert {i for i, v in got.items() if v == "block"} == {i for i, _ in data if i < 10_000 and i // 100 in bad}
 
 
+def test_a_section_is_judged_alike_on_any_width_of_host(spark):
+    """Clean siblings, from 3 to 300, don't change which sections are blocked; bad ones stand as deep as six segments."""
+    name = lambda k: "".join(chr(97 + k // 26**i % 26) for i in (2, 1, 0))
+    for width in (3, 16, 17, 300):
+        data = [(k * 100 + i, f"http://h.io/a/b/c/d/{name(k)}/{name(i)}") for k in range(width) for i in range(60)]
+        data += [(10**6 + i, f"http://other.io/{name(i)}") for i in range(3000)]  # so that the overall share is about the same
+        pages = spark.createDataFrame(data, "page_id long, url string")
+        labels = pages.where("page_id % 2 = 0").select("page_id", (F.floor(F.col("page_id") / 100) == 1).cast("int").alias("bad"))
+        got = {r.page_id for r in urls.judge(pages, labels, ()).where("verdict = 'block'").collect()}
+        assert got == {i for i, _ in data if i // 100 == 1}, width
+
+
+def test_the_worst_of_many_clean_sections_are_not_blocked(spark):
+    """1,500 sections with eight labels each, all of one share: some have many bad labels by chance."""
+    rng = random.Random(3)
+    data = [(k * 10 + i, f"http://h.io/{chr(97 + k // 676)}{chr(97 + k // 26 % 26)}{chr(97 + k % 26)}/x") for k in range(1500) for i in range(8)]
+    pages = spark.createDataFrame(data, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(rng.random() < 0.2)) for i, _ in data], "page_id long, bad int")
+    assert urls.judge(pages, labels, ()).where("verdict = 'block'").count() == 0
+
+
 # --- chats -------------------------------------------------------------------------------------------------------
 
 
