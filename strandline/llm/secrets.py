@@ -2,11 +2,14 @@
 
 The patterns give the base spans.  Every other token-like candidate is scored,
 with the characters around it, by a small convolutional network in numpy that
-is trained on the base findings of a bounded sample, on addresses there and on
+is trained on the base findings of all documents, on all addresses there and on
 made-up identifiers, paths, names and accessions that are none, all of them
 strings that would be candidates; its threshold is the highest that keeps the
-wanted recall on those held out of training.  A long candidate is scored whole,
-in pieces, and the highest score counts.
+wanted recall on all of those held out of training.  A long candidate is scored
+whole, in pieces, and the highest score counts.
+
+Training is a round of Spark tasks per epoch: each block of the windows is gone
+through by itself from the same weights, and what comes out is averaged.
 
 A candidate is a run of 16 or more token characters that has a letter, and a
 digit or a capital behind a small letter: digits alone are numbers, and plain
@@ -24,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, sliced
+from .common import discard, materialize, sliced
 
 #: Kinds in listed order; ties of start are sorted by it, and the network's kind comes last.
 KINDS = ("assign", "access", "hex", "net")
@@ -44,19 +47,24 @@ _PAD, _OTHER, _N_CLASSES = 0, 1, 97
 SLICE_BYTES = 8 << 20
 #: Pieces of long candidates that are in memory at once.
 PIECES = 4096
+#: Logits are whole multiples of 1 / STEPS up to MOST, so counts of them tell all that a threshold needs.
+STEPS, MOST = 1024, 64
 
 
 @dataclass(frozen=True)
 class NetParams:
-    """max_docs and max_findings bound the labelled sample, made_up the lines beside it; the rest is shape and training.
+    """How windows are spread (max_docs to made_up); the rest is shape and training.
 
-    per_doc: addresses that a sampled text gives.  One document
-    in held_out, and as much of the made-up lines, isn't trained on but measured.
+    max_docs: None, as everywhere but in trials, takes every document.  One
+    document in held_out, and as much of the made_up lines, isn't trained on but
+    measured.  The made-up lines stand once beside every block windows, however
+    many there are, in training and in measuring; there are at most max_blocks
+    blocks, which grow beyond that.
     """
 
-    max_docs: int = 5_000
-    max_findings: int = 1_500
-    per_doc: int = 8
+    max_docs: int | None = None
+    block: int = 3_000
+    max_blocks: int = 256
     held_out: int = 4
     made_up: int = 3_000
     value_chars: int = 48
@@ -128,8 +136,23 @@ class CharNet:
             "e": rng.normal(0, 0.3, (_N_CLASSES, p.embed)), "k": rng.normal(0, 0.2, (p.width * p.embed, p.filters)),
             "b": np.zeros(p.filters), "v": rng.normal(0, 0.2, 2 * p.filters), "c": np.zeros(1),
         }
+        self.m, self.s = ({k: np.zeros_like(v) for k, v in self.w.items()} for _ in range(2))
+        self.step = 0.0
         self.scale, self.shift, self.threshold = 1.0, 0.0, 0.5
         self.recall = self.precision = float("nan")  # on held-out documents, until calibrated
+        self.trained_on = self.measured_on = 0  # distinct windows of documents
+
+    def state(self) -> np.ndarray:
+        """Weights, their moments and the number of steps, in one row."""
+        return np.concatenate([*(part[k].ravel() for part in (self.w, self.m, self.s) for k in self.w), [self.step]])
+
+    def restore(self, state: np.ndarray) -> None:
+        at = 0
+        for part in (self.w, self.m, self.s):
+            for k, v in self.w.items():
+                part[k] = state[at : at + v.size].reshape(v.shape)
+                at += v.size
+        self.step = float(state[at])
 
     def _forward(self, x: np.ndarray):
         e = self.w["e"][x]
@@ -141,11 +164,15 @@ class CharNet:
         return patches, h, top, pooled, pooled @ self.w["v"] + self.w["c"][0]
 
     def logits(self, x: np.ndarray) -> np.ndarray:
-        return np.concatenate([self._forward(x[i : i + 512])[4] for i in range(0, len(x), 512)]) if len(x) else np.zeros(0)
+        z = np.concatenate([self._forward(x[i : i + 512])[4] for i in range(0, len(x), 512)]) if len(x) else np.zeros(0)
+        return np.rint(np.clip(z, -MOST, MOST) * STEPS) / STEPS
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         """Calibrated probabilities."""
-        return 1 / (1 + np.exp(-np.clip(self.scale * self.logits(x) + self.shift, -30, 30)))
+        return self._probabilities(self.logits(x))
+
+    def _probabilities(self, z: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.scale * z + self.shift, -30, 30)))
 
     def span_scores(self, text: str, spans: list[tuple[int, int]]) -> np.ndarray:
         """The highest score of each whole span's pieces, which are scored PIECES at a time."""
@@ -153,49 +180,54 @@ class CharNet:
         scores = [self.scores(windows(text, parts[i : i + PIECES], self.p)) for i in range(0, len(parts), PIECES)]
         return np.maximum.reduceat(np.concatenate(scores), first) if len(first) else np.zeros(0)
 
-    def fit(self, x: np.ndarray, y: np.ndarray) -> None:
-        rng, p = np.random.default_rng(self.p.seed + 1), self.p
-        m = {k: np.zeros_like(v) for k, v in self.w.items()}
-        s = {k: np.zeros_like(v) for k, v in self.w.items()}
-        step = 0
-        for _ in range(p.epochs):
+    def epoch(self, x: np.ndarray, y: np.ndarray, number: int, block: int) -> None:
+        """Once through the rows in an order of the epoch's and the block's own, from the present weights and moments on."""
+        rng, p = np.random.default_rng([self.p.seed + 1, block]), self.p
+        for _ in range(number + 1):
             order = rng.permutation(len(x))
-            for i in range(0, len(order), 64):
-                xb, yb = x[order[i : i + 64]], y[order[i : i + 64]]
-                patches, h, top, pooled, z = self._forward(xb)
-                dz = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - yb) / len(yb)
-                most, mean = (dz[:, None] * v for v in np.split(self.w["v"], 2))
-                dh = np.repeat(mean[:, None, :] / h.shape[1], h.shape[1], 1)
-                np.put_along_axis(dh, top[:, None, :], np.take_along_axis(dh, top[:, None, :], 1) + most[:, None, :], 1)
-                dh *= h > 0
-                flat = dh.reshape(-1, p.filters)
-                grad = {"v": pooled.T @ dz, "c": np.array([dz.sum()]), "b": flat.sum(0), "k": patches.reshape(len(flat), -1).T @ flat, "e": np.zeros_like(self.w["e"])}
-                dp = (flat @ self.w["k"].T).reshape(len(xb), -1, p.width, p.embed)
-                for k in range(p.width):
-                    at = xb[:, k : k + dp.shape[1]].ravel()
-                    grad["e"] += np.stack([np.bincount(at, dp[:, :, k, d].ravel(), _N_CLASSES) for d in range(p.embed)], 1)
-                for k in ("k", "v"):
-                    grad[k] = grad[k] + p.decay * self.w[k]
-                step += 1
-                for k, g in grad.items():
-                    m[k] = 0.9 * m[k] + 0.1 * g
-                    s[k] = 0.999 * s[k] + 0.001 * g * g
-                    self.w[k] = self.w[k] - p.rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.999**step)) + 1e-8)
+        for i in range(0, len(order), 64):
+            xb, yb = x[order[i : i + 64]], y[order[i : i + 64]]
+            patches, h, top, pooled, z = self._forward(xb)
+            dz = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - yb) / len(yb)
+            most, mean = (dz[:, None] * v for v in np.split(self.w["v"], 2))
+            dh = np.repeat(mean[:, None, :] / h.shape[1], h.shape[1], 1)
+            np.put_along_axis(dh, top[:, None, :], np.take_along_axis(dh, top[:, None, :], 1) + most[:, None, :], 1)
+            dh *= h > 0
+            flat = dh.reshape(-1, p.filters)
+            grad = {"v": pooled.T @ dz, "c": np.array([dz.sum()]), "b": flat.sum(0), "k": patches.reshape(len(flat), -1).T @ flat, "e": np.zeros_like(self.w["e"])}
+            dp = (flat @ self.w["k"].T).reshape(len(xb), -1, p.width, p.embed)
+            for k in range(p.width):
+                at = xb[:, k : k + dp.shape[1]].ravel()
+                grad["e"] += np.stack([np.bincount(at, dp[:, :, k, d].ravel(), _N_CLASSES) for d in range(p.embed)], 1)
+            for k in ("k", "v"):
+                grad[k] = grad[k] + p.decay * self.w[k]
+            self.step += 1
+            for k, g in grad.items():
+                self.m[k] = 0.9 * self.m[k] + 0.1 * g
+                self.s[k] = 0.999 * self.s[k] + 0.001 * g * g
+                self.w[k] = self.w[k] - p.rate * (self.m[k] / (1 - 0.9**self.step)) / (np.sqrt(self.s[k] / (1 - 0.999**self.step)) + 1e-8)
 
     def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
-        """Platt scaling on held-out rows, then the highest threshold that keeps the wanted recall; recall and precision are those of the held-out rows there."""
-        z = self.logits(x)
+        """calibrate_counts on these rows."""
+        self.calibrate_counts(self.logits(x), y, np.ones(len(y)))
+
+    def calibrate_counts(self, z: np.ndarray, y: np.ndarray, n: np.ndarray) -> None:
+        """Platt scaling on held-out logits z, of which each stands for n rows, then the highest threshold that keeps the wanted recall; recall and precision are those of the held-out rows there."""
+        share = n / n.sum()
         a, b = 1.0, 0.0
         for _ in range(200):
             q = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
-            a -= 0.1 * float(np.mean((q - y) * z)) / (1 + float(np.mean(z * z)))
-            b -= 0.1 * float(np.mean(q - y))
+            a -= 0.1 * float(share @ ((q - y) * z)) / (1 + float(share @ (z * z)))
+            b -= 0.1 * float(share @ (q - y))
         self.scale, self.shift = max(a, 1e-3), b
-        q = np.sort(self.scores(x)[y > 0.5])
-        if len(q):
-            self.threshold = float(q[int((1 - self.p.recall) * len(q))]) - 1e-9
-            found = self.scores(x) >= self.threshold
-            self.recall, self.precision = float(found[y > 0.5].mean()), float(y[found].mean())
+        q, yes = self._probabilities(z), y > 0.5
+        if yes.any():
+            order = np.argsort(q[yes], kind="stable")
+            upto = np.cumsum(n[yes][order])
+            at = np.searchsorted(upto, int((1 - self.p.recall) * upto[-1]), "right")
+            self.threshold = float(q[yes][order[at]]) - 1e-9
+            found = q >= self.threshold
+            self.recall, self.precision = float(n[found & yes].sum() / upto[-1]), float(n[found & yes].sum() / n[found].sum())
 
 
 # Words, endings and abbreviations of program texts and file names, of which look-alikes are put together.
@@ -322,49 +354,98 @@ def _labelled(text: str | None, p: NetParams) -> list[tuple[int, bytes]]:
         if _CANDIDATE.fullmatch(text[at:b]):
             left = max(0, a - p.context_chars)
             out.append((1, windows(text[left:a] + text[at : b + p.context_chars], [(a - left, a - left + b - at)], p)[0].tobytes()))
-    for m, _ in zip(_ADDRESS.finditer(text), range(p.per_doc)):
+    for m in _ADDRESS.finditer(text) if "@" in text or "://" in text else ():
         inside = [(m.start() + a, m.start() + b) for a, b in candidates(m.group(), [])]
         inside = [(a, b) for a, b in inside if not any(s < b and a < e for _, s, e in spans)]
         out += [(0, w.tobytes()) for w in windows(text, pieces(inside, p)[0], p)]
     return out
 
 
-def sample_windows(docs: DataFrame, p: NetParams, id_col: str, text_col: str) -> DataFrame:
-    """(label, x, held) of the p.max_docs documents of the smallest id hashes; held tells which side the document is on."""
-    key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    ids = docs.select(key.alias("_id")).distinct().orderBy(F.xxhash64("_id"), "_id").limit(p.max_docs)
+def labelled_windows(docs: DataFrame, p: NetParams, id_col: str, text_col: str) -> DataFrame:
+    """(label, x, held) of all documents; held tells which side the document is on.
+
+    With p.max_docs only those of the smallest id hashes are read.
+    """
+    texts = docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_id"), F.col(text_col).alias("_text"))
+    if p.max_docs is not None:
+        ids = texts.select("_id").distinct().orderBy(F.xxhash64("_id"), "_id").limit(p.max_docs)
+        texts = texts.join(F.broadcast(ids), "_id", "left_semi")  # at most p.max_docs ids
     held = (F.pmod(F.xxhash64("_id", F.lit(p.seed)), F.lit(p.held_out)) == 0).cast("int").alias("_held")
-    sample = docs.select(key.alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(ids), "_id", "left_semi").select("_text", held)  # at most p.max_docs ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 0, SLICE_BYTES):
             found = [(*x, h) for t, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for x in _labelled(t, p)]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int32()), pa.array([x[1] for x in found], pa.binary()), pa.array([x[2] for x in found], pa.int32())], ["label", "x", "held"])
 
-    return materialize(sample.mapInArrow(run, "label int, x binary, held int"), "labelled")
+    return texts.select("_text", held).mapInArrow(run, "label int, x binary, held int")
+
+
+#: The name from when the documents were a sample.
+sample_windows = labelled_windows
+
+
+def _stacked(x: list[bytes], p: NetParams) -> np.ndarray:
+    return np.frombuffer(b"".join(x), np.uint8).reshape(-1, p.value_chars + 2 * p.context_chars)
+
+
+def _epoch(rows: DataFrame, blocks: int, net: CharNet, number: int, x: np.ndarray, y: np.ndarray) -> None:
+    """One epoch: every block of rows, with x and y beside it, trained on from net's state; net gets the mean of what they reach.
+
+    Sums are decimal, so they don't depend on the order in which blocks end.
+    """
+    p, start = net.p, net.state()
+
+    def run(table: pa.Table) -> pa.Table:
+        block = table.column("block")[0].as_py()
+        found = sorted((label, w) for label, w in zip(table.column("label").to_pylist(), table.column("x").to_pylist()) if w is not None)
+        own = CharNet(p)
+        own.restore(start)
+        own.epoch(np.concatenate([_stacked([w for _, w in found], p), x]), np.concatenate([np.array([label for label, _ in found], float), y]), number, block)
+        state = own.state()
+        return pa.table([pa.array(np.arange(len(state), dtype=np.int32)), pa.array(state)], ["i", "value"])
+
+    reached = rows.repartition(blocks, "block").groupBy("block").applyInArrow(run, "i int, value double")
+    sums = reached.groupBy("i").agg(F.sum(F.col("value").cast("decimal(38,24)")).alias("total")).collect()  # a row per weight and moment
+    net.restore(np.array([float(r["total"]) / blocks for r in sorted(sums, key=lambda r: r["i"])]))
+
+
+def _held_logits(shown: DataFrame, net: CharNet) -> np.ndarray:
+    """Columns label, logit and count of the held-out windows; at most 4 * MOST * STEPS + 2 rows, whatever the windows' number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            z = np.rint(net.logits(_stacked(batch.column(1).to_pylist(), net.p)) * STEPS)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(z.astype(np.int32))], ["label", "z"])
+
+    counts = shown.where("held = 1").select("label", "x").mapInArrow(run, "label int, z int").groupBy("label", "z").count().collect()
+    return np.array(sorted((r["label"], r["z"] / STEPS, r["count"]) for r in counts), float).reshape(-1, 3).T
 
 
 def train(docs: DataFrame, p: NetParams = NetParams(), id_col: str = "doc_id", text_col: str = "text") -> CharNet:
-    """Fit on a bounded sample: p.max_docs documents and at most p.max_findings windows of each label, each window once.
+    """Fit on the windows of all documents, each window once, and on the made-up lines beside every block of them.
 
-    The threshold, and CharNet.recall and .precision, come from documents held
-    out of training; windows that stand on both sides count as trained on.  An
-    empty table, or one without findings, uses the made-up lines alone.
+    The threshold, and CharNet.recall and .precision, come from all documents
+    held out of training; windows that stand on both sides count as trained on.
+    An empty table, or one without findings, uses the made-up lines alone.
+    Row order and partitions don't matter.  The driver sees sums and counts only.
     """
-    shown = sample_windows(docs, p, id_col, text_col).groupBy("label", "x").agg(F.min("held").alias("held"))
-    rows = []
-    for label in (0, 1):
-        rows += shown.where(F.col("label") == label).orderBy(F.xxhash64("x"), "x").limit(p.max_findings).collect()
-    rng = np.random.default_rng(p.seed)
-    xs, ys, held = [np.frombuffer(r["x"], np.uint8) for r in rows], [r["label"] for r in rows], [r["held"] for r in rows]
-    for i, (label, x) in enumerate(_made_up_windows(rng, p)):
-        xs.append(x)
-        ys.append(label)
-        held.append(int(i // 100 % p.held_out == 0))
-    x, y, side = np.stack(xs), np.array(ys, float), np.array(held, bool)
+    shown = materialize(labelled_windows(docs, p, id_col, text_col).groupBy("label", "x").agg(F.min("held").alias("held")), "labelled")
+    made = _made_up_windows(np.random.default_rng(p.seed), p)
+    x, y = np.stack([w for _, w in made]), np.array([label for label, _ in made], float)
+    side = np.arange(len(made)) // 100 % p.held_out == 0
     net = CharNet(p)
-    net.fit(x[~side], y[~side])
-    net.calibrate(x[side], y[side])
+    sizes = {r["held"]: r["count"] for r in shown.groupBy("held").count().collect()}
+    net.trained_on, net.measured_on = sizes.get(0, 0), sizes.get(1, 0)
+    blocks = min(max(1, -(-net.trained_on // p.block)), p.max_blocks)
+    times = max(1, round(net.trained_on / (blocks * p.block)))
+    rows = shown.where("held = 0").select(F.pmod(F.xxhash64("x"), F.lit(blocks)).cast("int").alias("block"), "label", "x")
+    empty = docs.sparkSession.range(blocks).select(F.col("id").cast("int").alias("block"), F.lit(-1).alias("label"), F.lit(None).cast("binary").alias("x"))
+    rows = rows.unionByName(empty)  # so that a block without windows still has the made-up lines
+    for number in range(p.epochs):
+        _epoch(rows, blocks, net, number, np.tile(x[~side], (times, 1)), np.tile(y[~side], times))
+    label, z, n = _held_logits(shown, net)
+    net.calibrate_counts(np.concatenate([z, net.logits(x[side])]), np.concatenate([label, y[side]]), np.concatenate([n, np.full(side.sum(), float(blocks * times))]))
+    discard(shown)
     return net
 
 
