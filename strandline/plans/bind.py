@@ -80,9 +80,9 @@ grouped AS (SELECT *, CASE segment WHEN 'HA' THEN h WHEN 'NA' THEN n ELSE 'all'
 def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents as aligned sequences: ord, id, grp (language), seq, is_ref (the first of its group)."""
     d = table(spark, sf_dir, "documents").where("text is not null")
-    first = d.groupBy("lang").agg(F.min("doc_id").alias("_first"))  # a row per language, however many documents
+    first = d.groupBy(F.col("lang").alias("_lang")).agg(F.min("doc_id").alias("_first"))  # a row per language, none among them, however many documents
     seq = F.translate("text", ALPHABET, BASES_OF)
-    return d.join(F.broadcast(first), "lang").select(F.col("doc_id").alias("ord"), F.concat(F.lit("EPI_ISL_"), F.col("doc_id").cast("string")).alias("id"), F.col("lang").alias("grp"), seq.alias("seq"), (F.col("doc_id") == F.col("_first")).alias("is_ref"))
+    return d.join(F.broadcast(first), F.col("lang").eqNullSafe(F.col("_lang"))).select(F.col("doc_id").alias("ord"), F.concat(F.lit("EPI_ISL_"), F.col("doc_id").cast("string")).alias("id"), F.col("lang").alias("grp"), seq.alias("seq"), (F.col("doc_id") == F.col("_first")).alias("is_ref"))
 
 
 ALIGNMENT = f"""msa AS (SELECT doc_id AS ord, 'EPI_ISL_' || doc_id AS id, lang AS grp, translate(text, '{ALPHABET}', '{BASES_OF}') AS seq,
