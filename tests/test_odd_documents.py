@@ -18,7 +18,7 @@ def odd(spark, tmp_path_factory):
     return d
 
 
-@pytest.mark.parametrize("name", ["quality_cascade"])
+@pytest.mark.parametrize("name", ["quality_cascade", "quality_statistics"])
 def test_odd_documents(spark, odd, name):
     result = duckdb.connect().execute(catalog.ORACLE[name].replace("FROM documents", f"FROM '{odd}/documents.parquet/*.parquet'"))
     cols = [x[0] for x in result.description]
