@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,10 @@ from .relational import numbered
 
 #: References up to so many characters together are broadcast.
 REFERENCE_CHARS = 64 << 20
+#: So many samples and positions are turned into columns at once.
+BLOCK, SEGMENT = 1024, 2048
+#: Stands for the one empty character of an empty sequence.
+EMPTY = "!"
 
 
 def with_reference(rows: DataFrame, ref: DataFrame, by: Sequence[str], column: str) -> DataFrame:
@@ -56,39 +62,82 @@ def vcf_lines(sites: DataFrame, chrom: str = "Reference") -> DataFrame:
     return sites.select("pos", F.concat_ws("\t", F.lit(chrom), F.col("pos").cast("string"), F.concat("ref", F.col("pos").cast("string"), alt), "ref", alt, F.lit("."), F.lit("."), F.lit(".")).alias("line"))
 
 
-def calls(msa: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
-    """(by, pos, ref, sample, alt): where a row differs from its group's reference; N is a missing call.
+def call_blocks(msa: DataFrame, samples: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by, pos, ref, n, block, alts, calls): where rows of a block of samples differ from their group's reference.
 
-    sample numbers the rows beside the reference from 1 in the order of ord.
+    samples: by, ord, sample from 1, n (of the group).  calls has a character
+    for each of BLOCK samples in order: the base that differs, a dot for N, else
+    0; alts are its bases.  An empty sequence has one empty character, EMPTY.
+    Sequences are cut behind their reference's end, go to the shuffle as text, in
+    segments, and each block of them is turned into columns at once, so that no
+    row stands for a single call.
     """
-    rows = msa.select(*by, "ord", "is_ref", S.mask("seq").alias("seq"))
-    ref = rows.where("is_ref").select(*by, F.col("seq").alias("_ref"))
-    samples = numbered(rows.where(~F.col("is_ref")).select(*by, "ord"), by, ["ord"], "sample")
-    each = differences(with_reference(rows.where(~F.col("is_ref")), ref, by, "_ref"), [*by, "ord"])
-    return each.join(samples, [*by, "ord"]).select(*by, "pos", "ref", "sample", "alt")
+    shown = lambda text: F.when(F.length(text) == 0, EMPTY).otherwise(text)
+    ref = msa.where("is_ref").select(*by, shown(S.mask("seq")).alias("_ref")).join(samples.groupBy(*by).agg(F.first("n").alias("n")), list(by))
+    ref = materialize(ref, "references")
+    size = F.broadcast(ref.select(*by, F.length("_ref").alias("_len")))  # a row per group
+    rows = msa.where(~F.col("is_ref")).join(size, list(by)).select(*by, "ord", shown(S.mask(F.left("seq", F.col("_len")))).alias("_text"))
+    # Merged at every size, as the numbers of many samples are no small side.
+    rows = rows.where("_text is not null").join(samples.hint("merge"), [*by, "ord"])
+    cut = lambda df, *cols: df.select(*by, *cols, "n", "_text", F.explode(F.sequence(F.lit(0), F.expr(f"int((length(_text) - 1) div {SEGMENT})"))).alias("_seg")).withColumn("_text", F.substr("_text", F.col("_seg") * SEGMENT + 1, F.lit(SEGMENT)))
+    pieces = cut(rows, F.expr(f"int((sample - 1) div {BLOCK})").alias("block"), F.expr(f"int((sample - 1) % {BLOCK})").alias("_at"))
+    # Every block gets the reference.
+    every = ref.withColumnRenamed("_ref", "_text").withColumn("block", F.explode(F.sequence(F.lit(0), F.expr(f"int((n - 1) div {BLOCK})"))))
+    pieces = pieces.unionByName(cut(every, "block", F.lit(-1).alias("_at")))
+    kinds = [f"`{c}` {msa.schema[c].dataType.simpleString()}" for c in by]
+    out_schema = ", ".join([*kinds, "pos long, ref string, n int, block int, alts string, calls binary"])
+
+    def turn(piece: pa.Table) -> pa.Table:
+        grid = np.full((BLOCK + 1, SEGMENT), ord("-"), np.uint8)  # the reference is the last row
+        for i, text in zip(piece["_at"].to_pylist(), piece["_text"].cast(pa.binary()).to_pylist()):
+            grid[i, : len(text)] = np.frombuffer(text, np.uint8)
+        calls, first = grid[:-1], grid[-1]
+        calls[(calls == first) | (calls == ord("-")) | (first == ord("-"))] = ord("0")
+        calls[calls == ord("N")] = ord(".")
+        at = np.flatnonzero((calls != ord("0")).any(axis=0))
+        columns = np.ascontiguousarray(calls[:, at].T)
+        found = [(columns == ord(c)).any(axis=1) for c in EMPTY + "ACGT"]
+        same = {c: piece[c].take(pa.array(np.zeros(len(at), np.int64))) for c in [*by, "n", "block"]}
+        seg = piece["_seg"][0].as_py()
+        return pa.table(
+            {c: same[c] for c in by}
+            | {"pos": pa.array(at.astype(np.int64) + 1 + seg * SEGMENT), "ref": pa.array([chr(x).replace(EMPTY, "") for x in first[at]], pa.string()), "n": same["n"], "block": same["block"]}
+            | {"alts": pa.array(["".join(c for c, f in zip(EMPTY + "ACGT", row) if f) for row in zip(*found)], pa.string()), "calls": pa.array([x.tobytes() for x in columns], pa.binary())}
+        )
+
+    return pieces.groupBy(*by, "block", "_seg").applyInArrow(turn, out_schema)
 
 
 def vcf_document(msa: DataFrame, by: Sequence[str] = ("grp",), chrom: str = "Reference") -> DataFrame:
     """(by, ord, line): a VCF document per group: header, sample names, and a line per variant site with a genotype for each sample.
 
     Genotypes are 0 for the reference's base (and for gaps), the number of the
-    alternative, or a dot for N.  A line is put together from the samples that
-    differ and runs of zeros between them.
+    alternative, or a dot for N; an empty sequence makes an alternative, but has
+    none.  A line is put together from its blocks of
+    samples; those in which nothing differs are not shuffled.
     """
-    found = calls(msa, by)
-    found = found.where("alt <> 'N'").select(*by, "pos", "alt").distinct().groupBy(*by, "pos").agg(F.sort_array(F.collect_list("alt")).alias("alts")).join(found, [*by, "pos"], "right")
-    size = msa.where(~F.col("is_ref")).groupBy(*by).agg(F.count("*").cast("int").alias("n"))
-    allele = F.when(F.col("alt") == "N", ".").otherwise(F.array_position("alts", F.col("alt")).cast("string"))
-    sites = found.withColumn("_a", allele).groupBy(*by, "pos", "ref", "alts").agg(F.sort_array(F.collect_list(F.struct("sample", F.col("_a").alias("a")))).alias("c")).join(size, list(by))
-    # Each call with the zeros before it, then the zeros behind the last one.
-    bounds = F.concat(F.array(F.lit(0)), F.transform("c", lambda x: x["sample"]))
-    runs = F.transform("c", lambda x, i: F.concat(F.repeat(F.lit("0\t"), x["sample"] - F.get(bounds, i) - 1), x["a"]))
-    rest = F.repeat(F.lit("\t0"), F.col("n") - F.element_at("c", -1)["sample"])
-    alt = F.when(F.size(F.coalesce("alts", F.array().cast("array<string>"))) == 0, ".").otherwise(F.array_join("alts", ","))
-    line = F.concat_ws("\t", F.lit(chrom), F.col("pos").cast("string"), F.concat("ref", F.col("pos").cast("string"), alt), "ref", alt, F.lit("."), F.lit("."), F.lit("."), F.lit("GT"), F.concat(F.array_join(runs, "\t"), rest))
-    body = sites.select(*by, F.col("pos").cast("long").alias("ord"), line.alias("line"))
-    names = msa.where(~F.col("is_ref")).groupBy(*by).agg(F.transform(F.sort_array(F.collect_list(F.struct("ord", "id"))), lambda x: x["id"]).alias("ids"))
-    columns = F.concat_ws("\t", F.lit("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT"), F.array_join("ids", "\t"))
+    samples = materialize(numbered(msa.where(~F.col("is_ref")).select(*by, "ord", "id"), by, ["ord"], "sample", "n").withColumn("n", F.col("n").cast("int")), "samples")
+    found = call_blocks(msa, samples.drop("id"), by)
+    kinds = [f"`{c}` {msa.schema[c].dataType.simpleString()}" for c in by]
+
+    def join(site: pa.Table) -> pa.Table:
+        pos, ref, n = (site[c][0].as_py() for c in ("pos", "ref", "n"))
+        alts = sorted(set("".join(site["alts"].to_pylist())))
+        code = np.arange(256, dtype=np.uint8)
+        for i, a in enumerate(alts):
+            code[ord(a)] = ord("0") if a == EMPTY else ord("1") + i
+        cells = np.full((n + BLOCK, 2), ord("0"), np.uint8)
+        cells[:, 0] = ord("\t")
+        for b, calls in zip(site["block"].to_pylist(), site["calls"].to_pylist()):
+            cells[b * BLOCK : (b + 1) * BLOCK, 1] = code[np.frombuffer(calls, np.uint8)]
+        alt = ",".join(alts).replace(EMPTY, "") if alts else "."
+        line = "\t".join([chrom, str(pos), f"{ref}{pos}{alt}", ref, alt, ".", ".", ".", "GT"]) + cells[:n].tobytes().decode()
+        return pa.table({c: site[c].take(pa.array([0])) for c in by} | {"ord": pa.array([pos], pa.int64()), "line": pa.array([line], pa.string())})
+
+    body = found.groupBy(*by, "pos").applyInArrow(join, ", ".join([*kinds, "ord long, line string"]))
+    part = samples.groupBy(*by, F.expr(f"int((sample - 1) div {BLOCK})").alias("_b")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("sample", "id"))), lambda x: x["id"]), "\t").alias("_ids"))
+    names = part.groupBy(*by).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_b", "_ids"))), lambda x: x["_ids"]), "\t").alias("ids"))
+    columns = F.concat_ws("\t", F.lit("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT"), "ids")
     texts = [F.lit("##fileformat=VCFv4.2"), F.lit('##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">'), F.lit(f"##contig=<ID={chrom}>"), columns]
     head = F.array(*[F.struct(F.lit(i - len(texts)).cast("long").alias("ord"), t.alias("line")) for i, t in enumerate(texts)])
     return body.unionByName(names.select(*by, F.inline(head)))

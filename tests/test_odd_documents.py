@@ -8,6 +8,7 @@ from strandline.plans import catalog
 TEXTS = [
     ("some plain text", "en"), ("", "en"), ("", "en"), ("some plain text", "en"), ("...", "en"), ("..", "en"), ("", "de"), (".", "de"), (None, "de"), ("a\U0001f600b", "fr"), ("é...", "fr"),
     ("text of no language", None), ("text of no language", None), ("", None), ("other text of no language", None),
+    ("", "es"), ("text against an empty one", "es"), ("", "es"), ("none", "es"), (".", "es"), ("N", "it"), ("", "it"), ("M", "it"),
 ]
 
 
@@ -18,7 +19,7 @@ def odd(spark, tmp_path_factory):
     return d
 
 
-@pytest.mark.parametrize("name", ["quality_cascade", "quality_statistics"])
+@pytest.mark.parametrize("name", ["quality_cascade", "quality_statistics", "vcf_documents"])
 def test_odd_documents(spark, odd, name):
     result = duckdb.connect().execute(catalog.ORACLE[name].replace("FROM documents", f"FROM '{odd}/documents.parquet/*.parquet'"))
     cols = [x[0] for x in result.description]

@@ -25,6 +25,18 @@ def test_vcf_document_is_read_back(spark):
     assert back == sorted((i, p + 1, a, b) for g, _, i, s, r in rows[1:14] for p, (a, b) in enumerate(zip(ref, s)) if a != b and "-" not in (a, b))
 
 
+def test_vcf_document_is_the_same_in_small_blocks(spark, monkeypatch):
+    rng = random.Random(5)
+    seq = lambda: "".join(rng.choice("ACGTN-") for _ in range(rng.randrange(30)))
+    rows = [(g, i, f"s{i}", "".join(rng.choice("ACGTN-") for _ in range(21)) if i == 0 else seq(), i == 0) for g in "gh" for i in range(18)]
+    doc = variants.vcf_document(spark.createDataFrame(rows, "grp string, ord int, id string, seq string, is_ref boolean"))
+    whole = sorted(map(tuple, doc.collect()))
+    monkeypatch.setattr(variants, "BLOCK", 4)
+    monkeypatch.setattr(variants, "SEGMENT", 5)
+    again = variants.vcf_document(spark.createDataFrame(rows, "grp string, ord int, id string, seq string, is_ref boolean"))
+    assert sorted(map(tuple, again.collect())) == whole and len(whole) > 30
+
+
 def test_plans_shuffle_no_sequences(spark):
     rows = [("g", 0, "ref", "ACGT" * 50, True)] + [("g", i, f"s{i}", "ACGA" * 50, False) for i in range(1, 5)]
     msa = spark.createDataFrame(rows, "grp string, ord int, id string, seq string, is_ref boolean")
