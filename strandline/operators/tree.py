@@ -6,31 +6,51 @@ d takes log2(d) rounds; each round is a join whose result is stored.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.scratch import materialize
+from ..plans.scratch import discard, materialize
 
 
-def _double(rows: DataFrame, sums: Sequence[Column], cols: Sequence[str]) -> DataFrame:
-    """cols of every node added over its whole subtree.
+#: Inner nodes up to so many are sent to all tasks; more are merged with the rows that look for them.
+BROADCAST_NODES = 1 << 16
 
-    rows: tree_id, node, parent, cols.  sums: aggregates over the jumping nodes,
-    in the order of cols; what a node has gathered is added to where it jumps.
+
+def _met(nodes: DataFrame, n: int) -> DataFrame:
+    """n inner nodes as one side of a join, by their count: a stored table's files say little, as names pack well."""
+    return nodes.hint("broadcast" if n <= BROADCAST_NODES else "merge")
+
+
+def _double(rows: DataFrame, cols: Mapping[str, tuple[Callable, Callable]], keep: Sequence[str] = ()) -> DataFrame:
+    """cols of every node put together over its whole subtree.
+
+    rows: tree_id, node, parent, cols, keep (stays as it is), and, if known, _in:
+    whether a node has children.  cols: by name the aggregate over the jumping
+    nodes, and what adds it, null where there are none, to what a node has.
     """
-    now = materialize(rows.select("tree_id", "node", F.col("parent").alias("jump"), *cols), "jumps")
+    rows = rows if "_in" in rows.columns else rows.withColumn("_in", F.lit(True))
+    now = materialize(rows.select("tree_id", "node", F.col("parent").alias("jump"), "_in", *cols, *keep), "jumps")
+    n = now.where("_in").count()
     while True:
-        up = now.where("jump is not null").groupBy("tree_id", F.col("jump").alias("node")).agg(*[s.alias(f"_{c}") for s, c in zip(sums, cols)])
-        far = now.select("tree_id", F.col("node").alias("jump"), F.col("jump").alias("_far"))
-        nxt = now.join(up, ["tree_id", "node"], "left").join(far, ["tree_id", "jump"], "left")
-        nxt = nxt.select("tree_id", "node", F.col("_far").alias("jump"), *[F.when(F.col(f"_{c}").isNull(), F.col(c)).otherwise(F.col(c) + F.col(f"_{c}")).alias(c) for c in cols])
-        now = materialize(nxt, "jumps")
+        # Only inner nodes are jumped to: the others neither gather nor tell where to go.
+        inner = now.where("_in")
+        up = now.where("jump is not null").groupBy("tree_id", F.col("jump").alias("node")).agg(*[agg(c).alias(f"_{c}") for c, (agg, _) in cols.items()])
+        got = inner.join(up.hint("merge"), ["tree_id", "node"], "left").unionByName(now.where("not _in"), allowMissingColumns=True)
+        far = inner.select("tree_id", F.col("node").alias("jump"), F.col("jump").alias("_far"))
+        nxt = got.join(_met(far, n), ["tree_id", "jump"], "left").select("tree_id", "node", F.col("_far").alias("jump"), "_in", *[add(F.col(c), F.col(f"_{c}")).alias(c) for c, (_, add) in cols.items()], *keep)
+        nxt = materialize(nxt, "jumps")
+        discard(now)
+        now = nxt
         if now.where("jump is not null").isEmpty():
             return now.drop("jump")
 
 
+_SUM = (F.sum, lambda own, more: F.when(more.isNull(), own).otherwise(own + more))
+_MIN = (F.min, F.least)
+
+
 def depths(edges: DataFrame) -> DataFrame:
     """edges with depth, 0 at the root."""
     now = materialize(edges.select("tree_id", "node", F.col("parent").alias("jump"), F.col("parent").isNotNull().cast("int").alias("depth")), "depths")
@@ -65,7 +85,7 @@ def path_text(steps: Column | str) -> Column:
 def below(edges: DataFrame, marked: DataFrame) -> DataFrame:
     """(tree_id, node, n): how many marked nodes (tree_id, node) each subtree holds."""
     rows = edges.join(marked.select("tree_id", "node", F.lit(1).cast("long").alias("n")).distinct(), ["tree_id", "node"], "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
-    return _double(rows, [F.sum("n")], ["n"])
+    return _double(rows, {"n": _SUM}).drop("_in")
 
 
 def induced(edges: DataFrame, samples: DataFrame, collapse: bool = True) -> DataFrame:
@@ -137,32 +157,40 @@ def export_rows(edges: DataFrame, meta: DataFrame, columns: Sequence[str], key:
 # --- many trees as one graph -------------------------------------------------------------------------------------
 
 
+def _named(edges: DataFrame, key: Column | None = None, keep: Sequence[str] = ()) -> tuple[DataFrame, int]:
+    """(tree_id, node, _in, clade, n_leaves, first_leaf, keep), stored, and the number of inner nodes."""
+    inner = materialize(edges.where("parent is not null").select("tree_id", F.col("parent").alias("node")).distinct(), "inner")
+    n = inner.count()
+    rows = edges.join(_met(inner.withColumn("_p", F.lit(True)), n), ["tree_id", "node"], "left").withColumn("_in", F.coalesce("_p", F.lit(False)))
+    h = lambda seed: F.when(~F.col("_in"), F.xxhash64(F.lit(seed), F.col("node"))).otherwise(F.lit(0).cast("long")).cast("decimal(38,0)")
+    cols = {"h1": _SUM, "h2": _SUM, "n_leaves": _SUM} | ({} if key is None else {"first_leaf": _MIN})
+    own = [h(1).alias("h1"), h(2).alias("h2"), (~F.col("_in")).cast("long").alias("n_leaves")] + ([] if key is None else [key.alias("first_leaf")])
+    done = _double(rows.select("tree_id", "node", "parent", "_in", *own, *[F.col(c).alias(f"_keep_{c}") for c in keep]), cols, [f"_keep_{c}" for c in keep])
+    clade = F.sha2(F.concat_ws(":", "h1", "h2", "n_leaves"), 256).alias("clade")
+    return done.select("tree_id", "node", "_in", clade, "n_leaves", *(["first_leaf"] if key is not None else []), *[F.col(f"_keep_{c}").alias(c) for c in keep]), n
+
+
 def clades(edges: DataFrame) -> DataFrame:
     """(tree_id, node, clade, n_leaves): clade names the set of leaves below, alike in all trees."""
-    tip = leaves(edges).withColumn("_tip", F.lit(True))
-    h = lambda seed: F.when(F.col("_tip"), F.xxhash64(F.lit(seed), F.col("node"))).otherwise(F.lit(0).cast("long")).cast("decimal(38,0)")
-    rows = edges.join(tip, ["tree_id", "node"], "left").select("tree_id", "node", "parent", h(1).alias("h1"), h(2).alias("h2"), F.coalesce(F.col("_tip").cast("long"), F.lit(0).cast("long")).alias("n_leaves"))
-    done = _double(rows, [F.sum("h1"), F.sum("h2"), F.sum("n_leaves")], ["h1", "h2", "n_leaves"])
-    return done.select("tree_id", "node", F.sha2(F.concat_ws(":", "h1", "h2", "n_leaves"), 256).alias("clade"), "n_leaves")
-
+    return _named(edges)[0].select("tree_id", "node", "clade", "n_leaves")
 
-def first_leaves(edges: DataFrame, key: Column) -> DataFrame:
-    """(tree_id, node, first_leaf): the least key of the leaves below each node; key: of a leaf's row, by which inner nodes are null."""
-    now = materialize(edges.select("tree_id", "node", F.col("parent").alias("jump"), key.alias("first_leaf")), "first-leaves")
-    while True:
-        up = now.where("jump is not null").groupBy("tree_id", F.col("jump").alias("node")).agg(F.min("first_leaf").alias("_f"))
-        far = now.select("tree_id", F.col("node").alias("jump"), F.col("jump").alias("_far"))
-        now = materialize(now.join(up, ["tree_id", "node"], "left").join(far, ["tree_id", "jump"], "left").select("tree_id", "node", F.col("_far").alias("jump"), F.least("first_leaf", "_f").alias("first_leaf")), "first-leaves")
-        if now.where("jump is not null").isEmpty():
-            return now.drop("jump")
 
+def merge_trees(edges: DataFrame, key: Column | None = None) -> DataFrame:
+    """(clade, child, weight, n_trees): edges of all trees between clades, each once, with its number of mutations.
 
-def merge_trees(edges: DataFrame) -> DataFrame:
-    """(clade, child, weight, n_trees): edges of all trees between clades, each once, with its number of mutations."""
-    c = materialize(clades(edges), "clades").select("tree_id", "node", "clade")
-    up = c.select("tree_id", F.col("node").alias("parent"), F.col("clade").alias("_up"))
-    rows = edges.join(c, ["tree_id", "node"]).join(up, ["tree_id", "parent"])
-    return rows.groupBy(F.col("_up").alias("clade"), F.col("clade").alias("child"), F.size("muts").alias("weight")).agg(F.countDistinct("tree_id").alias("n_trees"))
+    With a key of the leaves' rows, by which inner nodes are null, also n_leaves
+    and first_leaf (the least key below) of the clade, and child_n_leaves and
+    child_first_leaf.
+    """
+    rows, n = _named(edges.withColumn("weight", F.size("muts")), key, ["parent", "weight"])
+    told = ["n_leaves", "first_leaf"] if key is not None else []
+    up = rows.where("_in").select("tree_id", F.col("node").alias("parent"), F.unhex("clade").alias("_up"), *[F.col(c).alias(f"_up_{c}") for c in told])
+    rows = rows.withColumn("_clade", F.unhex("clade")).join(_met(up, n), ["tree_id", "parent"])
+    # A clade's leaves are the same wherever it stands.
+    same = [F.min(a).alias(b) for c in told for a, b in ((f"_up_{c}", c), (c, f"child_{c}"))]
+    out = rows.groupBy("_up", "_clade", "weight").agg(F.countDistinct("tree_id").alias("n_trees"), *same)
+    text = lambda c: F.lower(F.hex(c))
+    return out.select(text("_up").alias("clade"), text("_clade").alias("child"), "weight", "n_trees", *[b for c in told for b in (c, f"child_{c}")])
 
 
 def tree_statistics(edges: DataFrame) -> DataFrame:

@@ -1047,12 +1047,7 @@ def merged_trees(spark, d):
     """Ten randomised trees merged by their clades, edges that trees share once."""
     e = materialize(_randomized_trees(spark, d), "randomized")
     key = F.when(F.col("node").startswith("c"), F.substr("node", F.lit(2)).cast("long"))
-    c = materialize(tree.clades(e), "clades")
-    low = materialize(c.select("tree_id", "node", "clade", "n_leaves").join(tree.first_leaves(e, key), ["tree_id", "node"]).groupBy("clade").agg(F.min("first_leaf").alias("lo"), F.max("n_leaves").alias("n")), "first-leaves")
-    m = tree.merge_trees(e)
-    up = low.select("clade", F.col("lo").alias("first_leaf"), F.col("n").alias("n_leaves"))
-    down = low.select(F.col("clade").alias("child"), F.col("lo").alias("child_first_leaf"), F.col("n").alias("child_n_leaves"))
-    return m.join(up, "clade").join(down, "child").select("first_leaf", "n_leaves", "child_first_leaf", "child_n_leaves", "weight", "n_trees")
+    return tree.merge_trees(e, key).select("first_leaf", "n_leaves", "child_first_leaf", "child_n_leaves", "weight", "n_trees")
 
 
 @query(

@@ -61,6 +61,18 @@ def test_merged_trees_share_clades(spark, edges):
     assert merged.count() == 6 and {r.n_trees for r in merged.collect()} == {2}
 
 
+def test_many_nodes_are_merged_not_broadcast(spark, edges, monkeypatch):
+    """However small their files are: the names of millions of nodes pack into a few MB."""
+    two = edges.unionByName(edges.withColumn("tree_id", F.lit(2)))
+    key = F.when(F.col("node").isin("w", "x", "y", "z"), F.ascii("node"))
+    few = tree.merge_trees(two, key).orderBy("child").collect()
+    monkeypatch.setattr(tree, "BROADCAST_NODES", 0)
+    merged = tree.merge_trees(two, key)
+    assert merged.orderBy("child").collect() == few
+    assert {(r.first_leaf, r.n_leaves, r.child_first_leaf, r.child_n_leaves) for r in few} == {(119, 4, 119, 1), (119, 4, 120, 3), (120, 3, 120, 1), (120, 3, 121, 2), (121, 2, 121, 1), (121, 2, 122, 1)}
+    assert "Broadcast" not in merged._jdf.queryExecution().executedPlan().toString()
+
+
 def test_parsimony_of_a_polytomy(spark):
     e = spark.createDataFrame([(1, "R", None, [])] + [(1, f"l{i}", "R", []) for i in range(4)], SCHEMA)
     leaf = spark.createDataFrame([(1, "l0", "a"), (1, "l1", "a"), (1, "l2", "b"), (1, "l3", "b")], "tree_id int, node string, state string")
